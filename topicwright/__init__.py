@@ -26,7 +26,15 @@ from topicwright.operators.offsets import (
     select_partitions,
     start_policy,
 )
-from topicwright.operators.publish import alert_messages, alerts, publish, split_on_null, to_messages
+from topicwright.operators.publish import (
+    alert_messages,
+    alerts,
+    publish,
+    publish_alerts,
+    route_on_null,
+    split_on_null,
+    to_messages,
+)
 from topicwright.operators.ranges import (
     OffsetRange,
     backlog,
@@ -39,16 +47,56 @@ from topicwright.operators.state import load_offsets, offsets_file, save_offsets
 from topicwright.plans.ingest import BatchIngest
 from topicwright.sources.catalog import list_topics, sample_topic
 from topicwright.sources.topic_log import KafkaTopic, TopicTable, open_topic
-from topicwright.streaming.ingest import TrackedIngest, start_ingest, stream_publish
+from topicwright.streaming.ingest import StreamStart, TrackedIngest, start_ingest, stream_publish
 
 __all__ = [
-    "BatchIngest", "EARLIEST", "KafkaTopic", "LATEST", "OffsetError", "OffsetRange",
-    "RecordShape", "ShapeError", "TopicTable", "TrackedIngest", "alert_messages", "alerts",
-    "apply_overrides", "backlog", "batch_start", "check_saved", "collect_ranges", "csv_body",
-    "decode_topic", "earliest_offsets", "json_body", "latest_offsets", "list_topics",
-    "load_offsets", "offset_bounds", "offset_table", "offsets_file", "open_topic",
-    "payload_text", "plan_ranges", "publish", "read_progress", "read_ranges",
-    "resolve_sentinels", "resume_offsets", "round_robin_partition", "sample_topic",
-    "save_offsets", "saved_offset_problems", "select_partitions", "split_on_null",
-    "start_ingest", "start_policy", "stream_publish", "string_partition", "to_messages",
+    "BatchIngest",
+    "EARLIEST",
+    "KafkaTopic",
+    "LATEST",
+    "OffsetError",
+    "OffsetRange",
+    "RecordShape",
+    "ShapeError",
+    "StreamStart",
+    "TopicTable",
+    "TrackedIngest",
+    "alert_messages",
+    "alerts",
+    "apply_overrides",
+    "backlog",
+    "batch_start",
+    "check_saved",
+    "collect_ranges",
+    "csv_body",
+    "decode_topic",
+    "earliest_offsets",
+    "json_body",
+    "latest_offsets",
+    "list_topics",
+    "load_offsets",
+    "offset_bounds",
+    "offset_table",
+    "offsets_file",
+    "open_topic",
+    "payload_text",
+    "plan_ranges",
+    "publish",
+    "publish_alerts",
+    "read_progress",
+    "read_ranges",
+    "resolve_sentinels",
+    "resume_offsets",
+    "round_robin_partition",
+    "route_on_null",
+    "sample_topic",
+    "save_offsets",
+    "saved_offset_problems",
+    "select_partitions",
+    "split_on_null",
+    "start_ingest",
+    "start_policy",
+    "stream_publish",
+    "string_partition",
+    "to_messages",
 ]

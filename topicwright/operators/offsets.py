@@ -6,9 +6,9 @@ grows with the messages, only with the number of partitions.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +17,30 @@ EARLIEST = -2
 LATEST = -1
 
 _PARTITION = ["topic", "partition"]
+_PARTITION_SCHEMA = [("topic", pa.string()), ("partition", pa.int32())]
 
 
 class OffsetError(ValueError):
     """Offsets that cannot be read from."""
 
 
+def local_table(spark: SparkSession, rows: Iterable[tuple], schema: pa.Schema) -> DataFrame:
+    """Rows held by the driver (a plan, never messages) as a local relation of known size."""
+    rows = list(rows)
+    columns = [pa.array([row[i] for row in rows], f.type) for i, f in enumerate(schema)]
+    return spark.createDataFrame(pa.table(columns, schema=schema))
+
+
 def offset_table(spark: SparkSession, topic: str, offsets: Mapping[int, int]) -> DataFrame:
-    """Offset map from a partition-to-offset mapping, as a literal relation."""
-    return spark.sql(
-        "SELECT :topic AS topic, CAST(p AS INT) AS partition, o AS offset "
-        "FROM (SELECT explode(from_json(:offsets, 'map<string,bigint>')) AS (p, o))",
-        args={"topic": topic, "offsets": json.dumps({str(p): o for p, o in offsets.items()})},
-    )
+    """Offset map from a partition-to-offset mapping."""
+    schema = pa.schema([*_PARTITION_SCHEMA, ("offset", pa.int64())])
+    return local_table(spark, [(topic, p, o) for p, o in offsets.items()], schema)
+
+
+def bounds_table(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
+    """Collected offset bounds as a relation again."""
+    numbers = [(name, pa.int64()) for name in ("earliest", "latest", "messages")]
+    return local_table(spark, rows, pa.schema([*_PARTITION_SCHEMA, *numbers]))
 
 
 def offset_bounds(log: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +14,8 @@ from topicwright.functions.partitioner import round_robin_partition, string_part
 from topicwright.functions.payload import csv_body, json_body
 from topicwright.operators.numbering import number_rows
 
+logger = logging.getLogger(__name__)
+
 
 def to_messages(
     rows: DataFrame,
@@ -87,19 +93,51 @@ def publish(messages: DataFrame, topic, partitions: int | None = None) -> None:
 
 def split_on_null(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a value in all watched columns, and rows with a null in any of them."""
-    any_null = F.lit(False)
-    for column in columns:
-        any_null = any_null | F.col(column).isNull()
+    any_null = _any_null(columns)
     return rows.filter(~any_null), rows.filter(any_null)
 
 
+def route_on_null(
+    rows: DataFrame, columns: list[str], topic: str, alert_topic: str, stage: str, body: str = "csv"
+) -> DataFrame:
+    """Messages of a whole frame in one pass: a row with a null in a watched column becomes an
+    alert for ``alert_topic``, any other row a message for ``topic``."""
+    any_null = _any_null(columns)
+    alert = F.struct(F.lit(stage).alias("stageName"), _payload([]).alias("payload"))
+    text = json_body(rows.columns) if body.lower() == "json" else csv_body(rows.columns)
+    return rows.select(
+        F.when(any_null, F.lit(alert_topic)).otherwise(F.lit(topic)).alias("topic"),
+        F.lit(None).cast("binary").alias("key"),
+        F.when(any_null, F.to_json(alert)).otherwise(text).cast("binary").alias("value"),
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
+def _any_null(columns: list[str]) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in columns])
+
+
+def _payload(columns: list[str]) -> Column:
+    entries = [F.struct(F.lit(c), F.col(c).cast("string")) for c in columns]
+    pairs = F.array(*entries) if entries else F.array().cast("array<struct<key:string,value:string>>")
+    return F.map_from_entries(pairs)
+
+
 def alerts(rows: DataFrame, stage: str, payload: list[str] | None = None) -> DataFrame:
     """One alert ``(stageName, payload)`` per row, with the named columns as its payload."""
-    entries = [F.struct(F.lit(c), F.col(c).cast("string")) for c in payload or []]
-    pairs = F.array(*entries) if entries else F.array().cast("array<struct<key:string,value:string>>")
-    return rows.select(F.lit(stage).alias("stageName"), F.map_from_entries(pairs).alias("payload"))
+    return rows.select(F.lit(stage).alias("stageName"), _payload(payload or []).alias("payload"))
 
 
 def alert_messages(alert_rows: DataFrame, topic: str) -> DataFrame:
     """Alerts as JSON messages without a key."""
     return to_messages(alert_rows, topic, body="json", columns=["stageName", "payload"])
+
+
+def publish_alerts(alert_rows: DataFrame, name: str, topic, partitions: int | None = None) -> bool:
+    """Publish alerts on their own; a failure is logged and does not stop the caller."""
+    try:
+        publish(alert_messages(alert_rows, name), topic, partitions)
+        return True
+    except Exception:
+        logger.exception("Could not publish alerts to topic %s", name)
+        return False

@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicwright.operators.offsets import OffsetError
+from topicwright.operators.offsets import OffsetError, local_table
 
 # Fixed value: assumed bytes per message in size estimates.
 MESSAGE_BYTES = 1024
@@ -57,10 +58,15 @@ def collect_ranges(ranges: DataFrame) -> list[OffsetRange]:
 
 def range_table(spark: SparkSession, ranges: list[OffsetRange]) -> DataFrame:
     """Collected ranges as a relation again."""
-    return spark.createDataFrame(
-        [tuple(r) for r in ranges],
-        "topic string, partition int, start_offset bigint, end_offset bigint",
+    schema = pa.schema(
+        [
+            ("topic", pa.string()),
+            ("partition", pa.int32()),
+            ("start_offset", pa.int64()),
+            ("end_offset", pa.int64()),
+        ]
     )
+    return local_table(spark, ranges, schema)
 
 
 def read_ranges(log: DataFrame, ranges: list[OffsetRange]) -> DataFrame:

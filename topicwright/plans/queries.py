@@ -12,7 +12,15 @@ from topicwright.functions.payload import payload_text
 from topicwright.functions.shape import RecordShape
 from topicwright.operators import offsets as off
 from topicwright.operators.decode import decode_topic
-from topicwright.operators.publish import alert_messages, alerts, publish, split_on_null, to_messages, with_partition
+from topicwright.operators.publish import (
+    alert_messages,
+    alerts,
+    publish,
+    route_on_null,
+    split_on_null,
+    to_messages,
+    with_partition,
+)
 from topicwright.operators.ranges import backlog, collect_ranges, plan_ranges, read_progress
 from topicwright.operators.state import load_offsets, offsets_file, save_offsets
 from topicwright.plans import topics as tp
@@ -336,10 +344,9 @@ def alert_publish(spark, sf_dir):
 
 
 def alert_routing(spark, sf_dir):
-    labelled, unlabelled = split_on_null(_labelled(spark, sf_dir), ["quality", "toxic"])
-    published = to_messages(labelled, "labelled", key="lang")
-    alarmed = alert_messages(alerts(unlabelled, "nullAlert"), "alerts")
-    return published.unionByName(alarmed).select("topic", payload_text(F.col("value")).alias("body"))
+    rows = _labelled(spark, sf_dir)
+    messages = route_on_null(rows, ["quality", "toxic"], "labelled", "alerts", "nullAlert")
+    return messages.select("topic", payload_text(F.col("value")).alias("body"))
 
 
 def streaming_publish(spark, sf_dir):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicwright.functions.partitioner import string_partition
-from topicwright.operators.offsets import latest_offsets, offset_bounds
+from topicwright.operators.offsets import bounds_table, latest_offsets, offset_bounds
 from topicwright.operators.publish import with_offsets
 from topicwright.operators.ranges import OffsetRange, read_ranges
 
@@ -19,7 +19,6 @@ LOG_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, "
     "timestamp timestamp, timestampType int"
 )
-BOUNDS_SCHEMA = "topic string, partition int, earliest bigint, latest bigint, messages bigint"
 
 
 @dataclass(frozen=True)
@@ -27,11 +26,12 @@ class TopicTable:
     """Topics in a Parquet table partitioned by topic and partition.
 
     One writer at a time may append to a topic. Rows of a file are sorted by offset, so
-    offset ranges prune row groups.
+    offset ranges prune row groups. ``compression``: none, gzip, snappy or another Parquet codec.
     """
 
     spark: SparkSession
     path: str
+    compression: str = "snappy"
 
     def rows(self) -> DataFrame:
         try:
@@ -57,7 +57,7 @@ class TopicTable:
         session.conf.set("spark.sql.sources.useV1SourceList", "")
         session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         found = offset_bounds(TopicTable(session, self.path).rows()).collect()
-        return self.spark.createDataFrame([tuple(row) for row in found], BOUNDS_SCHEMA)
+        return bounds_table(self.spark, found)
 
     def read(self, ranges: list[OffsetRange]) -> DataFrame:
         return read_ranges(self.rows(), ranges)
@@ -66,7 +66,8 @@ class TopicTable:
         if not partitions:
             raise ValueError("A topic table needs the number of partitions.")
         rows = with_offsets(messages, partitions, latest_offsets(self.bounds()))
-        rows.write.mode("append").partitionBy("topic", "partition").parquet(self.path)
+        writer = rows.write.mode("append").partitionBy("topic", "partition")
+        writer.option("compression", self.compression).parquet(self.path)
 
 
 @dataclass(frozen=True)
@@ -123,6 +124,7 @@ class KafkaTopic:
         return reader.load()
 
     def bounds(self) -> DataFrame:
+        """Offset bounds by reading the topic: the connector has no cheaper way to ask."""
         return offset_bounds(self.rows())
 
     def read(self, ranges: list[OffsetRange]) -> DataFrame:
