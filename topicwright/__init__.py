@@ -43,7 +43,7 @@ from topicwright.operators.ranges import (
     read_progress,
     read_ranges,
 )
-from topicwright.operators.state import load_offsets, offsets_file, save_offsets
+from topicwright.operators.state import load_offsets, offsets_file, read_offsets, save_offsets
 from topicwright.plans.ingest import BatchIngest
 from topicwright.sources.catalog import list_topics, sample_topic
 from topicwright.sources.topic_log import KafkaTopic, TopicTable, open_topic
@@ -75,6 +75,7 @@ __all__ = [
     "latest_offsets",
     "list_topics",
     "load_offsets",
+    "read_offsets",
     "offset_bounds",
     "offset_table",
     "offsets_file",

@@ -37,6 +37,11 @@ def offset_table(spark: SparkSession, topic: str, offsets: Mapping[int, int]) ->
     return local_table(spark, [(topic, p, o) for p, o in offsets.items()], schema)
 
 
+def collect_offsets(offsets: DataFrame) -> dict[int, int]:
+    """One topic's offset map on the driver: one entry per partition."""
+    return {row.partition: row.offset for row in offsets.select("partition", "offset").collect()}
+
+
 def bounds_table(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     """Collected offset bounds as a relation again."""
     numbers = [(name, pa.int64()) for name in ("earliest", "latest", "messages")]

@@ -2,50 +2,48 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from topicwright.operators.offsets import OffsetError, offset_table
 
 
 def offsets_file(folder: str, namespace: str, pipeline: str) -> str:
     return f"{folder.rstrip('/')}/{namespace}.{pipeline}.offsets.json"
 
 
-def load_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """Offset map saved at ``path``. No file is an empty map, a malformed one fails."""
+def read_offsets(spark: SparkSession, path: str) -> dict[int, int] | None:
+    """Partition-to-offset mapping saved at ``path``, or None if there is no such file.
+
+    A malformed file fails: taken as empty, it would mean reading the topic anew.
+    """
     try:
-        text = spark.read.text(path, wholetext=True)
+        text = spark.read.text(path, wholetext=True).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        text = spark.createDataFrame([], "value string")
-    # Every reason for a failure must show: a file read as empty means reading the topic anew.
-    state = F.from_json("value", "partitionOffsets map<string,bigint>", {"mode": "FAILFAST"})
-    offsets = F.coalesce(
-        state.getField("partitionOffsets"),
-        F.raise_error(F.concat(F.lit("No partitionOffsets in "), F.lit(path))).cast("map<string,bigint>"),
-    )
-    return text.select(F.explode(offsets).alias("p", "offset")).select(
-        F.lit(topic).alias("topic"), F.col("p").cast("int").alias("partition"), "offset"
-    )
+        return None
+    try:
+        saved = json.loads(text.value)["partitionOffsets"]
+        return {int(partition): int(offset) for partition, offset in saved.items()}
+    except (AttributeError, KeyError, TypeError, ValueError) as error:
+        raise OffsetError(f"Malformed offsets in {path}") from error
+
+
+def load_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
+    """The saved offsets as an offset map; empty if none were saved."""
+    return offset_table(spark, topic, read_offsets(spark, path) or {})
 
 
-def save_offsets(offsets: DataFrame, path: str, topic: str) -> None:
+def save_offsets(spark: SparkSession, path: str, offsets: Mapping[int, int]) -> None:
     """Merge the offsets over the saved ones and replace the file in one step."""
-    spark = offsets.sparkSession
-    new = offsets.filter(F.col("topic") == topic).select("partition", F.col("offset").alias("new"))
-    old = load_offsets(spark, path, topic).select("partition", F.col("offset").alias("old"))
-    merged = old.join(new, "partition", "full").select(
-        F.struct(F.col("partition").cast("string"), F.coalesce("new", "old")).alias("entry")
-    )
-    state = merged.agg(
-        F.to_json(
-            F.struct(F.map_from_entries(F.array_sort(F.collect_list("entry"))).alias("partitionOffsets"))
-        ).alias("state")
-    )
-    _replace_file(spark, path, state.first().state)
+    merged = (read_offsets(spark, path) or {}) | dict(offsets)
+    state = {"partitionOffsets": {str(p): merged[p] for p in sorted(merged)}}
+    _replace_file(spark, path, json.dumps(state, separators=(",", ":")))
 
 
 def _replace_file(spark: SparkSession, path: str, text: str) -> None:

@@ -73,4 +73,4 @@ class BatchIngest:
     def commit(self) -> None:
         if self.state_path and self.ranges:
             ends = {r.partition: r.end_offset for r in self.ranges}
-            save_offsets(offset_table(self.source.spark, self.topic, ends), self.state_path, self.topic)
+            save_offsets(self.source.spark, self.state_path, ends)

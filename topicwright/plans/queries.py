@@ -155,7 +155,8 @@ def saved_offset_check(spark, sf_dir):
 
 def state_load(spark, sf_dir):
     path = offsets_file(tp.scratch(spark, "state"), "default", "load")
-    save_offsets(off.latest_offsets(tp.event_topic(spark, sf_dir).bounds()), path, "events")
+    latest = off.latest_offsets(tp.event_topic(spark, sf_dir).bounds())
+    save_offsets(spark, path, off.collect_offsets(latest))
     return load_offsets(spark, path, "events")
 
 
@@ -413,7 +414,8 @@ def state_commit(spark, sf_dir):
 def state_resume(spark, sf_dir):
     folder = tp.scratch(spark, "state-resume")
     ingest = _tracked(spark, sf_dir, folder)
-    save_offsets(_fraction(ingest.source.bounds(), 1, 2), ingest.state_path, "events")
+    halfway = _fraction(ingest.source.bounds(), 1, 2)
+    save_offsets(spark, ingest.state_path, off.collect_offsets(halfway))
     ingest.drain()
     return spark.read.parquet(f"{folder}/rows").drop("tick")
 

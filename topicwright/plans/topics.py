@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,12 +46,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/topicwright/{name}-{uuid.uuid4().hex}"
 
 
-def published(spark: SparkSession, sf_dir: str, name: str, messages: DataFrame, partitions: int) -> TopicTable:
+def published(
+    spark: SparkSession, sf_dir: str, name: str, messages: Callable[[], DataFrame], partitions: int
+) -> TopicTable:
     """The topic table of these messages, written once per Spark application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _published:
         log = TopicTable(spark, scratch(spark, name))
-        publish(messages, log, partitions)
+        publish(messages(), log, partitions)
         _published[key] = log
     return TopicTable(spark, _published[key].path)
 
@@ -63,21 +66,28 @@ def event_messages(events: DataFrame, topic="events", body: str = "csv") -> Data
 
 
 def event_topic(spark: SparkSession, sf_dir: str) -> TopicTable:
-    events = table(spark, sf_dir, "events")
-    return published(spark, sf_dir, "events", event_messages(events), EVENT_PARTITIONS)
+    def messages():
+        return event_messages(table(spark, sf_dir, "events"))
+
+    return published(spark, sf_dir, "events", messages, EVENT_PARTITIONS)
 
 
 def event_type_topics(spark: SparkSession, sf_dir: str) -> TopicTable:
     """One topic per event type, in one table."""
-    events = table(spark, sf_dir, "events")
-    messages = event_messages(events, topic=F.col("event_type"))
+
+    def messages():
+        return event_messages(table(spark, sf_dir, "events"), topic=F.col("event_type"))
+
     return published(spark, sf_dir, "event_types", messages, 2)
 
 
 def document_topic(spark: SparkSession, sf_dir: str) -> TopicTable:
     """Whole texts, keyed by document."""
-    rows = table(spark, sf_dir, "documents").withColumn("key", F.col("doc_id").cast("string"))
-    messages = to_messages(rows, "documents", key="key", columns=["text"], arrival="doc_id")
+
+    def messages():
+        rows = table(spark, sf_dir, "documents").withColumn("key", F.col("doc_id").cast("string"))
+        return to_messages(rows, "documents", key="key", columns=["text"], arrival="doc_id")
+
     return published(spark, sf_dir, "documents", messages, EVENT_PARTITIONS)
 
 

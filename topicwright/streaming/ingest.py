@@ -16,6 +16,7 @@ from topicwright.operators.offsets import (
     apply_overrides,
     batch_start,
     check_saved,
+    collect_offsets,
     offset_table,
     resolve_sentinels,
     resume_offsets,
@@ -23,8 +24,14 @@ from topicwright.operators.offsets import (
     start_policy,
 )
 from topicwright.operators.publish import publish
-from topicwright.operators.ranges import OffsetRange, check_whole, collect_ranges, plan_ranges
-from topicwright.operators.state import load_offsets, save_offsets
+from topicwright.operators.ranges import (
+    LITERAL_RANGES,
+    OffsetRange,
+    check_whole,
+    collect_ranges,
+    plan_ranges,
+)
+from topicwright.operators.state import load_offsets, read_offsets, save_offsets
 
 
 @dataclass
@@ -49,6 +56,10 @@ def stream_from(stream: DataFrame, topic: str, starts: Mapping[int, int], partit
     Partitions that were not there when the stream was first started are read whole.
     """
     rows = select_partitions(stream.filter(F.col("topic") == topic), partitions)
+    if len(starts) > LITERAL_RANGES:
+        table = offset_table(stream.sparkSession, topic, starts).withColumnRenamed("offset", "first")
+        joined = rows.join(F.broadcast(table), ["topic", "partition"], "left")
+        return joined.filter(F.col("offset") >= F.coalesce("first", F.lit(0))).select(*stream.columns)
     keep = ~F.col("partition").isin(sorted(starts)) if starts else F.lit(True)
     for partition, offset in sorted(starts.items()):
         keep = keep | ((F.col("partition") == partition) & (F.col("offset") >= offset))
@@ -72,12 +83,11 @@ def start_ingest(
     """
     spark = source.spark
     first_starts = f"{checkpoint.rstrip('/')}/first-offsets.json"
-    fixed = load_offsets(spark, first_starts, topic).collect()
-    if not fixed:
+    starts = read_offsets(spark, first_starts)
+    if starts is None:
         bounds = source.bounds().filter(F.col("topic") == topic)
-        save_offsets(start.offsets(source, topic, bounds), first_starts, topic)
-        fixed = load_offsets(spark, first_starts, topic).collect()
-    starts = {row.partition: row.offset for row in fixed}
+        starts = collect_offsets(start.offsets(source, topic, bounds))
+        save_offsets(spark, first_starts, starts)
     messages = stream_from(source.stream(max_files), topic, starts, start.partitions)
     return (
         decode_topic(messages, shape)
@@ -139,7 +149,7 @@ class TrackedIngest:
             check_saved(saved, bounds)
             chosen = select_partitions(bounds, self.start.partitions)
             starts = resume_offsets(self.start.offsets(self.source, self.topic, chosen), saved, chosen)
-            self._position = {row.partition: row.offset for row in starts.collect()}
+            self._position = collect_offsets(starts)
         bounds = select_partitions(bounds, self.start.partitions)
         # Partitions that are new since the last tick are read from their earliest offset.
         position = offset_table(spark, self.topic, self._position)
@@ -159,7 +169,7 @@ class TrackedIngest:
         batch_time = F.lit(int(time.time() * 1000))
         self.write(decode_topic(self.source.read(ranges), self.shape, batch_time), tick_id)
         ends = {r.partition: r.end_offset for r in ranges}
-        save_offsets(offset_table(self.source.spark, self.topic, ends), self.state_path, self.topic)
+        save_offsets(self.source.spark, self.state_path, ends)
         self._position.update(ends)
         return True
 
