@@ -12,11 +12,14 @@ from pyspark.sql import types as T
 
 # The fields of the Common Log Format and of RFC 3164 syslog lines.
 CLF_FIELDS = ["host", "ident", "user", "time", "request", "status", "bytes"]
-CLF_PATTERN = r'^(\S+) (\S+) (\S+) \[([^\]]*)\] "((?:[^"\\]|\\.)*)" (\d{3}|-) (\d+|-)(?: .*)?$'
+CLF_PATTERN = (
+    r"\A(\S++) (\S++) (\S++) \[([^\]]*+)\] "
+    r'"([^"\\]*+(?:\\.[^"\\]*+)*+)" (\d{3}|-) (\d++|-)(?: .*)?\s*\z'
+)
 SYSLOG_FIELDS = ["priority", "time", "host", "app", "pid", "message"]
 SYSLOG_PATTERN = (
-    r"(?s)^<(\d{1,3})>([A-Z][a-z]{2} [ \d]\d \d{2}:\d{2}:\d{2}) (\S+) "
-    r"([^\s:\[]+)(?:\[([^\]]*)\])?: ?(.*)$"
+    r"(?s)\A<(\d{1,3})>([A-Z][a-z]{2} [ \d]\d \d{2}:\d{2}:\d{2}) (\S++) "
+    r"([^\s:\[]++)(?:\[([^\]]*+)\])?: ?(.*)\z"
 )
 
 _SEPARATOR = "\x01"
@@ -44,18 +47,19 @@ def pattern_fields(
 ) -> list[Column]:
     """Fields from the numbered groups of a pattern's first match; all null where there is none.
 
-    The line is matched once: its groups are written out between separators and split.
-    A line that itself holds the separator takes the slower way, one match per group.
+    The line is matched once for all fields: a match is replaced by its groups between
+    separators, and the line split there. The groups of the first match are the pieces
+    from 1 on; without a match there is only piece 0. A line that itself holds the
+    separator takes the slower way, one match per group.
     """
     line = payload_text(value)
     numbers = range(1, total + 1)
-    whole_line = rf"\A(?s:.*?)(?:{pattern})(?s:.*)\z"
-    marked = F.regexp_replace(line, whole_line, _SEPARATOR + _SEPARATOR.join(f"${g}" for g in numbers))
-    one_match = F.when(F.startswith(marked, F.lit(_SEPARATOR)), F.split(marked, _SEPARATOR))
+    groups_text = "".join(f"{_SEPARATOR}${g}" for g in numbers) + _SEPARATOR
+    pieces = F.split(F.regexp_replace(line, pattern, groups_text), _SEPARATOR)
     match_each = F.when(
         line.rlike(pattern), F.array(F.lit(""), *[F.regexp_extract(line, pattern, g) for g in numbers])
     )
-    found = F.when(F.contains(line, F.lit(_SEPARATOR)), match_each).otherwise(one_match)
+    found = F.when(F.contains(line, F.lit(_SEPARATOR)), match_each).otherwise(pieces)
     out = []
     for field, group in zip(fields, groups):
         text = F.nullif(F.get(found, F.lit(group)), F.lit(""))
