@@ -1,0 +1,183 @@
+import hashlib
+import logging
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from topicwright import (
+    KafkaTopic,
+    OffsetRange,
+    alerts,
+    list_topics,
+    open_topic,
+    publish,
+    publish_alerts,
+    route_on_null,
+    sample_topic,
+    split_on_null,
+    string_partition,
+    to_messages,
+)
+from topicwright.operators import numbering
+from topicwright.operators.numbering import number_rows
+from topicwright.operators.publish import with_offsets
+
+
+def expected_partition(key, n):
+    word = hashlib.md5(key.encode("utf-16-le")).digest()[:4]
+    return abs(int.from_bytes(word, "little", signed=True)) % n
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(max_size=20), min_size=20, max_size=40))
+def test_string_partition(spark, keys):
+    frame = spark.createDataFrame([(k,) for k in [*keys, "jackson", "", "é😀"]], "k string")
+    found = frame.select("k", *[string_partition(F.col("k"), n).alias(f"p{n}") for n in (1, 4, 7, 1000)])
+    for row in found.collect():
+        assert [row.p1, row.p4, row.p7, row.p1000] == [expected_partition(row.k, n) for n in (1, 4, 7, 1000)]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.sets(st.integers(-(2**63), 2**63 - 1) | st.integers(-5, 40) | st.integers(2**40, 2**40 + 9), min_size=30),
+    st.integers(1, 12),
+)
+def test_numbering_is_exact_for_any_order_values(spark, values, bits):
+    rows = [(v % 3, v) for v in values]
+    frame = spark.createDataFrame(rows, "g bigint, v bigint")
+    first = spark.createDataFrame([(0, 100)], "g bigint, first bigint")
+    before, numbering.BLOCK_BITS = numbering.BLOCK_BITS, bits
+    try:
+        numbered = number_rows(frame, ["g"], "v", "n", first).collect()
+    finally:
+        numbering.BLOCK_BITS = before
+    assert len(numbered) == len(rows)
+    for group in range(3):
+        ordered = sorted((r.v, r.n) for r in numbered if r.g == group)
+        assert [n for _, n in ordered] == [(100 if group == 0 else 0) + i for i in range(len(ordered))]
+
+
+def test_appends_continue_the_offsets(spark, tmp_path):
+    log = open_topic(spark, f"{tmp_path}/log")
+    for low in (0, 1000):
+        rows = spark.range(low, low + 1000).select("id", (F.col("id") % 5).cast("string").alias("k"))
+        publish(to_messages(rows, "t", key="k", columns=["id", "k"], arrival="id"), log, 3)
+    publish(to_messages(rows, "other", key="k", columns=["id", "k"], arrival="id"), log, 3)
+    found = log.rows().filter("topic = 't'").collect()
+    assert len(found) == 2000
+    by_partition = {}
+    for row in found:
+        assert row.partition == expected_partition(bytes(row.key).decode(), 3)
+        by_partition.setdefault(row.partition, []).append((row.offset, int(bytes(row.value).split(b",")[0])))
+    for pairs in by_partition.values():
+        offsets, ids = zip(*sorted(pairs))
+        assert offsets == tuple(range(len(pairs))) and list(ids) == sorted(ids)
+    assert {(r.topic, r.messages == r.latest - r.earliest) for r in log.bounds().collect()} == {
+        ("t", True), ("other", True),
+    }
+
+
+def test_messages_without_arrival_are_numbered_once_each(spark, tmp_path):
+    log = open_topic(spark, f"{tmp_path}/log")
+    rows = spark.range(0, 1000, 1, 7).repartition(5).select("id")
+    publish(to_messages(rows, "t"), log, 4)
+    found = log.rows().collect()
+    assert sorted(int(bytes(r.value)) for r in found) == list(range(1000))
+    assert {(b.latest, b.messages) for b in log.bounds().collect()} <= {(n, n) for n in range(1001)}
+    assert len({(r.partition, r.offset) for r in found}) == 1000
+    assert len({r.partition for r in found}) == 4
+
+
+def test_null_arrival_fails(spark):
+    rows = spark.createDataFrame([(1,), (None,)], "n bigint")
+    with pytest.raises(PySparkException, match="Null in the arrival column n"):
+        with_offsets(to_messages(rows, "t", columns=["n"], arrival="n"), 2).collect()
+
+
+def test_sink_and_alerts(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(100, "samuel", "jackson"), (200, "dwayne", "johnson"), (300, "christopher", "walken"),
+         (400, "donald", "trump"), (None, "one", "two")],
+        "id bigint, first string, last string",
+    )
+    kept, missing = split_on_null(rows, ["id"])
+    log = open_topic(spark, f"{tmp_path}/log", )
+    publish(to_messages(kept, "users", body="csv", key="last"), log, 1)
+    assert publish_alerts(alerts(missing, "nullAlert"), "alertTopic", log, 1)
+    bodies = {(r.topic, bytes(r.value).decode()) for r in log.rows().collect()}
+    assert bodies == {
+        ("users", "100,samuel,jackson"), ("users", "200,dwayne,johnson"),
+        ("users", "300,christopher,walken"), ("users", "400,donald,trump"),
+        ("alertTopic", '{"stageName":"nullAlert","payload":{}}'),
+    }
+    routed = route_on_null(rows, ["id"], "users", "alertTopic", "nullAlert").collect()
+    assert {(r.topic, bytes(r.value).decode()) for r in routed} == bodies
+
+
+def test_failed_alerts_do_not_stop_the_caller(spark, tmp_path, caplog):
+    rows = spark.createDataFrame([(1,)], "n int")
+    with caplog.at_level(logging.ERROR):
+        assert not publish_alerts(alerts(rows, "s", ["n"]), "a", open_topic(spark, f"{tmp_path}/log"), None)
+    assert "Could not publish alerts" in caplog.text
+
+
+def test_null_key_fails_the_publish(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None)], "id bigint, last string")
+    with pytest.raises(PySparkException, match="Message Key field value in the record is null"):
+        publish(to_messages(rows, "t", key="last", columns=["id", "last"], arrival="id"), open_topic(spark, f"{tmp_path}/l"), 2)
+
+
+def test_compression_and_files(spark, tmp_path):
+    from topicwright import TopicTable
+
+    log = TopicTable(spark, f"{tmp_path}/log", compression="gzip")
+    publish(to_messages(spark.range(10), "t", columns=["id"], arrival="id"), log, 2)
+    files = list((tmp_path / "log").glob("topic=t/partition=*/*.parquet"))
+    assert files and all(".gz." in f.name for f in files)
+
+
+def test_catalog(spark, tmp_path):
+    log = open_topic(spark, f"{tmp_path}/log")
+    assert list_topics(log).count() == 0
+    for topic in ("b", "a", "c", "__offsets"):
+        publish(to_messages(spark.range(20), topic, columns=["id"], arrival="id"), log, 2)
+    everything = [("a", 3), ("b", 3), ("c", 3)]
+    for limit in (None, 0, -1, 5):
+        assert [tuple(r) for r in list_topics(log, "/", limit).collect()] == everything
+    assert [tuple(r) for r in list_topics(log, "", 2).collect()] == everything[:2]
+    assert [tuple(r) for r in list_topics(log, "//b/").collect()] == [("b", 1)]
+    assert list_topics(log, "/missing").count() == 0
+    with pytest.raises(ValueError, match="should only be at root level"):
+        list_topics(log, "a/b")
+    assert [r.message for r in sample_topic(log, "/a", 3).collect()] == ["0", "2", "4"]
+    assert sample_topic(log, "a", 1000).count() == 20
+    assert sample_topic(log, "a", 0).count() == 0
+    assert sample_topic(log, "missing", 5).count() == 0
+    with pytest.raises(ValueError, match="Topic is not provided"):
+        sample_topic(log, "/", 5)
+
+
+def test_live_topic_options(spark):
+    topic = open_topic(spark, servers="h:1", topic="t", properties={"max.poll.records": "5"}, acknowledge_all=False)
+    assert isinstance(topic, KafkaTopic)
+    assert topic.source_options({1: -2, 0: 7}) == {
+        "kafka.bootstrap.servers": "h:1", "failOnDataLoss": "true", "subscribe": "t",
+        "startingOffsets": '{"t": {"0": 7, "1": -2}}', "kafka.max.poll.records": "5",
+    }
+    ranges = topic.range_options([OffsetRange("t", 2, 5, 9), OffsetRange("t", 0, 1, 3)])
+    assert ranges["assign"] == '{"t": [0, 2]}'
+    assert ranges["startingOffsets"] == '{"t": {"0": 1, "2": 5}}'
+    assert ranges["endingOffsets"] == '{"t": {"0": 3, "2": 9}}'
+    assert topic.rate_options(100, 2.5, 4) == {"maxOffsetsPerTrigger": "1000"}
+    assert topic.rate_options(0, 1, 4) == {}
+    with pytest.raises(ValueError):
+        topic.rate_options(-1, 1, 4)
+    assert topic.sink_options() == {
+        "kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.compression.type": "none",
+        "kafka.linger.ms": "100", "kafka.acks": "1", "kafka.max.poll.records": "5",
+    }
+    own = open_topic(spark, servers="h:1", topic="t", properties={"acks": "all", "linger.ms": "5"}, acknowledge_all=False)
+    assert own.sink_options()["kafka.acks"] == "all" and own.sink_options()["kafka.linger.ms"] == "5"
