@@ -98,12 +98,12 @@ def test_lost_messages_fail_the_run(log, shape, tmp_path):
     send(log, RUN_2)
     whole = log.rows().cache()
     holey = open_topic(log.spark, f"{tmp_path}/holey")
-    whole.filter("offset != 4").write.partitionBy("topic", "partition").parquet(holey.path)
+    whole.filter("offset != 4").write.partitionBy("topic", "partition", "segment").parquet(holey.path)
     with pytest.raises(OffsetError, match="holds 5 messages for offsets 0 to 6"):
         BatchIngest(holey, "users", shape).rows()
     assert ids(BatchIngest(holey, "users", shape, allow_gaps=True).rows()) == [1, 2, 3, 4, 6]
     trimmed = open_topic(log.spark, f"{tmp_path}/trimmed")
-    whole.filter("offset >= 2").write.partitionBy("topic", "partition").parquet(trimmed.path)
+    whole.filter("offset >= 2").write.partitionBy("topic", "partition", "segment").parquet(trimmed.path)
     assert ids(BatchIngest(trimmed, "users", shape).rows()) == [3, 4, 5, 6]
     with pytest.raises(OffsetError, match="no longer there"):
         BatchIngest(trimmed, "users", shape, initial_offsets={0: 1}).rows()

@@ -5,25 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# 2^20 rows: the most a task has to sort together.
+# 2^20 rows are sorted together at most, unless a caller allows more.
 BLOCK_BITS = 20
+SUPERBLOCK_BITS = 20
 
 
 def number_rows(
-    df: DataFrame, by: list[str], order: str, name: str, first: DataFrame | None = None
+    df: DataFrame,
+    by: list[str],
+    order: str,
+    name: str,
+    first: DataFrame | None = None,
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """Number the rows of each ``by`` group 0, 1, 2, ... in ascending ``order``.
 
     ``order`` is an integer column that is unique within a group. Rows are numbered inside
-    blocks of 2^20 order values, so that no window holds more rows than that however large
-    the group is; block sizes are summed up in two levels, over at most 2^20 blocks and at
-    most 2^23 superblocks. The payload is shuffled once, on (group, block).
+    blocks of 2^block_bits order values, so that no window holds more rows than that however
+    large the group is; block sizes are summed up in two levels, over at most 2^20 blocks and
+    at most 2^24 superblocks. The payload is shuffled once, on (group, block).
 
     ``first`` holds the number that each group starts from (``by`` columns and ``first``).
     """
     order_value = F.col(order).cast("bigint")
-    block = F.shiftright(order_value, BLOCK_BITS).alias("_block")
-    superblock = F.shiftright("_block", BLOCK_BITS)
+    block = F.shiftright(order_value, block_bits).alias("_block")
+    superblock = F.shiftright("_block", SUPERBLOCK_BITS)
 
     sizes = df.groupBy(*by, block).agg(F.count("*").alias("_size"))
     sizes = sizes.withColumn("_super", superblock)

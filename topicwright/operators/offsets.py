@@ -33,8 +33,13 @@ def local_table(spark: SparkSession, rows: Iterable[tuple], schema: pa.Schema) -
 
 def offset_table(spark: SparkSession, topic: str, offsets: Mapping[int, int]) -> DataFrame:
     """Offset map from a partition-to-offset mapping."""
+    return offsets_of(spark, {(topic, p): o for p, o in offsets.items()})
+
+
+def offsets_of(spark: SparkSession, offsets: Mapping[tuple[str, int], int]) -> DataFrame:
+    """Offset map from a (topic, partition)-to-offset mapping."""
     schema = pa.schema([*_PARTITION_SCHEMA, ("offset", pa.int64())])
-    return local_table(spark, [(topic, p, o) for p, o in offsets.items()], schema)
+    return local_table(spark, [(*place, o) for place, o in offsets.items()], schema)
 
 
 def collect_offsets(offsets: DataFrame) -> dict[int, int]:

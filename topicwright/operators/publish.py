@@ -12,10 +12,15 @@ from pyspark.sql import types as T
 
 from topicwright.functions.partitioner import round_robin_partition, string_partition
 from topicwright.functions.payload import csv_body, json_body
+from topicwright.operators import numbering
 from topicwright.operators.numbering import number_rows
+from topicwright.operators.ranges import segment_of
 
 logger = logging.getLogger(__name__)
 
+# A block of arrivals may be up to 2^4 times larger than what one task should sort.
+MOST_SPREAD_BITS = 4
+
 
 def to_messages(
     rows: DataFrame,
@@ -80,12 +85,26 @@ def with_offsets(messages: DataFrame, partitions: int, latest: DataFrame | None
     """Topic rows: each message with its partition and the next free offset there."""
     placed = with_partition(with_arrival(messages), partitions)
     first = None if latest is None else latest.withColumnRenamed("offset", "first")
-    numbered = number_rows(placed, ["topic", "partition"], "arrival", "offset", first)
+    # Blocks cover the arrivals of all partitions, so a few more bits keep each partition's
+    # share of a block about as large as a segment.
+    spread = min(partitions.bit_length() - 1, MOST_SPREAD_BITS)
+    numbered = number_rows(
+        placed, ["topic", "partition"], "arrival", "offset", first, numbering.BLOCK_BITS + spread
+    )
     return numbered.select(
         "key", "value", "topic", "partition", "offset", "timestamp", F.lit(0).alias("timestampType")
     )
 
 
+def segmented(rows: DataFrame, partitions: int) -> DataFrame:
+    """Topic rows laid out for writing: sorted, and few files for each segment."""
+    rows = rows.withColumn("segment", segment_of(F.col("offset")))
+    if partitions >> MOST_SPREAD_BITS > 1:
+        # Too many partitions for their shares of a block to fill a segment.
+        rows = rows.repartition("topic", "partition", "segment")
+    return rows.sortWithinPartitions("topic", "partition", "segment", "offset")
+
+
 def publish(messages: DataFrame, topic, partitions: int | None = None) -> None:
     """Append messages to a topic (a table or a live topic), at least once."""
     topic.append(messages, partitions)

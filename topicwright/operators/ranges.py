@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicwright.operators.offsets import OffsetError, local_table
@@ -18,6 +19,9 @@ LITERAL_RANGES = 200
 # Above this many ranges the range table is no longer hinted for broadcast.
 BROADCAST_RANGES = 1_000_000
 
+# 2^20 messages: the offsets of one segment folder of a topic table.
+SEGMENT_BITS = 20
+
 _PARTITION = ["topic", "partition"]
 
 
@@ -28,6 +32,11 @@ class OffsetRange(NamedTuple):
     end_offset: int
 
 
+def segment_of(offset: Column) -> Column:
+    """Segment of a topic table that holds an offset."""
+    return F.shiftright(offset, SEGMENT_BITS)
+
+
 def plan_ranges(starts: DataFrame, bounds: DataFrame, max_records: int | None = None) -> DataFrame:
     """Half-open range ``[start_offset, end_offset)`` to read from each partition.
 
@@ -72,36 +81,40 @@ def range_table(spark: SparkSession, ranges: list[OffsetRange]) -> DataFrame:
 def read_ranges(log: DataFrame, ranges: list[OffsetRange]) -> DataFrame:
     """Rows of a topic log inside the ranges.
 
-    Few ranges become a literal predicate, so partitions and Parquet row groups outside
-    them are never read. Many ranges become a join with the range table, behind a literal
-    predicate on the hull of the ranges.
+    Few ranges become a literal predicate, so partitions, segments and Parquet row groups
+    outside them are never read. Many ranges become a join with the range table, behind a
+    literal predicate on the hull of the ranges.
     """
     wanted = [r for r in ranges if r.start_offset < r.end_offset]
     if not wanted:
         return log.filter(F.lit(False))
+    segments = "segment" in log.columns
     if len(wanted) <= LITERAL_RANGES:
-        return log.filter(reduce(lambda a, b: a | b, map(_inside, wanted)))
+        inside = [
+            (F.col("topic") == r.topic)
+            & (F.col("partition") == r.partition)
+            & _between(r.start_offset, r.end_offset, segments)
+            for r in wanted
+        ]
+        return log.filter(reduce(or_, inside))
     table = range_table(log.sparkSession, wanted)
     if len(wanted) <= BROADCAST_RANGES:
         table = F.broadcast(table)
     hull = (
         F.col("topic").isin(sorted({r.topic for r in wanted}))
         & F.col("partition").between(min(r.partition for r in wanted), max(r.partition for r in wanted))
-        & (F.col("offset") >= min(r.start_offset for r in wanted))
-        & (F.col("offset") < max(r.end_offset for r in wanted))
+        & _between(min(r.start_offset for r in wanted), max(r.end_offset for r in wanted), segments)
     )
     joined = log.filter(hull).join(table, _PARTITION)
     inside = (F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("end_offset"))
     return joined.filter(inside).select(*log.columns)
 
 
-def _inside(r: OffsetRange):
-    return (
-        (F.col("topic") == r.topic)
-        & (F.col("partition") == r.partition)
-        & (F.col("offset") >= r.start_offset)
-        & (F.col("offset") < r.end_offset)
-    )
+def _between(start: int, end: int, segments: bool) -> Column:
+    offset = (F.col("offset") >= start) & (F.col("offset") < end)
+    if not segments:
+        return offset
+    return F.col("segment").between(start >> SEGMENT_BITS, (end - 1) >> SEGMENT_BITS) & offset
 
 
 def check_whole(ranges: list[OffsetRange], bounds: DataFrame) -> None:

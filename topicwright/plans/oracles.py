@@ -66,13 +66,13 @@ ORACLES: dict[str, str] = {
     "s4_topic_sample": f"{_EVENTS} SELECT body AS message FROM log ORDER BY p, o LIMIT 100",
     "s5_topic_catalogue": """SELECT event_type AS topic, count(*) OVER () AS total
         FROM (SELECT DISTINCT event_type FROM events) t ORDER BY topic LIMIT 3""",
-    "s5_topic_lookup": "SELECT DISTINCT event_type AS topic, 1 AS total FROM events WHERE event_type = 'click'",
+    "s5_topic_lookup": "SELECT DISTINCT event_type AS topic, CAST(1 AS BIGINT) AS total FROM events WHERE event_type = 'click'",
     "f1_earliest_offsets": f'{_EVENTS} SELECT {_MAP}, earliest AS "offset" FROM bounds',
     "f2_latest_offsets": f'{_EVENTS} SELECT {_MAP}, latest AS "offset" FROM bounds',
-    "f3_start_policy": f"""{_EVENTS} SELECT {_MAP}, starts AS "offset", policy FROM bounds,
+    "f3_start_policy": f"""{_EVENTS} SELECT {_MAP}, CAST(starts AS BIGINT) AS "offset", policy FROM bounds,
         (VALUES ('beginning', -2), ('latest', -1), ('default', -1), ('specific', 7)) v(policy, starts)""",
     "f4_start_override": f"""{_EVENTS}
-        SELECT {_MAP}, CASE p WHEN 1 THEN 5 WHEN 2 THEN 7 ELSE -2 END AS "offset" FROM bounds""",
+        SELECT {_MAP}, CAST(CASE p WHEN 1 THEN 5 WHEN 2 THEN 7 ELSE -2 END AS BIGINT) AS "offset" FROM bounds""",
     "f5_sentinel_substitution": f"""{_EVENTS}
         SELECT {_MAP}, CASE p WHEN 1 THEN latest WHEN 2 THEN 7 ELSE earliest END AS "offset" FROM bounds""",
     "f6_batch_start": f"""{_EVENTS}

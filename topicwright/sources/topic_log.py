@@ -3,30 +3,33 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicwright.functions.partitioner import string_partition
-from topicwright.operators.offsets import bounds_table, latest_offsets, offset_bounds
-from topicwright.operators.publish import with_offsets
-from topicwright.operators.ranges import OffsetRange, read_ranges
+from topicwright.operators.offsets import bounds_table, offset_bounds, offsets_of
+from topicwright.operators.publish import segmented, with_offsets
+from topicwright.operators.ranges import LITERAL_RANGES, SEGMENT_BITS, OffsetRange, read_ranges
 
-# The columns of Spark's own source for live topics.
+# The columns of Spark's own source for live topics, and the segment folder.
 LOG_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
+    "timestamp timestamp, timestampType int, segment bigint"
 )
 
 
 @dataclass(frozen=True)
 class TopicTable:
-    """Topics in a Parquet table partitioned by topic and partition.
+    """Topics in a Parquet table partitioned by topic, partition and segment.
 
-    One writer at a time may append to a topic. Rows of a file are sorted by offset, so
-    offset ranges prune row groups. ``compression``: none, gzip, snappy or another Parquet codec.
+    A segment holds 2^20 consecutive offsets, so reading a range of offsets only opens the
+    files around it. One writer at a time may append to a topic. ``compression``: none, gzip, snappy or another Parquet codec.
     """
 
     spark: SparkSession
@@ -47,27 +50,53 @@ class TopicTable:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path)
 
-    def bounds(self) -> DataFrame:
+    def bounds(self, known: Mapping[tuple[str, int], int] | None = None) -> DataFrame:
         """Offset bounds of every partition, from the file footers alone.
 
-        Pushing min, max and count into the scan needs the newer Parquet reader; a session
-        of its own keeps that choice away from the caller's settings.
+        ``known`` offsets of partitions (topic, partition) skip the segments before them; the
+        bounds are then those of the rest. Pushing min, max and count into the scan needs the
+        newer Parquet reader; a session of its own keeps that choice away from the caller's
+        settings.
         """
         session = self.spark.newSession()
         session.conf.set("spark.sql.sources.useV1SourceList", "")
         session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        found = offset_bounds(TopicTable(session, self.path).rows()).collect()
-        return bounds_table(self.spark, found)
+        rows = TopicTable(session, self.path).rows()
+        if known:
+            rows = rows.filter(_from_known_segments(known))
+        return bounds_table(self.spark, offset_bounds(rows).collect())
 
     def read(self, ranges: list[OffsetRange]) -> DataFrame:
         return read_ranges(self.rows(), ranges)
 
-    def append(self, messages: DataFrame, partitions: int | None = None) -> None:
+    def append(
+        self,
+        messages: DataFrame,
+        partitions: int | None = None,
+        known: Mapping[tuple[str, int], int] | None = None,
+    ) -> dict[tuple[str, int], int]:
+        """Append messages behind the latest offsets, which are returned.
+
+        ``known`` are such offsets from an earlier append; files before them are not looked at.
+        """
         if not partitions:
             raise ValueError("A topic table needs the number of partitions.")
-        rows = with_offsets(messages, partitions, latest_offsets(self.bounds()))
-        writer = rows.write.mode("append").partitionBy("topic", "partition")
-        writer.option("compression", self.compression).parquet(self.path)
+        found = {(b.topic, b.partition): b.latest for b in self.bounds(known).collect()}
+        latest = dict(known or {}) | found
+        rows = with_offsets(messages, partitions, offsets_of(self.spark, latest))
+        writer = segmented(rows, partitions).write.mode("append").option("compression", self.compression)
+        writer.partitionBy("topic", "partition", "segment").parquet(self.path)
+        return latest
+
+
+def _from_known_segments(known: Mapping[tuple[str, int], int]) -> Column:
+    if len(known) > LITERAL_RANGES:
+        # Coarser, but short: from the lowest known segment on, and all of other topics.
+        lowest = min(known.values()) >> SEGMENT_BITS
+        return (F.col("segment") >= lowest) | ~F.col("topic").isin(sorted({t for t, _ in known}))
+    places = {place: (F.col("topic") == place[0]) & (F.col("partition") == place[1]) for place in known}
+    later = [at & (F.col("segment") >= known[place] >> SEGMENT_BITS) for place, at in places.items()]
+    return reduce(or_, later) | ~reduce(or_, places.values())
 
 
 @dataclass(frozen=True)
@@ -123,7 +152,7 @@ class KafkaTopic:
         reader = self.spark.readStream.format("kafka").options(**self.source_options(starts), **options)
         return reader.load()
 
-    def bounds(self) -> DataFrame:
+    def bounds(self, known: Mapping[tuple[str, int], int] | None = None) -> DataFrame:
         """Offset bounds by reading the topic: the connector has no cheaper way to ask."""
         return offset_bounds(self.rows())
 
@@ -131,13 +160,14 @@ class KafkaTopic:
         wanted = [r for r in ranges if r.start_offset < r.end_offset]
         return self._load(self.range_options(wanted)) if wanted else self.rows().filter(F.lit(False))
 
-    def append(self, messages: DataFrame, partitions: int | None = None) -> None:
+    def append(self, messages: DataFrame, partitions: int | None = None, known=None) -> dict:
         rows, columns = messages, ["key", "value"]
         if partitions:
             # No partition for messages without a key: the producer spreads them.
             placed = F.when(F.col("key").isNotNull(), string_partition(F.col("key").cast("string"), partitions))
             rows, columns = rows.withColumn("partition", placed), [*columns, "partition"]
         rows.select(*columns).write.format("kafka").options(**self.sink_options()).save()
+        return {}
 
     def _load(self, options: dict[str, str]) -> DataFrame:
         return self.spark.read.format("kafka").options(**options).load()

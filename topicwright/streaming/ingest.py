@@ -23,7 +23,6 @@ from topicwright.operators.offsets import (
     select_partitions,
     start_policy,
 )
-from topicwright.operators.publish import publish
 from topicwright.operators.ranges import (
     LITERAL_RANGES,
     OffsetRange,
@@ -107,8 +106,13 @@ def stream_publish(
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Publish each micro-batch of a message stream, at least once."""
+    known = {}
+
+    def publish_batch(batch: DataFrame, _: int) -> None:
+        known.update(target.append(batch, partitions, known))
+
     return (
-        messages.writeStream.foreachBatch(lambda batch, _: publish(batch, target, partitions))
+        messages.writeStream.foreachBatch(publish_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
@@ -143,7 +147,8 @@ class TrackedIngest:
     def plan(self) -> list[OffsetRange]:
         """Ranges of the next tick: from where the last one ended, or else from the saved state."""
         spark = self.source.spark
-        bounds = self.source.bounds().filter(F.col("topic") == self.topic)
+        known = {(self.topic, p): offset for p, offset in (self._position or {}).items()}
+        bounds = self.source.bounds(known).filter(F.col("topic") == self.topic)
         if self._position is None:
             saved = load_offsets(spark, self.state_path, self.topic)
             check_saved(saved, bounds)
@@ -165,7 +170,8 @@ class TrackedIngest:
         ranges = self.plan()
         if all(r.start_offset >= r.end_offset for r in ranges):
             return False
-        tick_id = sum(r.start_offset for r in ranges)
+        # All partitions count, also those without anything to read: the id only ever grows.
+        tick_id = sum(({r.partition: r.start_offset for r in ranges} | self._position).values())
         batch_time = F.lit(int(time.time() * 1000))
         self.write(decode_topic(self.source.read(ranges), self.shape, batch_time), tick_id)
         ends = {r.partition: r.end_offset for r in ranges}
