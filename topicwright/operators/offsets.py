@@ -55,10 +55,16 @@ def bounds_table(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
 
 def offset_bounds(log: DataFrame) -> DataFrame:
     """Earliest offset, next offset to be written and number of messages of each partition."""
-    return log.groupBy(*_PARTITION).agg(
-        F.min("offset").alias("earliest"),
-        (F.max("offset") + 1).alias("latest"),
-        F.count("*").alias("messages"),
+    # Per segment first where there are any: a scan only takes over an aggregate that is
+    # grouped by all of its partition columns.
+    segment = ["segment"] if "segment" in log.columns else []
+    parts = log.groupBy(*_PARTITION, *segment).agg(
+        F.min("offset").alias("first"), F.max("offset").alias("last"), F.count("*").alias("n")
+    )
+    return parts.groupBy(*_PARTITION).agg(
+        F.min("first").alias("earliest"),
+        (F.max("last") + 1).alias("latest"),
+        F.sum("n").alias("messages"),
     )
 
 
