@@ -67,11 +67,11 @@ def test_known_offsets_skip_old_segments(spark, tmp_path, small_segments, monkey
     send(log, 100, 101, 4)
     assert {tuple(b) for b in log.bounds().collect()} == {("t", 0, 0, 33, 33), ("t", 1, 0, 32, 32)}
     known = {("t", 0): 17, ("t", 1): 32}
-    assert {tuple(b) for b in log.bounds(known).collect()} == {("t", 0, 16, 33, 17)}
+    assert {tuple(b) for b in log.bounds(known=known).collect()} == {("t", 0, 16, 33, 17)}
     publish(to_messages(spark.range(5), "u", columns=["id"], arrival="id"), log, 1)
-    assert ("u", 0, 0, 5, 5) in {tuple(b) for b in log.bounds(known).collect()}
+    assert ("u", 0, 0, 5, 5) in {tuple(b) for b in log.bounds(known=known).collect()}
     monkeypatch.setattr(topic_log, "LITERAL_RANGES", 1)
-    assert {tuple(b) for b in log.bounds(known).collect()} == {
+    assert {tuple(b) for b in log.bounds(known=known).collect()} == {
         ("t", 0, 16, 33, 17), ("t", 1, 16, 32, 16), ("u", 0, 0, 5, 5),
     }
 

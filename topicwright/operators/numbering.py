@@ -31,8 +31,7 @@ def number_rows(
     block = F.shiftright(order_value, block_bits).alias("_block")
     superblock = F.shiftright("_block", SUPERBLOCK_BITS)
 
-    sizes = df.groupBy(*by, block).agg(F.count("*").alias("_size"))
-    sizes = sizes.withColumn("_super", superblock)
+    sizes = df.groupBy(*by, block).agg(F.count("*").alias("_size")).select("*", superblock.alias("_super"))
     supers = sizes.groupBy(*by, "_super").agg(F.sum("_size").alias("_super_size"))
 
     earlier = (Window.unboundedPreceding, -1)
@@ -55,9 +54,6 @@ def number_rows(
         )
 
     in_block = Window.partitionBy(*by, "_block").orderBy(order_value)
-    numbered = df.withColumn("_block", block).withColumn("_row", F.row_number().over(in_block))
-    return (
-        numbered.join(starts, [*by, "_block"], "left")
-        .withColumn(name, F.col("_start") + F.col("_row") - 1)
-        .drop("_block", "_row", "_start")
-    )
+    numbered = df.select("*", block).select("*", F.row_number().over(in_block).alias("_row"))
+    number = F.col("_start") + F.col("_row") - 1
+    return numbered.join(starts, [*by, "_block"], "left").select(*df.columns, number.alias(name))

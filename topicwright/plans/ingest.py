@@ -7,13 +7,12 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from topicwright.functions.shape import RecordShape
 from topicwright.operators.decode import decode_topic
 from topicwright.operators.offsets import batch_start, offset_table, select_partitions
 from topicwright.operators.ranges import OffsetRange, check_whole, collect_ranges, plan_ranges
-from topicwright.operators.state import load_offsets, offsets_file, save_offsets
+from topicwright.operators.state import offsets_file, read_offsets, save_offsets
 
 
 @dataclass
@@ -46,19 +45,22 @@ class BatchIngest:
     def ranges(self) -> list[OffsetRange]:
         """The plan of this run, made once."""
         spark = self.source.spark
-        bounds = self.source.bounds().filter(F.col("topic") == self.topic)
-        bounds = select_partitions(bounds, self.partitions)
-        saved = (
-            load_offsets(spark, self.state_path, self.topic)
-            if self.state_path
-            else offset_table(spark, self.topic, {})
-        )
-        starts = batch_start(bounds, offset_table(spark, self.topic, self.initial_offsets), saved)
+        saved = (read_offsets(spark, self.state_path) if self.state_path else None) or {}
+        bounds = select_partitions(self._bounds(saved), self.partitions)
+        configured = offset_table(spark, self.topic, self.initial_offsets)
+        starts = batch_start(bounds, configured, offset_table(spark, self.topic, saved))
         ranges = collect_ranges(plan_ranges(starts, bounds, self.max_records))
         if not self.allow_gaps:
             check_whole(ranges, bounds)
         return ranges
 
+    def _bounds(self, saved: Mapping[int, int]) -> DataFrame:
+        known = {(self.topic, partition): offset for partition, offset in saved.items()}
+        bounds = self.source.bounds(self.topic, known)
+        found = {row.partition for row in bounds.select("partition").collect()}
+        # Nothing from a saved offset on: its partition's bounds lie before it.
+        return bounds if found.issuperset(saved) else self.source.bounds(self.topic)
+
     def messages(self) -> DataFrame:
         return self.source.read(self.ranges)
 

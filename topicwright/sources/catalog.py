@@ -31,7 +31,7 @@ def sample_topic(topic, path: str, limit: int) -> DataFrame:
     if not name:
         raise ValueError("Topic is not provided in the path")
     limit = max(limit, 0)
-    bounds = topic.bounds().filter(F.col("topic") == name)
+    bounds = topic.bounds(name)
     ranges = collect_ranges(plan_ranges(earliest_offsets(bounds), bounds, limit)) if limit else []
     return (
         topic.read(ranges)
@@ -48,9 +48,7 @@ def list_topics(topic, path: str = "/", limit: int | None = None) -> DataFrame:
     below 1, lists all.
     """
     name = topic_of_path(path)
-    topics = topic.bounds().select("topic").distinct().filter(~F.col("topic").startswith("__"))
-    if name:
-        topics = topics.filter(F.col("topic") == name)
+    topics = topic.bounds(name or None).select("topic").distinct().filter(~F.col("topic").startswith("__"))
     total = topics.agg(F.count("*")).scalar()
     listed = topics.select("topic", total.alias("total")).orderBy("topic")
     return listed.limit(limit) if limit and limit > 0 else listed

@@ -37,12 +37,16 @@ class TopicTable:
     compression: str = "snappy"
 
     def rows(self) -> DataFrame:
+        stored = self._stored()
+        return self.spark.createDataFrame([], LOG_SCHEMA) if stored is None else stored
+
+    def _stored(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            return None
 
     def stream(self, max_files: int | None = None) -> DataFrame:
         reader = self.spark.readStream.schema(LOG_SCHEMA)
@@ -50,8 +54,10 @@ class TopicTable:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path)
 
-    def bounds(self, known: Mapping[tuple[str, int], int] | None = None) -> DataFrame:
-        """Offset bounds of every partition, from the file footers alone.
+    def bounds(
+        self, topic: str | None = None, known: Mapping[tuple[str, int], int] | None = None
+    ) -> DataFrame:
+        """Offset bounds of every partition (of one topic), from the file footers alone.
 
         ``known`` offsets of partitions (topic, partition) skip the segments before them; the
         bounds are then those of the rest. Pushing min, max and count into the scan needs the
@@ -61,7 +67,11 @@ class TopicTable:
         session = self.spark.newSession()
         session.conf.set("spark.sql.sources.useV1SourceList", "")
         session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        rows = TopicTable(session, self.path).rows()
+        rows = TopicTable(session, self.path)._stored()
+        if rows is None:
+            return bounds_table(self.spark, [])
+        if topic is not None:
+            rows = rows.filter(F.col("topic") == topic)
         if known:
             rows = rows.filter(_from_known_segments(known))
         return bounds_table(self.spark, offset_bounds(rows).collect())
@@ -81,7 +91,7 @@ class TopicTable:
         """
         if not partitions:
             raise ValueError("A topic table needs the number of partitions.")
-        found = {(b.topic, b.partition): b.latest for b in self.bounds(known).collect()}
+        found = {(b.topic, b.partition): b.latest for b in self.bounds(known=known).collect()}
         latest = dict(known or {}) | found
         rows = with_offsets(messages, partitions, offsets_of(self.spark, latest))
         writer = segmented(rows, partitions).write.mode("append").option("compression", self.compression)
@@ -152,7 +162,7 @@ class KafkaTopic:
         reader = self.spark.readStream.format("kafka").options(**self.source_options(starts), **options)
         return reader.load()
 
-    def bounds(self, known: Mapping[tuple[str, int], int] | None = None) -> DataFrame:
+    def bounds(self, topic: str | None = None, known: Mapping | None = None) -> DataFrame:
         """Offset bounds by reading the topic: the connector has no cheaper way to ask."""
         return offset_bounds(self.rows())
 

@@ -84,7 +84,7 @@ def start_ingest(
     first_starts = f"{checkpoint.rstrip('/')}/first-offsets.json"
     starts = read_offsets(spark, first_starts)
     if starts is None:
-        bounds = source.bounds().filter(F.col("topic") == topic)
+        bounds = source.bounds(topic)
         starts = collect_offsets(start.offsets(source, topic, bounds))
         save_offsets(spark, first_starts, starts)
     messages = stream_from(source.stream(max_files), topic, starts, start.partitions)
@@ -148,7 +148,7 @@ class TrackedIngest:
         """Ranges of the next tick: from where the last one ended, or else from the saved state."""
         spark = self.source.spark
         known = {(self.topic, p): offset for p, offset in (self._position or {}).items()}
-        bounds = self.source.bounds(known).filter(F.col("topic") == self.topic)
+        bounds = self.source.bounds(self.topic, known)
         if self._position is None:
             saved = load_offsets(spark, self.state_path, self.topic)
             check_saved(saved, bounds)
