@@ -79,7 +79,7 @@ def test_overrides_and_sentinels(spark):
 
 
 def test_sentinel_without_bounds_fails(spark):
-    with pytest.raises(PySparkException, match="Could not find offsets for t-5"):
+    with pytest.raises(PySparkException, match="No offsets known for topic t, partition 5"):
         resolve_sentinels(table(spark, {5: EARLIEST}), bounds(spark, p0=(0, 1))).collect()
 
 
@@ -90,7 +90,7 @@ def test_batch_start_prefers_saved_then_configured(spark):
 
 
 def test_negative_batch_start_fails(spark):
-    with pytest.raises(PySparkException, match="Failed to find start offset for topic t and partition 0"):
+    with pytest.raises(PySparkException, match="No valid start offset for topic t, partition 0"):
         batch_start(bounds(spark, p0=(0, 9)), table(spark, {0: EARLIEST}), table(spark, {})).collect()
 
 
@@ -124,10 +124,10 @@ def test_saved_offset_message_lists_every_problem(spark):
     with pytest.raises(OffsetError) as error:
         check_saved(table(spark, {0: 100, 1: 20, 2: 6, 4: 0}), known)
     assert str(error.value).splitlines() == [
-        "Problem with saved offsets:",
-        "Invalid offset 100 for topic t, partition 0. Earliest offset is 0 and latest offset is 10.",
-        "Invalid offset 6 for topic t, partition 2. Earliest offset is 0 and latest offset is 5.",
-        "Invalid offset 0 for topic t, partition 4. The topic has no such partition.",
+        "Cannot resume from the saved offsets:",
+        "Offset 100, saved for topic t, partition 0, is outside its range 0 to 10.",
+        "Offset 6, saved for topic t, partition 2, is outside its range 0 to 5.",
+        "Offset 0, saved for topic t, partition 4, belongs to no known partition.",
     ]
     check_saved(table(spark, {0: 10, 1: 0}), known)
 

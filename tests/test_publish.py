@@ -34,7 +34,7 @@ def expected_partition(key, n):
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(max_size=20), min_size=20, max_size=40))
 def test_string_partition(spark, keys):
-    frame = spark.createDataFrame([(k,) for k in [*keys, "jackson", "", "é😀"]], "k string")
+    frame = spark.createDataFrame([(k,) for k in [*keys, "stone", "", "é😀"]], "k string")
     found = frame.select("k", *[string_partition(F.col("k"), n).alias(f"p{n}") for n in (1, 4, 7, 1000)])
     for row in found.collect():
         assert [row.p1, row.p4, row.p7, row.p1000] == [expected_partition(row.k, n) for n in (1, 4, 7, 1000)]
@@ -95,8 +95,8 @@ def test_null_arrival_fails(spark):
 
 def test_sink_and_alerts(spark, tmp_path):
     rows = spark.createDataFrame(
-        [(100, "samuel", "jackson"), (200, "dwayne", "johnson"), (300, "christopher", "walken"),
-         (400, "donald", "trump"), (None, "one", "two")],
+        [(100, "ada", "stone"), (200, "bo", "rivers"), (300, "cy", "meadow"),
+         (400, "di", "hill"), (None, "one", "two")],
         "id bigint, first string, last string",
     )
     kept, missing = split_on_null(rows, ["id"])
@@ -105,8 +105,8 @@ def test_sink_and_alerts(spark, tmp_path):
     assert publish_alerts(alerts(missing, "nullAlert"), "alertTopic", log, 1)
     bodies = {(r.topic, bytes(r.value).decode()) for r in log.rows().collect()}
     assert bodies == {
-        ("users", "100,samuel,jackson"), ("users", "200,dwayne,johnson"),
-        ("users", "300,christopher,walken"), ("users", "400,donald,trump"),
+        ("users", "100,ada,stone"), ("users", "200,bo,rivers"),
+        ("users", "300,cy,meadow"), ("users", "400,di,hill"),
         ("alertTopic", '{"stageName":"nullAlert","payload":{}}'),
     }
     routed = route_on_null(rows, ["id"], "users", "alertTopic", "nullAlert").collect()
@@ -122,7 +122,7 @@ def test_failed_alerts_do_not_stop_the_caller(spark, tmp_path, caplog):
 
 def test_null_key_fails_the_publish(spark, tmp_path):
     rows = spark.createDataFrame([(1, None)], "id bigint, last string")
-    with pytest.raises(PySparkException, match="Message Key field value in the record is null"):
+    with pytest.raises(PySparkException, match="Null in the key field last"):
         publish(to_messages(rows, "t", key="last", columns=["id", "last"], arrival="id"), open_topic(spark, f"{tmp_path}/l"), 2)
 
 
@@ -146,13 +146,13 @@ def test_catalog(spark, tmp_path):
     assert [tuple(r) for r in list_topics(log, "", 2).collect()] == everything[:2]
     assert [tuple(r) for r in list_topics(log, "//b/").collect()] == [("b", 1)]
     assert list_topics(log, "/missing").count() == 0
-    with pytest.raises(ValueError, match="should only be at root level"):
+    with pytest.raises(ValueError, match="must be the root or name a single topic"):
         list_topics(log, "a/b")
     assert [r.message for r in sample_topic(log, "/a", 3).collect()] == ["0", "2", "4"]
     assert sample_topic(log, "a", 1000).count() == 20
     assert sample_topic(log, "a", 0).count() == 0
     assert sample_topic(log, "missing", 5).count() == 0
-    with pytest.raises(ValueError, match="Topic is not provided"):
+    with pytest.raises(ValueError, match="names no topic"):
         sample_topic(log, "/", 5)
 
 

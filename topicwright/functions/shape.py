@@ -115,27 +115,26 @@ class RecordShape:
     def _problems(self) -> list[str]:
         problems = []
         if self.time_field and self.time_field == self.key_field:
-            problems.append(
-                f"The timeField and keyField cannot both have the same name ({self.time_field})."
-            )
+            problems.append(f"Time and key cannot both be in field '{self.key_field}'.")
         expected = [
-            ("time", self.time_field, T.LongType(), "long or nullable long"),
-            ("key", self.key_field, T.BinaryType(), "bytes or nullable bytes"),
-            ("partition", self.partition_field, T.IntegerType(), "int"),
-            ("offset", self.offset_field, T.LongType(), "long"),
+            ("time", self.time_field, T.LongType()),
+            ("key", self.key_field, T.BinaryType()),
+            ("partition", self.partition_field, T.IntegerType()),
+            ("offset", self.offset_field, T.LongType()),
         ]
         by_name = {f.name: f.dataType for f in self.schema.fields}
-        for kind, name, data_type, text in expected:
+        for kind, name, data_type in expected:
             if not name:
                 continue
             if name not in by_name:
+                problems.append(f"The schema has no field '{name}' for the {kind}.")
+            elif by_name[name] != data_type:
+                found = by_name[name].simpleString()
                 problems.append(
-                    f"{kind}Field '{name}' does not exist in the schema. Please add it to the schema."
+                    f"Field '{name}' for the {kind} must be {data_type.simpleString()}, but is {found}."
                 )
-            elif by_name[name] != data_type:
-                problems.append(f"The {kind} field must be of type {text}.")
         if not self.message_fields:
-            problems.append("Schema must contain at least one other field besides the metadata fields.")
+            problems.append("The schema has no message field.")
             return problems
         return problems + self._format_problems()
 
@@ -144,15 +143,10 @@ class RecordShape:
         names = [f.name for f in fields]
         if self.format is None or self.format == "binary":
             if len(fields) > 1:
-                return [
-                    "Without a format, the schema must contain just a single message field of type bytes "
-                    f"or nullable bytes. Found {len(fields)} message fields ({','.join(names)})."
-                ]
+                return [f"Raw messages fill one message field, not {len(fields)} ({', '.join(names)})."]
             if not isinstance(fields[0].dataType, T.BinaryType):
-                return [
-                    "Without a format, the message field must be of type bytes or nullable bytes, "
-                    f"but field {names[0]} is of type {fields[0].dataType.simpleString()}."
-                ]
+                found = fields[0].dataType.simpleString()
+                return [f"Raw messages need a binary field, but {names[0]} is {found}."]
             return []
         if self.format not in FORMATS:
             return [f"Unable to read messages of format '{self.format}'. Use one of {', '.join(FORMATS)}."]

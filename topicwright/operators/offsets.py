@@ -105,7 +105,12 @@ def apply_overrides(starts: DataFrame, overrides: DataFrame) -> DataFrame:
 def resolve_sentinels(starts: DataFrame, bounds: DataFrame) -> DataFrame:
     """Put the real earliest and latest offsets for ``EARLIEST`` and ``LATEST``; missing ones fail."""
     missing = F.raise_error(
-        F.concat(F.lit("Could not find offsets for "), "topic", F.lit("-"), F.col("partition").cast("string"))
+        F.concat(
+            F.lit("No offsets known for topic "),
+            "topic",
+            F.lit(", partition "),
+            F.col("partition").cast("string"),
+        )
     ).cast("bigint")
     real = (
         F.when(F.col("offset") == EARLIEST, F.coalesce("earliest", missing))
@@ -123,9 +128,9 @@ def batch_start(bounds: DataFrame, configured: DataFrame, saved: DataFrame) -> D
     start = F.coalesce("saved", "configured", "earliest")
     failure = F.raise_error(
         F.concat(
-            F.lit("Failed to find start offset for topic "),
+            F.lit("No valid start offset for topic "),
             "topic",
-            F.lit(" and partition "),
+            F.lit(", partition "),
             F.col("partition").cast("string"),
         )
     ).cast("bigint")
@@ -153,13 +158,13 @@ def saved_offset_problems(saved: DataFrame, bounds: DataFrame) -> DataFrame:
         | (F.col("offset") < F.col("earliest"))
         | (F.col("offset") > F.col("latest"))
     )
-    place = "Invalid offset %d for topic %s, partition %d. "
+    place = "Offset %d, saved for topic %s, partition %d, "
     message = F.when(
         F.col("earliest").isNull(),
-        F.format_string(place + "The topic has no such partition.", "offset", "topic", "partition"),
+        F.format_string(place + "belongs to no known partition.", "offset", "topic", "partition"),
     ).otherwise(
         F.format_string(
-            place + "Earliest offset is %d and latest offset is %d.",
+            place + "is outside its range %d to %d.",
             "offset", "topic", "partition", "earliest", "latest",
         )
     )
@@ -172,4 +177,4 @@ def check_saved(saved: DataFrame, bounds: DataFrame) -> None:
     """Fail with one message that lists every saved offset that cannot be resumed from."""
     problems = saved_offset_problems(saved, bounds).orderBy(*_PARTITION).select("message").collect()
     if problems:
-        raise OffsetError("Problem with saved offsets:\n" + "\n".join(row.message for row in problems))
+        raise OffsetError("Cannot resume from the saved offsets:\n" + "\n".join(row.message for row in problems))

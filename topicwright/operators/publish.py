@@ -44,7 +44,7 @@ def to_messages(
     else:
         if not isinstance(rows.schema[key].dataType, T.StringType):
             raise ValueError(f"The key field '{key}' must be of type string.")
-        failure = F.raise_error(F.lit("Message Key field value in the record is null"))
+        failure = F.raise_error(F.lit(f"Null in the key field {key}"))
         key_bytes = F.coalesce(F.col(key), failure.cast("string")).cast("binary")
     out = [
         (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"),

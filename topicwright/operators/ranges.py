@@ -46,9 +46,9 @@ def plan_ranges(starts: DataFrame, bounds: DataFrame, max_records: int | None =
     end = F.least(latest, F.col("offset") + max_records) if max_records and max_records > 0 else latest
     failure = F.raise_error(
         F.concat(
-            F.lit("Failed to find end offset for topic "),
+            F.lit("No valid end offset for topic "),
             "topic",
-            F.lit(" and partition "),
+            F.lit(", partition "),
             F.col("partition").cast("string"),
         )
     ).cast("bigint")

@@ -66,7 +66,8 @@ ORACLES: dict[str, str] = {
     "s4_topic_sample": f"{_EVENTS} SELECT body AS message FROM log ORDER BY p, o LIMIT 100",
     "s5_topic_catalogue": """SELECT event_type AS topic, count(*) OVER () AS total
         FROM (SELECT DISTINCT event_type FROM events) t ORDER BY topic LIMIT 3""",
-    "s5_topic_lookup": "SELECT DISTINCT event_type AS topic, CAST(1 AS BIGINT) AS total FROM events WHERE event_type = 'click'",
+    "s5_topic_lookup": """SELECT DISTINCT event_type AS topic, CAST(1 AS BIGINT) AS total
+        FROM events WHERE event_type = 'click'""",
     "f1_earliest_offsets": f'{_EVENTS} SELECT {_MAP}, earliest AS "offset" FROM bounds',
     "f2_latest_offsets": f'{_EVENTS} SELECT {_MAP}, latest AS "offset" FROM bounds',
     "f3_start_policy": f"""{_EVENTS} SELECT {_MAP}, CAST(starts AS BIGINT) AS "offset", policy FROM bounds,
@@ -88,9 +89,9 @@ ORACLES: dict[str, str] = {
     "f10_saved_offset_check": f"""{_EVENTS},
         saved AS (SELECT * FROM (VALUES (0, -5), (1, 3), (2, 1152921504606846976), (9, 1)) v(sp, s))
         SELECT 'events' AS topic, sp AS "partition", s AS "offset", earliest, latest,
-               'Invalid offset ' || s || ' for topic events, partition ' || sp || '. ' ||
-               CASE WHEN earliest IS NULL THEN 'The topic has no such partition.'
-               ELSE 'Earliest offset is ' || earliest || ' and latest offset is ' || latest || '.' END AS message
+               'Offset ' || s || ', saved for topic events, partition ' || sp || ', ' ||
+               CASE WHEN earliest IS NULL THEN 'belongs to no known partition.'
+               ELSE 'is outside its range ' || earliest || ' to ' || latest || '.' END AS message
         FROM saved LEFT JOIN bounds ON p = sp
         WHERE earliest IS NULL OR s < earliest OR s > latest""",
     "f11_state_load": f'{_EVENTS} SELECT {_MAP}, latest AS "offset" FROM bounds',

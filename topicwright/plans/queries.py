@@ -298,7 +298,10 @@ def publish_rows(spark, sf_dir):
     log = TopicTable(spark, tp.scratch(spark, "orders"))
     finished = F.col("o_orderstatus") == "F"
     for part in (orders.filter(finished), orders.filter(~finished)):
-        publish(to_messages(part, "orders", key="o_orderpriority", columns=orders.columns, arrival="o_orderkey"), log, 8)
+        messages = to_messages(
+            part, "orders", key="o_orderpriority", columns=orders.columns, arrival="o_orderkey"
+        )
+        publish(messages, log, 8)
     return _text_rows(log.rows())
 
 

@@ -16,9 +16,7 @@ def topic_of_path(path: str) -> str:
     """The topic a path names, empty for the root."""
     topic = re.sub(r"^/+|/+$", "", path)
     if "/" in topic:
-        raise ValueError(
-            f"Path {path} is invalid, it should only be at root level or contain just the topic"
-        )
+        raise ValueError(f"Path {path} must be the root or name a single topic")
     return topic
 
 
@@ -29,7 +27,7 @@ def sample_topic(topic, path: str, limit: int) -> DataFrame:
     """
     name = topic_of_path(path)
     if not name:
-        raise ValueError("Topic is not provided in the path")
+        raise ValueError("The path names no topic")
     limit = max(limit, 0)
     bounds = topic.bounds(name)
     ranges = collect_ranges(plan_ranges(earliest_offsets(bounds), bounds, limit)) if limit else []

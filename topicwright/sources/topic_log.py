@@ -29,7 +29,8 @@ class TopicTable:
     """Topics in a Parquet table partitioned by topic, partition and segment.
 
     A segment holds 2^20 consecutive offsets, so reading a range of offsets only opens the
-    files around it. One writer at a time may append to a topic. ``compression``: none, gzip, snappy or another Parquet codec.
+    files around it. One writer at a time may append to a topic. ``compression``: none,
+    gzip, snappy or another Parquet codec.
     """
 
     spark: SparkSession
@@ -140,7 +141,7 @@ class KafkaTopic:
     def rate_options(self, rate: int, seconds: float, partitions: int) -> dict[str, str]:
         """Cap of a stream's micro-batch. The connector takes a total, not one per partition."""
         if rate < 0:
-            raise ValueError(f"Invalid maxRatePerPartition '{rate}'. Rate must be 0 or greater.")
+            raise ValueError(f"The rate per partition must not be negative, but is {rate}.")
         return {"maxOffsetsPerTrigger": str(int(rate * seconds * partitions))} if rate else {}
 
     def sink_options(self) -> dict[str, str]:

@@ -142,7 +142,7 @@ class TrackedIngest:
 
     def __post_init__(self):
         if self.rate < 0:
-            raise ValueError(f"Invalid maxRatePerPartition '{self.rate}'. Rate must be 0 or greater.")
+            raise ValueError(f"The rate per partition must not be negative, but is {self.rate}.")
 
     def plan(self) -> list[OffsetRange]:
         """Ranges of the next tick: from where the last one ended, or else from the saved state."""
