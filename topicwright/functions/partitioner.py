@@ -13,7 +13,14 @@ def string_partition(key: Column, partitions: int) -> Column:
     MD5 digest of the key's UTF-16LE characters. The absolute value is taken in 64
     bits, so the smallest 32-bit number has a valid partition too.
     """
-    digest = F.md5(F.encode(key, "UTF-16LE"))
+    return partition_of_digest(key_digest(key), partitions)
+
+
+def key_digest(key: Column) -> Column:
+    return F.md5(F.encode(key, "UTF-16LE"))
+
+
+def partition_of_digest(digest: Column, partitions: int) -> Column:
     low_word = F.concat(*[F.substring(digest, at, 2) for at in (7, 5, 3, 1)])
     unsigned = F.conv(low_word, 16, 10).cast("bigint")
     signed = F.pmod(unsigned + F.lit(1 << 31), F.lit(1 << 32)) - F.lit(1 << 31)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicwright.functions.partitioner import round_robin_partition, string_partition
+from topicwright.functions.partitioner import key_digest, partition_of_digest, round_robin_partition
 from topicwright.functions.payload import csv_body, json_body
 from topicwright.operators import numbering
 from topicwright.operators.numbering import number_rows
@@ -60,11 +60,12 @@ def to_messages(
 
 def with_partition(messages: DataFrame, partitions: int) -> DataFrame:
     """Add the target partition: hash of the key, or round robin by arrival without a key."""
-    keyed = string_partition(F.col("key").cast("string"), partitions)
+    # The digest is a column of its own, so that it is computed only once.
+    digested = messages.select("*", key_digest(F.col("key").cast("string")).alias("_digest"))
+    keyed = partition_of_digest(F.col("_digest"), partitions)
     spread = round_robin_partition(F.col("arrival"), partitions)
-    # The hash comes first, not inside a CASE, so that its digest is computed only once. The
-    # last value makes the column not nullable, which spares filters that repeat the hash.
-    return messages.withColumn("partition", F.coalesce(keyed, spread, F.lit(0)))
+    # The last value makes the column not nullable, which spares filters that repeat the hash.
+    return digested.select(*messages.columns, F.coalesce(keyed, spread, F.lit(0)).alias("partition"))
 
 
 def with_arrival(messages: DataFrame) -> DataFrame:
