@@ -156,6 +156,18 @@ def test_catalog(spark, tmp_path):
         sample_topic(log, "/", 5)
 
 
+@pytest.mark.parametrize("name", ["a.b-c_1", "with space", "a=b", "é"])
+def test_topic_names(spark, tmp_path, name):
+    log = open_topic(spark, f"{tmp_path}/log")
+    for topic in (name, "other"):
+        publish(to_messages(spark.range(6), topic, columns=["id"], arrival="id"), log, 2)
+    assert {(b.topic, b.latest) for b in log.bounds(name).collect()} == {(name, 3)}
+    assert log.rows(name).count() == 6
+    assert log.read([OffsetRange(name, 0, 1, 3)]).count() == 2
+    assert sample_topic(log, name, 2).count() == 2
+    assert log.rows("none").count() == 0 and log.bounds("none").isEmpty()
+
+
 def test_live_topic_options(spark):
     topic = open_topic(spark, servers="h:1", topic="t", properties={"max.poll.records": "5"}, acknowledge_all=False)
     assert isinstance(topic, KafkaTopic)

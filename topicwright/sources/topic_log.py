@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -37,13 +38,23 @@ class TopicTable:
     path: str
     compression: str = "snappy"
 
-    def rows(self) -> DataFrame:
-        stored = self._stored()
+    def rows(self, topic: str | None = None) -> DataFrame:
+        """All messages (of one topic)."""
+        stored = self._stored(topic)
         return self.spark.createDataFrame([], LOG_SCHEMA) if stored is None else stored
 
-    def _stored(self) -> DataFrame | None:
+    def _stored(self, topic: str | None = None) -> DataFrame | None:
+        """The stored messages, or None if there is no table (or topic) yet."""
+        reader = self.spark.read.schema(LOG_SCHEMA)
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
+            if topic is None:
+                return reader.parquet(self.path)
+            # Listing only the topic's folder, where its name needs no escaping.
+            plain = re.fullmatch(r"[\w.-]+", topic, re.ASCII)
+            if plain:
+                reader = reader.option("basePath", self.path)
+            rows = reader.parquet(f"{self.path}/topic={topic}" if plain else self.path)
+            return rows.filter(F.col("topic") == topic)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -68,17 +79,16 @@ class TopicTable:
         session = self.spark.newSession()
         session.conf.set("spark.sql.sources.useV1SourceList", "")
         session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        rows = TopicTable(session, self.path)._stored()
+        rows = TopicTable(session, self.path)._stored(topic)
         if rows is None:
             return bounds_table(self.spark, [])
-        if topic is not None:
-            rows = rows.filter(F.col("topic") == topic)
         if known:
             rows = rows.filter(_from_known_segments(known))
         return bounds_table(self.spark, offset_bounds(rows).collect())
 
     def read(self, ranges: list[OffsetRange]) -> DataFrame:
-        return read_ranges(self.rows(), ranges)
+        topics = {r.topic for r in ranges}
+        return read_ranges(self.rows(topics.pop() if len(topics) == 1 else None), ranges)
 
     def append(
         self,
