@@ -18,8 +18,8 @@ from topicwright.operators.ranges import segment_of
 
 logger = logging.getLogger(__name__)
 
-# A block of arrivals may be up to 2^4 times larger than what one task should sort.
-MOST_SPREAD_BITS = 4
+# From this many partitions on, their shares of a block of arrivals are far smaller than a segment.
+MANY_PARTITIONS = 32
 
 
 def to_messages(
@@ -86,9 +86,9 @@ def with_offsets(messages: DataFrame, partitions: int, latest: DataFrame | None
     """Topic rows: each message with its partition and the next free offset there."""
     placed = with_partition(with_arrival(messages), partitions)
     first = None if latest is None else latest.withColumnRenamed("offset", "first")
-    # Blocks cover the arrivals of all partitions, so a few more bits keep each partition's
-    # share of a block about as large as a segment.
-    spread = min(partitions.bit_length() - 1, MOST_SPREAD_BITS)
+    # Blocks cover the arrivals of all partitions: for more than four, wider blocks keep each
+    # partition's share near a quarter of a segment, so that few files are written for it.
+    spread = max(0, partitions.bit_length() - 3) if partitions < MANY_PARTITIONS else 0
     numbered = number_rows(
         placed, ["topic", "partition"], "arrival", "offset", first, numbering.BLOCK_BITS + spread
     )
@@ -100,8 +100,7 @@ def with_offsets(messages: DataFrame, partitions: int, latest: DataFrame | None
 def segmented(rows: DataFrame, partitions: int) -> DataFrame:
     """Topic rows laid out for writing: sorted, and few files for each segment."""
     rows = rows.withColumn("segment", segment_of(F.col("offset")))
-    if partitions >> MOST_SPREAD_BITS > 1:
-        # Too many partitions for their shares of a block to fill a segment.
+    if partitions >= MANY_PARTITIONS:
         rows = rows.repartition("topic", "partition", "segment")
     return rows.sortWithinPartitions("topic", "partition", "segment", "offset")
 
