@@ -25,4 +25,4 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() == 200
+    assert contract.entry(spark).count() == 1000
