@@ -18,10 +18,10 @@ ORACLES = {
         ), links AS (
             SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
             WHERE 100 * common >= 80 * (x.n + y.n - common)
-        ), both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        ), ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
         reached AS (
             SELECT doc_id AS a, doc_id AS b FROM documents
-            UNION SELECT reached.a, both.b FROM reached JOIN both ON both.a = reached.b
+            UNION SELECT reached.a, ends.b FROM reached JOIN ends ON ends.a = reached.b
         )
         SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
         FROM documents d LEFT JOIN sizes s USING (doc_id)
