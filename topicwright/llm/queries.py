@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from topicwright.llm.jaccard_join import jaccard_components
+from topicwright.llm.quality import fit, held_out, score
 from topicwright.llm.shared import table
 
 
@@ -14,6 +16,14 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=5, share=80)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    model = fit(documents, labels.select("doc_id", F.col("quality").alias("label")))
+    predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0)
+    return score(documents, model).select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_ngram_jaccard_join,)
+    f.__name__: f for f in (op8_ngram_jaccard_join, op10_quality_classifier)
 }
