@@ -3,6 +3,11 @@
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op7_exact_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256({LOWER}) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY {LOWER})
+    """,
     "op8_ngram_jaccard_join": rf"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents

@@ -7,11 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicwright.llm.digest_dedup import exact_groups, first_half
 from topicwright.llm.jaccard_join import jaccard_components
 from topicwright.llm.quality import fit, held_out, score
 from topicwright.llm.shared import table
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    groups = exact_groups(documents, first_half(documents))
+    sha = F.lower(F.hex("digest")).alias("text_sha256")
+    return groups.select("doc_id", "keep_id", "group_size", "kept", sha)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=5, share=80)
 
@@ -25,5 +33,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_ngram_jaccard_join, op10_quality_classifier)
+    f.__name__: f for f in (op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
 }
