@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from topicwright.llm.digest_dedup import exact_groups, first_half
 from topicwright.llm.jaccard_join import jaccard_components
+from topicwright.llm.mixing import mix_documents
 from topicwright.llm.quality import fit, held_out, score
 from topicwright.llm.shared import table
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mix_documents(documents, None, share=1.5, epochs=2.0, seed=17)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     groups = exact_groups(documents, first_half(documents))
@@ -33,5 +40,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
+    f.__name__: f for f in (op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
 }
