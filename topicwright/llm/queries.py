@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicwright.llm.decontaminate import leaks
 from topicwright.llm.digest_dedup import exact_groups, first_half
 from topicwright.llm.jaccard_join import jaccard_components
 from topicwright.llm.mixing import mix_documents
@@ -14,6 +15,10 @@ from topicwright.llm.quality import fit, held_out, score
 from topicwright.llm.shared import table
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mix_documents(documents, None, share=1.5, epochs=2.0, seed=17)
@@ -40,5 +45,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
+    f.__name__: f for f in (op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
 }
