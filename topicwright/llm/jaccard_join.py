@@ -344,3 +344,12 @@ def jaccard_components(documents: DataFrame, words: int = 5, share: int = 80) ->
     smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+
+
+def without_near_copies(documents: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
+    """The rows of documents without those that are in a component with a row of a smaller id.
+
+    Rows that share an id stay or go together, and rows with a null id stay.
+    """
+    found = jaccard_components(documents, words, share).where("doc_id <> component_id")
+    return documents.join(found.select(F.col("doc_id").alias("_gone")), F.col("doc_id") == F.col("_gone"), "left_anti")

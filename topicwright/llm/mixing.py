@@ -69,57 +69,81 @@ def water_fill(sources: DataFrame, budget: float, epochs: float) -> DataFrame:
     return sources.withColumn("target", F.when(F.col("weight") > 0, share).otherwise(0.0))
 
 
-def mix(rows: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
-    """Rows (source, size, hash columns of `placed`) with their source's figures and `taken`, the words the mix takes."""
-    sources = targets.select(F.col("source").alias("_source"), "source_size", "target")
-    whole = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("bigint")
-    sources = sources.withColumn("whole", whole)
-    sources = sources.withColumn("part", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("bigint"))
+def placed(documents: DataFrame, seed: int) -> DataFrame:
+    """Documents (doc_id bigint, source string, text string) with `_place`: size in words, hash and bucket in the seeded order."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    hash_ = F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), text_hash))
+    place = F.struct(
+        words(F.col("text")).alias("size"),
+        hash_.alias("hash"),
+        F.pmod(hash_, F.lit(BUCKETS)).cast("int").alias("bucket"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        text_hash.alias("text_hash"),
+    )
+    return documents.withColumn("_place", place)
+
+
+def cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row (`_mix`) for each source of the target table: its figures, whole repetitions, and the bucket that its target cuts.
 
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
+    Of rows (source, _place) and targets (source, source_size, target).
+    """
+    whole = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("bigint")
+    sources = targets.select(F.col("source").alias("_source"), "source_size", "target", whole.alias("whole"))
+    part = F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("bigint")
+    sources = sources.withColumn("part", part)
+    buckets = rows.groupBy("source", F.col("_place.bucket").alias("bucket")).agg(F.sum("_place.size").alias("held"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
-    # The first bucket not taken whole; a row for each source.
+    # The first bucket that is not taken whole.
     edge = buckets.join(sources, F.expr("source <=> _source")).where("before + held > part")
-    edge = edge.groupBy("_source").agg(F.min(F.struct("bucket", "before")).alias("edge"))
-    sources = sources.join(edge.withColumnRenamed("_source", "_edge"), F.expr("_source <=> _edge"), "left").drop("_edge")
-    sources = written(sources, "edges")
-
-    placed = rows.join(sources, F.expr("source <=> _source"))
-    inside = F.col("bucket") == F.col("edge.bucket")
-    ordered = Window.partitionBy("_source").orderBy("hash", "doc_id", "size", "text_hash")
-    ordered = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    room = F.col("part") - F.col("edge.before") - F.coalesce(F.sum("size").over(ordered), F.lit(0))
-    at_edge = placed.where(inside).withColumn("extra", F.least(F.greatest(room, F.lit(0)), F.col("size")))
-    clear = placed.where(F.coalesce(~inside, F.lit(True)))
-    clear = clear.withColumn("extra", F.when(F.col("bucket") < F.coalesce("edge.bucket", F.lit(BUCKETS)), F.col("size")).otherwise(0))
-    return clear.union(at_edge).withColumn("taken", F.col("whole") * F.col("size") + F.col("extra"))
+    edge = edge.groupBy(F.col("_source").alias("_edge")).agg(F.min(F.struct("bucket", "before")).alias("edge"))
+    sources = sources.join(edge, F.expr("_source <=> _edge"), "left").drop("_edge")
+    return sources.select(F.struct(*sources.columns).alias("_mix"))
 
 
-def placed(documents: DataFrame, seed: int) -> DataFrame:
-    """(doc_id, source, size, text_hash, hash, bucket) of documents (doc_id bigint, source string, text string), without their texts."""
-    rows = documents.select(
-        "doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
-    )
-    rows = rows.withColumn("hash", F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash"))))
-    return rows.withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)).cast("int"))
+def taken(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows (source, _place, others) with their source's `_mix` and `_extra`, the words taken beyond whole repetitions."""
+    joined = rows.join(sources, F.expr("source <=> _mix._source"))
+    at_edge = F.coalesce(F.col("_place.bucket") == F.col("_mix.edge.bucket"), F.lit(False))
+    order = Window.partitionBy("source").orderBy("_place.hash", "_place.id", "_place.size", "_place.text_hash")
+    earlier = F.coalesce(F.sum("_place.size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    room = F.col("_mix.part") - F.col("_mix.edge.before") - earlier
+    cut = joined.where(at_edge).withColumn("_extra", F.least(F.greatest(room, F.lit(0)), F.col("_place.size")))
+    taken_whole = F.col("_place.bucket") < F.coalesce("_mix.edge.bucket", F.lit(BUCKETS))
+    clear = joined.where(~at_edge).withColumn("_extra", F.when(taken_whole, F.col("_place.size")).otherwise(0))
+    return clear.union(cut)
 
 
-def mix_documents(documents: DataFrame, weights: DataFrame | None, share: float, epochs: float, seed: int) -> DataFrame:
-    """(doc_id, source, size, source_size, weight, target, whole, extra, taken, text_hash) of every row of documents.
+def mix_documents(
+    documents: DataFrame, weights: DataFrame | None, share: float, epochs: float, seed: int, whole_rows: bool = False
+) -> DataFrame:
+    """Every row of documents as (doc_id, source, size, source_size, target, whole, extra, taken).
 
     `share` of the words of all documents is the budget. `weights` is a table (source, weight), null source included; without it
     sources by code point, null last, weigh 3, 1, 2, repeating. `taken` is `whole` times the size and the `extra` first words.
+    With `whole_rows`, all columns of documents come before these; theirs give way where names are the same.
     """
-    rows = written(placed(documents, seed), "sizes")
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    needed = documents.select("doc_id", "source", "text")
+    rows = written(placed(needed, seed).drop("text"), "sizes")
+    sources = rows.groupBy("source").agg(F.sum("_place.size").alias("source_size"))
     if weights is None:
-        order = F.pmod("rank", F.lit(3))
-        sources = ranked(sources).withColumn("weight", F.element_at(F.array(*map(F.lit, (3.0, 1.0, 2.0))), (order + 1).cast("int"))).drop("rank")
+        cycle = F.array(*map(F.lit, (3.0, 1.0, 2.0)))
+        weight = F.element_at(cycle, (F.pmod("rank", F.lit(3)) + 1).cast("int"))
+        sources = ranked(sources).withColumn("weight", weight).drop("rank")
     else:
         given = weights.select(F.col("source").alias("_given"), F.col("weight").cast("double").alias("weight"))
         sources = sources.join(given, F.expr("source <=> _given"), "left").drop("_given").fillna(0.0, ["weight"])
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    targets = water_fill(sources, share * total, epochs)
-    mixed = mix(rows, targets, seed)
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "whole", "extra", "taken", "text_hash")
+    edges = written(cuts(rows, water_fill(sources, share * total, epochs)), "edges")
+    mixed = taken(placed(documents, seed) if whole_rows else rows, edges)
+    figures = {
+        "size": F.col("_place.size"),
+        "source_size": F.col("_mix.source_size"),
+        "target": F.col("_mix.target"),
+        "whole": F.col("_mix.whole"),
+        "extra": F.col("_extra"),
+        "taken": F.col("_mix.whole") * F.col("_place.size") + F.col("_extra"),
+    }
+    own = [c for c in documents.columns if c.lower() not in figures] if whole_rows else ["doc_id", "source"]
+    return mixed.select(*own, *(c.alias(name) for name, c in figures.items()))

@@ -163,8 +163,9 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> Neighb
 
 
 def score(documents: DataFrame, model: Neighbours) -> DataFrame:
-    """Every row of documents with its score in a column `score`; its other columns stay as they are."""
+    """Every row of documents with its score in a column `score`; its other columns stay as they are, but one of that name."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    documents = documents.select(*(c for c in documents.columns if c.lower() != "score"))
     columns = documents.columns
     kind = documents.select(*columns, F.lit(0.0).alias("_score")).schema
 
