@@ -1,8 +1,86 @@
 """SQL for DuckDB with the rows of each query that SQL can express."""
 
+from topicwright.llm.licenses import RULES, SENTENCES, plain
+from topicwright.llm.url_filter import CLOSE, DAMPING, STEPS, THRESHOLD
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_KNOWN = ", ".join(f"{_quoted(plain(text))}: {_quoted(name)}" for name, text in SENTENCES.items())
+_SPELLED = {"".join(f"<{x}>" for x in rule): name for name, rule in RULES}
+_NAMES = ", ".join(f"{_quoted(rule)}: {_quoted(name)}" for rule, name in _SPELLED.items())
+_LONGEST_FIRST = "|".join(sorted(_SPELLED, key=lambda s: (-s.count("<"), s)))
+_NORMALISED = "trim(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))"
+
 ORACLES = {
+    # The ranks are the sums over all paths of links, step by step.
+    "op2_url_filter": rf"""
+        WITH RECURSIVE parts AS (
+            SELECT page_id, html,
+                   translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 2), '') AS path
+            FROM pages
+        ), judged AS (
+            SELECT *, CASE
+                WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM parts
+        ), said AS (
+            SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said
+            FROM judged
+        ), targets AS (
+            SELECT DISTINCT page_id, host AS source, lower(unnest(regexp_extract_all(
+                html, '(?i)\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s<>]+)', 1))) AS target
+            FROM said
+        ), links AS (
+            SELECT source, target, count(*) AS pages FROM targets
+            WHERE source <> '' AND target <> '' AND source <> target GROUP BY ALL
+        ), flow AS (
+            SELECT source AS a, target AS b, pages / sum(pages) OVER (PARTITION BY source) AS share, 'allow' AS kind FROM links
+            UNION ALL SELECT target, source, pages / sum(pages) OVER (PARTITION BY target), 'block' FROM links
+        ), paths AS (
+            SELECT 0 AS step, host, k.kind, avg((coalesce(said, '') = k.kind)::INT) AS value
+            FROM said, (VALUES ('allow'), ('block')) k(kind) WHERE host <> '' GROUP BY ALL
+            UNION ALL
+            SELECT step + 1, flow.b, paths.kind, sum({DAMPING} * value * share)
+            FROM paths JOIN flow ON flow.a = paths.host AND flow.kind = paths.kind
+            WHERE step < {STEPS} AND value > {CLOSE} / 100 GROUP BY step + 1, flow.b, paths.kind
+        ), ranks AS (
+            SELECT host, sum(CASE kind WHEN 'block' THEN value ELSE -value END) >= {THRESHOLD} AS blocked FROM paths GROUP BY host
+        )
+        SELECT page_id, host, path, rule,
+               coalesce(said, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
+        FROM said LEFT JOIN ranks USING (host)
+    """,
+    "op3_license_scan": rf"""
+        WITH cut AS (
+            SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''),
+                '([.!?;:])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), '\n[ \t\n\x0B\f\r]*\n', chr(1), 'g'), chr(1)) AS parts,
+                MAP {{{_KNOWN}}} AS known
+            FROM documents
+        ), ids AS (
+            SELECT doc_id, flatten(list_transform(parts, lambda s:
+                CASE WHEN known[{_NORMALISED.format('s')}] IS NOT NULL THEN [known[{_NORMALISED.format('s')}]]
+                ELSE list_filter(list_transform(string_split(s, chr(10)), lambda l: known[{_NORMALISED.format('l')}]),
+                                 lambda x: x IS NOT NULL) END)) AS sentences
+            FROM cut
+        ), taken AS (
+            SELECT *, regexp_extract_all(array_to_string(list_transform(sentences, lambda x: '<' || x || '>'), ''),
+                                         '{_LONGEST_FIRST}') AS taken
+            FROM ids
+        )
+        SELECT doc_id, coalesce(list_sort(list_distinct(list_transform(taken, lambda t: MAP {{{_NAMES}}}[t]))), []) AS licenses,
+               sentences,
+               (len(sentences) - coalesce(list_sum(list_transform(taken, lambda t: len(t) - len(replace(t, '<', '')))), 0))::INT AS unexplained
+        FROM taken
+    """,
     "op7_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256({LOWER}) AS text_sha256

@@ -10,9 +10,22 @@ from pyspark.sql import functions as F
 from topicwright.llm.decontaminate import leaks
 from topicwright.llm.digest_dedup import exact_groups, first_half
 from topicwright.llm.jaccard_join import jaccard_components
+from topicwright.llm.licenses import scan
 from topicwright.llm.mixing import mix_documents
 from topicwright.llm.quality import fit, held_out, score
 from topicwright.llm.shared import table
+from topicwright.llm.url_filter import judge
+
+#: Rules of a host and the beginning of a path.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,5 +58,6 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
+    f.__name__: f for f in (
+        op2_url_filter, op3_license_scan, op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
 }
