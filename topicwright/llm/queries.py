@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from topicwright.llm.decontaminate import leaks
 from topicwright.llm.digest_dedup import exact_groups, first_half
 from topicwright.llm.jaccard_join import jaccard_components
+from topicwright.llm.language import identify
 from topicwright.llm.licenses import scan
 from topicwright.llm.mixing import mix_documents
 from topicwright.llm.quality import fit, held_out, score
@@ -28,6 +29,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,5 +64,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_url_filter, op3_license_scan, op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
+        op2_url_filter, op3_license_scan, op4_language_id, op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
 }
