@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicwright.llm.text_arrays import LOWER, Texts, mix, slices
+from topicwright.llm.text_arrays import Texts, mix, normalised, slices
 
 Q = 12
 WINDOW = 100
@@ -31,23 +31,6 @@ EDITS_PER_100 = 5
 LEAST = 30
 BLOCK_BYTES = 8 << 20
 
-_SOLID = np.zeros(256, bool)
-for _low, _high in ((48, 58), (65, 91), (97, 123), (128, 256)):
-    _SOLID[_low:_high] = True
-
-
-def normalised(texts: Texts) -> tuple[Texts, np.ndarray]:
-    """The texts as they are compared, and where each of their bytes was."""
-    data = np.where(_SOLID[texts.data], LOWER[texts.data], np.uint8(32))
-    first = np.zeros(len(data) + 1, bool)
-    first[texts.offsets] = True
-    keep = data != 32
-    keep[1:] |= (data[1:] == 32) & (data[:-1] != 32) & ~first[1:-1]
-    places = np.flatnonzero(keep)
-    offsets = np.searchsorted(places, texts.offsets)
-    return Texts(data[places], offsets), places
-
-
 def grams(data: np.ndarray) -> np.ndarray:
     """A hash of the Q bytes from each place on."""
     count = len(data) - Q + 1
@@ -77,7 +60,7 @@ class Windows:
         column, _ = normalised(texts_from(texts))
         items, parts = [], []
         for i, item in enumerate(ids):
-            data = np.frombuffer(column.bytes_of(i).rstrip(b" "), np.uint8)
+            data = np.frombuffer(column.bytes_of(i), np.uint8)
             if len(data) < LEAST:
                 continue
             last = max(0, len(data) - WINDOW)

@@ -12,6 +12,7 @@ from topicwright.llm.digest_dedup import exact_groups, first_half
 from topicwright.llm.jaccard_join import jaccard_components
 from topicwright.llm.language import identify
 from topicwright.llm.licenses import scan
+from topicwright.llm.line_dedup import dropped_lines
 from topicwright.llm.mixing import mix_documents
 from topicwright.llm.quality import fit, held_out, score
 from topicwright.llm.shared import table
@@ -54,6 +55,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=5, share=80)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dropped_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "dropped")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~held_out())
@@ -64,5 +69,6 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_url_filter, op3_license_scan, op4_language_id, op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op10_quality_classifier)
+        op2_url_filter, op3_license_scan, op4_language_id, op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op9_line_dedup,
+        op10_quality_classifier)
 }

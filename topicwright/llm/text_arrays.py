@@ -12,11 +12,14 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
-MOST_ROWS = 1 << 16
+MOST_ROWS = 1 << 12
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+SOLID = np.zeros(256, bool)
+for _low, _high in ((48, 58), (65, 91), (97, 123), (128, 256)):
+    SOLID[_low:_high] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ROOT = 0xD6E8FEB86659FD93
 
@@ -110,6 +113,23 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         start = end
 
 
+def normalised(texts: Texts) -> tuple[Texts, np.ndarray]:
+    """Each text as its runs of letters, digits and bytes beyond ASCII, A-Z lower-cased, with one space in between.
+
+    The second result is where each byte was before.
+    """
+    data = np.where(SOLID[texts.data], LOWER[texts.data], np.uint8(32))
+    first = np.zeros(len(data) + 1, bool)
+    first[texts.offsets] = True
+    keep = data != 32
+    keep[1:] |= (data[1:] == 32) & (data[:-1] != 32) & ~first[1:-1]
+    places = np.flatnonzero(keep)
+    offsets = np.searchsorted(places, texts.offsets)
+    last = np.unique(offsets[1:][offsets[1:] > offsets[:-1]]) - 1
+    places = np.delete(places, last[data[places[last]] == 32])
+    return Texts(data[places], np.searchsorted(places, texts.offsets)), places
+
+
 def sequence_hashes(words: np.ndarray, owner: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each run of so many words of one text, and the text."""
     count = len(words) - length + 1
