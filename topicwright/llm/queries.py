@@ -15,13 +15,31 @@ from topicwright.llm.licenses import scan
 from topicwright.llm.line_dedup import dropped_lines
 from topicwright.llm.mixing import mix_documents
 from topicwright.llm.quality import fit, held_out, score
-from topicwright.llm.shared import table
+from topicwright.llm.shared import folder, table, written
+from topicwright.llm.token_counts import Rollup, counted, deletes, inserts, rank_file, revisions
 from topicwright.llm.url_filter import judge
 
+#: A public vocabulary; the setting `topicwright.tokenizer.ranks` names another one.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Rules of a host and the beginning of a path.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all documents, redact e-mail addresses, withdraw toxic documents, and commit the redaction once more, in vain."""
+    ranks = rank_file(spark.conf.get("topicwright.tokenizer.ranks", TOKENIZER))
+    documents = table(spark, sf_dir, "documents")
+    rows = written(counted(documents, {"byte_bpe_50k": ranks, "words": None}), "tokens")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    redacted = revisions(rows.where("tokens <> redacted"), "tokens", "redacted")
+    rollup = Rollup(spark, folder(spark))
+    rollup.commit("load", inserts(rows))
+    rollup.commit("redact", redacted)
+    rollup.commit("withdraw", deletes(rows.join(toxic, "doc_id", "left_semi"), "redacted"))
+    rollup.commit("redact", redacted)
+    return rollup.totals()
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -68,7 +86,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
-        op2_url_filter, op3_license_scan, op4_language_id, op5_benchmark_decontamination, op6_mix_sources, op7_exact_dedup, op8_ngram_jaccard_join, op9_line_dedup,
-        op10_quality_classifier)
+    query.__name__: query
+    for query in (
+        op1_token_counts,
+        op2_url_filter,
+        op3_license_scan,
+        op4_language_id,
+        op5_benchmark_decontamination,
+        op6_mix_sources,
+        op7_exact_dedup,
+        op8_ngram_jaccard_join,
+        op9_line_dedup,
+        op10_quality_classifier,
+    )
 }
