@@ -1,0 +1,29 @@
+"""Queries against their SQL, and the shape of the contract."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from compare import assert_same, oracle_connection
+from topicwright.llm.oracles import ORACLES
+from topicwright.llm.queries import QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_sql(spark, oracle, name):
+    assert assert_same(QUERIES[name](spark, SF_DIR), oracle, ORACLES[name]) > 0
+
+
+def test_contract():
+    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert set(QUERIES) <= set(contract.queries()) and contract.queries()["pipeline"] is corpus_pipeline.run
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontaminate", "mix"]

@@ -5,7 +5,8 @@ hash, and n-grams that many texts hold come last, by their number of texts. Two
 first `n - ceil(share * n) + 1` of either, so sets only meet at such an n-gram. Where they meet, the places bound what they
 can still share; that bound decides which pairs are checked. The check stores the partners of a set in a prefix tree
 over the global order, walks it once with the overlap counted so far, and leaves a subtree as soon as what remains of
-the longest set in it, or of the set that asks, cannot reach the overlap needed.
+the longest set in it, or of the set that asks, cannot reach the overlap needed. Before that, the parities of the sets'
+n-grams in BITS classes bound from below how many n-grams only one of the two has.
 
 Equal sets are one class from the start. Sets that meet at an n-gram are first checked against the one with the smallest
 key. Components over the links found so far then leave only pairs of different components to check, so a large group
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicwright.llm.shared import components, written
+from topicwright.llm.sieve import passes, sieve
 from topicwright.llm.text_arrays import Texts, mix, shingle_sets, slices
 
 #: N-grams held by so many texts at least are counted as frequent. It and MOST_FREQUENT only shape the order, not the result.
@@ -35,6 +37,8 @@ FREQUENT = 8
 MOST_FREQUENT = 1 << 19
 #: N-gram hashes that a task counts at once.
 AT_ONCE = 1 << 21
+#: Classes of n-grams whose parities are kept of each set.
+BITS = 512
 #: Sets of one side in a cell of the grid in which pairs are checked.
 CELL_SETS = 2048
 
@@ -52,37 +56,67 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Re
             yield rows, texts, values, begins
 
 
+def parities(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For each set, whether it has an odd number of n-grams of each class, as 64-bit numbers."""
+    owner = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    cells = owner * BITS + (values % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=(len(begins) - 1) * BITS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(-1, BITS), axis=1).view(np.int64)
+
+
 def text_sets(documents: DataFrame, words: int) -> DataFrame:
-    """(doc_id, set_key, n) of every text."""
+    """(doc_id, set_key, n, odd) of every text."""
 
     def run(batches):
         for rows, _, values, begins in _sets(batches, words):
-            keys = pa.array(set_keys(values, begins))
-            yield pa.record_batch([rows.column("doc_id"), keys, pa.array(np.diff(begins))], ["doc_id", "set_key", "n"])
+            odd = pa.FixedSizeListArray.from_arrays(pa.array(parities(values, begins).ravel()), BITS // 64)
+            odd = odd.cast(pa.list_(pa.int64()))
+            columns = [rows.column("doc_id"), pa.array(set_keys(values, begins)), pa.array(np.diff(begins)), odd]
+            yield pa.record_batch(columns, ["doc_id", "set_key", "n", "odd"])
+
+    return documents.mapInArrow(run, "doc_id bigint, set_key bigint, n bigint, odd array<bigint>")
+
+
+def _pack(values: np.ndarray, size: int) -> bytes:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def _unpack(packed: bytes, size: int) -> np.ndarray:
+    wide = np.zeros((len(packed) // size, 8), np.uint8)
+    wide[:, :size] = np.frombuffer(packed, np.uint8).reshape(-1, size)
+    return wide.view("<u8").ravel()
+
 
-    return documents.mapInArrow(run, "doc_id bigint, set_key bigint, n bigint")
+def pack_run(values: np.ndarray) -> bytes:
+    """Ascending 40-bit numbers: the first one, then steps of 3 bytes, or of 5 where one is larger."""
+    steps = np.diff(values)
+    size = 3 if not len(steps) or steps.max() < 1 << 24 else 5
+    return bytes([size]) + _pack(values[:1], 5) + _pack(steps, size)
+
+
+def unpack_run(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate([_unpack(packed[1:6], 5), _unpack(packed[6:], packed[0])]), dtype=np.uint64)
 
 
 def frequent_grams(documents: DataFrame, words: int, grams: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the n-grams that most texts hold, in ascending order, and their numbers of texts.
+    """The first 40 bits of the hashes of the n-grams that most texts hold, in ascending order, and their numbers of texts.
 
-    Counted over all texts, for the lower half of the hashes, which holds the first places of nearly all sets. Hashes go
-    to the counting tasks in packed runs, and each task counts one range of hashes.
+    Counted over all texts. Hashes go to the counting tasks in packed runs, and each task counts one range of hashes.
     """
     ranges = 1 << max(4, min(16, int(np.ceil(np.log2(max(1, grams / AT_ONCE))))))
-    shift = np.uint64(47 - int(np.log2(ranges)))
+    shift = np.uint64(48 - int(np.log2(ranges)))
 
     def packed(values: list[np.ndarray]) -> pa.RecordBatch:
         joined = np.sort(np.concatenate(values))
         cuts = np.searchsorted(joined, np.arange(ranges + 1, dtype=np.uint64) << shift)
         held = np.flatnonzero(np.diff(cuts))
-        runs = [joined[cuts[i] : cuts[i + 1]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for i in held]
+        runs = [pack_run(joined[cuts[i] : cuts[i + 1]] >> np.uint64(8)) for i in held]
         return pa.record_batch([pa.array(held), pa.array(runs, pa.binary())], ["range", "hashes"])
 
     def deal(batches):
         waiting, size = [], 0
         for _, _, values, _ in _sets(batches, words):
-            waiting.append(values[values < np.uint64(1 << 47)])
+            waiting.append(values)
             size += len(waiting[-1])
             if size >= AT_ONCE:
                 yield packed(waiting)
@@ -94,10 +128,7 @@ def frequent_grams(documents: DataFrame, words: int, grams: int) -> tuple[np.nda
         parts = {}
         for batch in batches:
             for key, run in zip(batch.column("range").to_pylist(), batch.column("hashes")):
-                raw = np.frombuffer(run.as_buffer(), np.uint8).reshape(-1, 6)
-                wide = np.zeros((len(raw), 8), np.uint8)
-                wide[:, :6] = raw
-                parts.setdefault(key, []).append(wide.view("<u8").ravel())
+                parts.setdefault(key, []).append(unpack_run(run.as_py()))
         for key in list(parts):
             hashes, texts = np.unique(np.concatenate(parts.pop(key)), return_counts=True)
             many = texts >= FREQUENT
@@ -114,8 +145,9 @@ def global_order(values: np.ndarray, begins: np.ndarray, frequent: tuple[np.ndar
     grams, texts = frequent
     rank = np.zeros(len(values), np.int64)
     if len(grams) and len(values):
-        at = np.minimum(np.searchsorted(grams, values), len(grams) - 1)
-        rank = np.where(grams[at] == values, texts[at], 0)
+        first = values >> np.uint64(8)
+        at = np.minimum(np.searchsorted(grams, first), len(grams) - 1)
+        rank = np.where(grams[at] == first, texts[at], 0)
     owner = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
     late = np.flatnonzero(rank)
     if not len(late):
@@ -160,25 +192,27 @@ def _may_link(a: str, b: str, share: int) -> str:
     return f"{100 + share} * cast({rest} as bigint) >= {share} * (cast({a}.n as bigint) + {b}.n)"
 
 
-def ordered_sets(documents: DataFrame, words: int, frequent) -> DataFrame:
-    """(set_key, n, grams): each set in the global order, packed."""
+def _few_apart(a: str, b: str, share: int) -> str:
+    """Whether the parities of two sets leave it open that they link: each that differs is an n-gram of only one."""
+    apart = " + ".join(f"bit_count({a}.odd[{i}] ^ {b}.odd[{i}])" for i in range(BITS // 64))
+    return f"{100 + share} * cast({apart} as bigint) <= {100 - share} * (cast({a}.n as bigint) + {b}.n)"
+
+
+def ordered_sets(documents: DataFrame, words: int, frequent, keys: DataFrame) -> DataFrame:
+    """(set_key, grams): the sets with these keys in the global order, packed."""
+    held = documents.sparkSession.sparkContext.broadcast(sieve(keys.select("set_key")))
 
     def run(batches):
+        seen: set[int] = set()
         for _, _, values, begins in _sets(batches, words):
+            own = set_keys(values, begins)
+            taken = [i for i in np.flatnonzero(passes(held.value, own)).tolist() if own[i] not in seen]
+            seen.update(own[taken].tolist())
             ordered = global_order(values, begins, frequent.value)
-            raw = ordered.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-            grams = [raw[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:])]
-            columns = [pa.array(set_keys(values, begins)), pa.array(np.diff(begins)), pa.array(grams, pa.binary())]
-            yield pa.record_batch(columns, ["set_key", "n", "grams"])
+            grams = [_pack(ordered[begins[i] : begins[i + 1]], 6) for i in taken]
+            yield pa.record_batch([pa.array(own[taken]), pa.array(grams, pa.binary())], ["set_key", "grams"])
 
-    return documents.select("text").mapInArrow(run, "set_key bigint, n bigint, grams binary")
-
-
-def unpack(grams: bytes) -> np.ndarray:
-    raw = np.frombuffer(grams, np.uint8).reshape(-1, 6)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :6] = raw
-    return wide.view("<u8").ravel()
+    return documents.select("text").mapInArrow(run, "set_key bigint, grams binary")
 
 
 class PrefixTree:
@@ -248,7 +282,7 @@ class PrefixTree:
         return found
 
 
-def checked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+def checked(pairs: DataFrame, documents: DataFrame, words: int, share: int, frequent) -> DataFrame:
     """The pairs (a, b) that link.
 
     Pairs are dealt to the cells of a grid over their two sets, so that a set with many partners goes to as many cells as
@@ -281,14 +315,17 @@ def checked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
                 if grams is None:
                     asks.append((a, b))
                 else:
-                    stored[a] = unpack(grams)
+                    stored[a] = _unpack(grams, 6)
         if asks:
             yield links()
 
     needed = cells.select("cell", "a").union(cells.select("cell", "b")).distinct()
+    keys = needed.select(F.col("a").alias("set_key"))
+    sets = ordered_sets(documents, words, frequent, keys).dropDuplicates(["set_key"])
     shipped = needed.join(sets.selectExpr("set_key as a", "grams"), "a").selectExpr("cell", "a", "null as b", "grams")
     rows = cells.selectExpr("cell", "a", "b", "cast(null as binary) as grams").union(shipped)
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a bigint, b bigint")
+    dealt = rows.repartition("cell").sortWithinPartitions("cell")
+    return written(dealt.mapInArrow(run, "a bigint, b bigint"), "links")
 
 
 def jaccard_components(documents: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
@@ -315,32 +352,23 @@ def jaccard_components(documents: DataFrame, words: int = 5, share: int = 80) ->
     star = met.where(f"first.set_key <> set_key and {_may_link('first', 'met', share)}".replace("met.", ""))
     star = written(star.selectExpr("first.set_key as a", "set_key as b").distinct(), "star")
 
-    # One text for each set that takes part in a pair that may be checked.
-    active = met.select("set_key").distinct()
-    holders = rows.groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).join(active, "set_key", "left_semi")
-    texts = documents.join(holders.select(F.col("doc_id").alias("held")), F.expr("doc_id <=> held"), "left_semi")
-    sets = written(ordered_sets(texts, words, frequent), "grams")
-
-    links = written(checked(star, sets, share), "links")
+    links = checked(star, documents, words, share, frequent)
     parts = components(links)
     placed = met.join(parts.select(F.col("node").alias("set_key"), "component"), "set_key", "left")
     placed = placed.withColumn("component", F.coalesce("component", "set_key")).drop("first")
-    mixed = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = written(placed.join(mixed.where("low <> high").select("gram"), "gram", "left_semi"), "mixed")
-    sides = placed.select("gram", "component").distinct()
-    sides = sides.alias("l").join(sides.alias("r"), F.expr("l.gram = r.gram and l.component < r.component"))
-    sides = sides.selectExpr("l.gram", "l.component as one", "r.component as other")
-    pairs = (
-        sides.join(placed.alias("x"), F.expr("x.gram = l.gram and x.component = one"))
-        .join(placed.alias("y"), F.expr("y.gram = l.gram and y.component = other"))
-        .where(_may_link("x", "y", share))
-        .selectExpr("least(x.set_key, y.set_key) as a", "greatest(x.set_key, y.set_key) as b")
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = written(checked(pairs, sets, share), "links")
+    # Of the components that meet at an n-gram, all but the largest ask the others.
+    sizes = placed.groupBy("gram", "component").agg(F.count("*").alias("sets"))
+    largest = sizes.groupBy("gram").agg(F.max(F.struct("sets", "component")).alias("largest"), F.count("*").alias("parts"))
+    largest = largest.where("parts > 1").select("gram", F.col("largest.component").alias("largest"))
+    odd = rows.groupBy("set_key").agg(F.first("odd").alias("odd"))
+    placed = written(placed.join(largest, "gram").join(odd, "set_key"), "mixed")
+    meet = "x.gram = y.gram and x.component <> y.component and (y.component = y.largest or x.set_key < y.set_key)"
+    pairs = placed.where("component <> largest").alias("x").join(placed.alias("y"), F.expr(meet))
+    pairs = pairs.where(_may_link("x", "y", share)).where(_few_apart("x", "y", share))
+    pairs = pairs.selectExpr("least(x.set_key, y.set_key) as a", "greatest(x.set_key, y.set_key) as b").distinct()
+    more = checked(pairs.join(star, ["a", "b"], "left_anti"), documents, words, share, frequent)
     parts = components(links.union(more)).select(F.col("node").alias("set_key"), "component")
-    rows = rows.join(parts, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    rows = rows.drop("odd").join(parts, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
     smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
