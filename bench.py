@@ -22,7 +22,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 # Writing to a topic is timed on its own below; these read topics that are already there.
 READS = [
     "s1_bounded_scan", "s3_partition_select", "s4_topic_sample", "s5_topic_catalogue",
-    "f2_latest_offsets", "f7_range_plan", "f8_range_read", "f10_saved_offset_check", "f14_read_progress",
+    "f2_latest_offsets", "f7_range_plan", "f8_range_read", "f10_saved_offset_check", "f8_many_ranges",
     "p1_raw_payload", "p2_csv_decode", "p3_tsv_decode", "p4_text_decode", "p5_clf_decode",
     "p6_syslog_decode", "p7_pattern_decode", "p12_schema_shaping",
     "k2_csv_body", "k3_json_body", "k6_string_partitioner", "k8_alert_routing",

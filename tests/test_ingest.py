@@ -240,7 +240,7 @@ def test_negative_rate_is_rejected(log, shape, tmp_path):
 def test_ticking_query(log, shape, tmp_path):
     send(log, RUN_1 + RUN_2)
     ingest = tracked(log, shape, tmp_path, rate=3, interval_seconds=1)
-    query = ingest.start_ticking(f"{tmp_path}/clock")
+    query = ingest.start_stream(f"{tmp_path}/clock")
     try:
         for _ in range(60):
             if query.awaitTermination(1) or read_offsets(log.spark, f"{tmp_path}/source.users") == {0: 6}:
@@ -256,7 +256,7 @@ def test_failing_tick_ends_the_query(log, shape, tmp_path):
     def fail(rows, tick):
         raise RuntimeError("failing batch")
 
-    query = tracked(log, shape, tmp_path, fail).start_ticking(f"{tmp_path}/clock")
+    query = tracked(log, shape, tmp_path, fail).start_stream(f"{tmp_path}/clock")
     with pytest.raises(Exception, match="failing batch"):
         query.awaitTermination(60)
     assert read_offsets(log.spark, f"{tmp_path}/source.users") is None
@@ -265,7 +265,7 @@ def test_failing_tick_ends_the_query(log, shape, tmp_path):
 def test_stream_publish_round_trip(log, shape, tmp_path):
     send(log, RUN_1)
     target = open_topic(log.spark, f"{tmp_path}/target")
-    rows = log.stream(1).select(F.col("value").cast("string").alias("line"), "offset")
+    rows = log.stream(max_files=1).select(F.col("value").cast("string").alias("line"), "offset")
     messages = to_messages(rows, "copy", columns=["line"], arrival="offset")
     for extra in (RUN_2, []):
         stream_publish(messages, target, f"{tmp_path}/c", 2, ONCE).awaitTermination()

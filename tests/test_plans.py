@@ -17,7 +17,7 @@ from topicwright import (
     to_messages,
 )
 from topicwright.operators.publish import with_offsets
-from topicwright.sources.topic_log import _from_known_segments
+from topicwright.operators.ranges import from_known_segments
 
 
 @pytest.fixture(scope="module")
@@ -74,7 +74,7 @@ def test_bounds_come_from_footers(spark, log):
     session.conf.set("spark.sql.sources.useV1SourceList", "")
     session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     rows = TopicTable(session, log.path).rows()
-    for some in (rows, rows.filter(_from_known_segments({("t", 1): 5, ("t", 2): 1 << 20}))):
+    for some in (rows, rows.filter(from_known_segments({("t", 1): 5, ("t", 2): 1 << 20}))):
         text = plan(offset_bounds(some))
         assert "PushedAggregation: [MIN(offset), MAX(offset), COUNT(*)]" in text
         assert "PushedGroupBy: [topic, partition, segment]" in text

@@ -8,8 +8,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from topicwright import (
+    BatchIngest,
     KafkaTopic,
     OffsetRange,
+    RecordShape,
     alerts,
     list_topics,
     open_topic,
@@ -168,6 +170,51 @@ def test_topic_names(spark, tmp_path, name):
     assert log.rows("none").count() == 0 and log.bounds("none").isEmpty()
 
 
+def test_published_rows_hold_every_field(spark, tmp_path):
+    """As in the readme: the arrival and key columns are part of the body."""
+    users = spark.createDataFrame([(1, "samuel", "jackson"), (2, "dwayne", "johnson")], "id bigint, first string, last string")
+    log = open_topic(spark, f"{tmp_path}/log")
+    publish(to_messages(users, "users", key="last", arrival="id"), log, partitions=3)
+    shape = RecordShape("id bigint, first string, last string", format="csv")
+    assert sorted(map(tuple, BatchIngest(log, "users", shape).rows().collect())) == [(1, "samuel", "jackson"), (2, "dwayne", "johnson")]
+
+
+def test_routed_rows_keep_their_key(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (None, None)], "id bigint, last string")
+    log = open_topic(spark, f"{tmp_path}/log")
+    publish(route_on_null(rows, ["id"], "rows", "alerts", "nullAlert", key="last"), log, 2)
+    found = sorted((r.topic, bytes(r.key or b"").decode(), bytes(r.value).decode()) for r in log.rows().collect())
+    alert = ("alerts", "", '{"stageName":"nullAlert","payload":{}}')
+    assert found == [alert, alert, ("rows", "a", "1,a"), ("rows", "c", "2,c")]
+    with pytest.raises(PySparkException, match="Null in the key field last"):
+        route_on_null(spark.createDataFrame([(1, None)], rows.schema), ["id"], "rows", "alerts", "s", key="last").collect()
+
+
+class FakeReader:
+    def __init__(self):
+        self.given = {}
+
+    def format(self, name):
+        return self
+
+    def options(self, **options):
+        self.given |= options
+        return self
+
+    def load(self):
+        return self.given
+
+
+def test_live_stream_starts_at_its_offsets_with_its_cap():
+    reader = FakeReader()
+    topic = KafkaTopic(type("Session", (), {"readStream": reader})(), "h:1", "t")
+    topic.stream("t", {0: 5, 1: 7}, None, topic.rate_options(1000, 2, 2))
+    assert reader.given["startingOffsets"] == '{"t": {"0": 5, "1": 7}}'
+    assert reader.given["maxOffsetsPerTrigger"] == "4000"
+    topic.stream()
+    assert reader.given["startingOffsets"] == "latest"
+
+
 def test_live_topic_options(spark):
     topic = open_topic(spark, servers="h:1", topic="t", properties={"max.poll.records": "5"}, acknowledge_all=False)
     assert isinstance(topic, KafkaTopic)

@@ -18,13 +18,12 @@ from topicwright import (
     to_messages,
 )
 from topicwright.operators import ranges
-from topicwright.sources import topic_log
+from topicwright.operators.ranges import from_known_segments
 
 
 @pytest.fixture
 def small_segments(monkeypatch):
     monkeypatch.setattr(ranges, "SEGMENT_BITS", 3)
-    monkeypatch.setattr(topic_log, "SEGMENT_BITS", 3)
 
 
 def send(log, low, high, partitions):
@@ -70,10 +69,52 @@ def test_known_offsets_skip_old_segments(spark, tmp_path, small_segments, monkey
     assert {tuple(b) for b in log.bounds(known=known).collect()} == {("t", 0, 16, 33, 17)}
     publish(to_messages(spark.range(5), "u", columns=["id"], arrival="id"), log, 1)
     assert ("u", 0, 0, 5, 5) in {tuple(b) for b in log.bounds(known=known).collect()}
-    monkeypatch.setattr(topic_log, "LITERAL_RANGES", 1)
-    assert {tuple(b) for b in log.bounds(known=known).collect()} == {
-        ("t", 0, 16, 33, 17), ("t", 1, 16, 32, 16), ("u", 0, 0, 5, 5),
-    }
+    wanted = {("t", 0, 16, 33, 17), ("u", 0, 0, 5, 5)}
+    assert {tuple(b) for b in log.bounds(known=known).collect()} == wanted
+    # With fewer conditions than different spans, more segments are looked at, never fewer.
+    monkeypatch.setattr(ranges, "LITERAL_RANGES", 1)
+    assert {tuple(b) for b in log.bounds(known=known).collect()} == wanted | {("t", 1, 16, 32, 16)}
+
+
+@pytest.mark.parametrize("known_partitions", [1, 200, 201, 1000])
+def test_a_new_partition_of_a_known_topic_is_found(spark, small_segments, known_partitions):
+    """Whatever the number of known partitions, one that is new in the topic passes, and old segments do not."""
+    known = {("t", p): 40 + 16 * (p % 7) for p in range(known_partitions)}
+    places = spark.createDataFrame([("t", p, s) for p in (0, known_partitions) for s in range(12)] + [("u", 0, 0)], "topic string, partition int, segment long")
+    found = {tuple(r) for r in places.filter(from_known_segments(known)).collect()}
+    assert found == {("t", known_partitions, s) for s in range(12)} | {("t", 0, s) for s in range(2, 12)} | {("u", 0, 0)}
+
+
+def test_ranges_of_many_partitions_open_only_their_segments(spark, tmp_path, small_segments, monkeypatch):
+    """One partition lags behind all others: only its old segments are opened."""
+    monkeypatch.setattr(ranges, "LITERAL_RANGES", 3)
+    log = open_topic(spark, f"{tmp_path}/log")
+    send(log, 0, 640, 8)
+    lagging = [OffsetRange("t", 0, 0, 80), *(OffsetRange("t", p, 79, 80) for p in range(1, 8))]
+    rows = log.read(lagging)
+    assert rows.count() == 87
+    assert len(rows.select(F.input_file_name()).distinct().collect()) == 5 + 7
+    opened = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in opened and "segment" in opened.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_append_returns_what_it_has_written(spark, tmp_path, small_segments):
+    log = open_topic(spark, f"{tmp_path}/log")
+    messages = to_messages(spark.range(10), "t", columns=["id"], arrival="id")
+    first = log.append(messages, 2)
+    assert first == {("t", 0): 5, ("t", 1): 5}
+    second = log.append(to_messages(spark.range(9), "t", columns=["id"], arrival="id"), 3, first)
+    assert second == {("t", 0): 8, ("t", 1): 8, ("t", 2): 3}
+    log.append(to_messages(spark.range(6), "t", columns=["id"], arrival="id"), 3, second)
+    placed = [(r.partition, r.offset) for r in log.rows().collect()]
+    assert len(set(placed)) == len(placed) == 25
+
+
+def test_repeated_arrivals_fail(spark, tmp_path):
+    log = open_topic(spark, f"{tmp_path}/log")
+    rows = spark.createDataFrame([(1,), (2,), (2,)], "id bigint")
+    with pytest.raises(Exception, match="Twice the same arrival: 2"):
+        log.append(to_messages(rows, "t", arrival="id"), 1)
 
 
 def test_append_with_known_offsets(spark, tmp_path, small_segments):

@@ -40,7 +40,6 @@ from topicwright.operators.ranges import (
     backlog,
     collect_ranges,
     plan_ranges,
-    read_progress,
     read_ranges,
 )
 from topicwright.operators.state import load_offsets, offsets_file, read_offsets, save_offsets
@@ -84,7 +83,6 @@ __all__ = [
     "plan_ranges",
     "publish",
     "publish_alerts",
-    "read_progress",
     "read_ranges",
     "resolve_sentinels",
     "resume_offsets",

@@ -9,16 +9,19 @@ from topicwright.functions import payload
 from topicwright.functions.shape import RecordShape
 
 
-def decode_topic(log: DataFrame, shape: RecordShape, batch_time: Column | None = None) -> DataFrame:
+def decode_topic(
+    log: DataFrame, shape: RecordShape, batch_time: Column | None = None, keep_nulls: bool | None = None
+) -> DataFrame:
     """Messages as rows of the declared schema, in declared order and type.
 
-    A batch turns null keys and values into empty bytes; a stream keeps them. The time
+    A batch turns null keys and values into empty bytes; a stream keeps them, and so does a
+    micro-batch of one with ``keep_nulls``. The time
     column is one value for a whole (micro-)batch, in milliseconds.
     """
     if shape.time_field and not log.isStreaming and batch_time is None:
         raise ValueError("A time field needs a stream or a batch time.")
     key, value = F.col("key"), F.col("value")
-    if not log.isStreaming:
+    if not (log.isStreaming if keep_nulls is None else keep_nulls):
         empty = F.lit(b"")
         key, value = F.coalesce(key, empty), F.coalesce(value, empty)
     time = batch_time if batch_time is not None else F.unix_millis(F.current_timestamp())

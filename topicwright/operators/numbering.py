@@ -20,7 +20,7 @@ def number_rows(
 ) -> DataFrame:
     """Number the rows of each ``by`` group 0, 1, 2, ... in ascending ``order``.
 
-    ``order`` is an integer column that is unique within a group. Rows are numbered inside
+    ``order`` is an integer column that is unique within a group; equal values fail the run. Rows are numbered inside
     blocks of 2^block_bits order values, so that no window holds more rows than that however
     large the group is; block sizes are summed up in two levels, over at most 2^20 blocks and
     at most 2^24 superblocks. The payload is shuffled once, on (group, block).
@@ -54,6 +54,8 @@ def number_rows(
         )
 
     in_block = Window.partitionBy(*by, "_block").orderBy(order_value)
-    numbered = df.select("*", block).select("*", F.row_number().over(in_block).alias("_row"))
+    again = F.raise_error(F.concat(F.lit(f"Twice the same {order}: "), order_value.cast("string"))).cast("int")
+    row = F.when(F.lag(order_value).over(in_block) == order_value, again).otherwise(F.row_number().over(in_block))
+    numbered = df.select("*", block).select("*", row.alias("_row"))
     number = F.col("_start") + F.col("_row") - 1
     return numbered.join(starts, [*by, "_block"], "left").select(*df.columns, number.alias(name))

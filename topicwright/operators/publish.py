@@ -35,9 +35,9 @@ def to_messages(
 
     ``body`` is ``json``, or CSV for any other name. A ``key`` field gives keyed messages;
     a null in it fails the run. ``arrival`` names a unique integer column that gives the
-    order of the messages.
+    order of the messages. The body holds all columns unless ``columns`` names some.
     """
-    columns = columns or [c for c in rows.columns if c != arrival or arrival == key]
+    columns = columns or rows.columns
     text = json_body(columns) if body.lower() == "json" else csv_body(columns)
     if key is None:
         key_bytes = F.lit(None).cast("binary")
@@ -82,15 +82,20 @@ def with_arrival(messages: DataFrame) -> DataFrame:
     return messages.withColumn("arrival", F.monotonically_increasing_id()).checkpoint()
 
 
-def with_offsets(messages: DataFrame, partitions: int, latest: DataFrame | None = None) -> DataFrame:
-    """Topic rows: each message with its partition and the next free offset there."""
+def with_offsets(
+    messages: DataFrame, partitions: int, latest: DataFrame | None = None, block_bits: int | None = None
+) -> DataFrame:
+    """Topic rows: each message with its partition and the next free offset there.
+
+    2^block_bits arrivals are numbered in one task; give fewer where messages are large.
+    """
     placed = with_partition(with_arrival(messages), partitions)
     first = None if latest is None else latest.withColumnRenamed("offset", "first")
     # Blocks cover the arrivals of all partitions: for more than four, wider blocks keep each
     # partition's share near a quarter of a segment, so that few files are written for it.
     spread = max(0, partitions.bit_length() - 3) if partitions < MANY_PARTITIONS else 0
     numbered = number_rows(
-        placed, ["topic", "partition"], "arrival", "offset", first, numbering.BLOCK_BITS + spread
+        placed, ["topic", "partition"], "arrival", "offset", first, numbering.BLOCK_BITS + spread if block_bits is None else block_bits
     )
     return numbered.select(
         "key", "value", "topic", "partition", "offset", "timestamp", F.lit(0).alias("timestampType")
@@ -101,7 +106,8 @@ def segmented(rows: DataFrame, partitions: int) -> DataFrame:
     """Topic rows laid out for writing: sorted, and few files for each segment."""
     rows = rows.withColumn("segment", segment_of(F.col("offset")))
     if partitions >= MANY_PARTITIONS:
-        rows = rows.repartition("topic", "partition", "segment")
+        # Unlike a repartitioning, adaptive execution may split a segment that is large in bytes.
+        rows = rows.hint("rebalance", "topic", "partition", "segment")
     return rows.sortWithinPartitions("topic", "partition", "segment", "offset")
 
 
@@ -117,18 +123,32 @@ def split_on_null(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, DataF
 
 
 def route_on_null(
-    rows: DataFrame, columns: list[str], topic: str, alert_topic: str, stage: str, body: str = "csv"
+    rows: DataFrame,
+    columns: list[str],
+    topic: str,
+    alert_topic: str,
+    stage: str,
+    body: str = "csv",
+    key: str | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
     """Messages of a whole frame in one pass: a row with a null in a watched column becomes an
-    alert for ``alert_topic``, any other row a message for ``topic``."""
+    alert for ``alert_topic`` without a key, any other row a message for ``topic``, keyed by ``key``
+    if given, in which a null fails the run."""
     any_null = _any_null(columns)
     alert = F.struct(F.lit(stage).alias("stageName"), _payload([]).alias("payload"))
     text = json_body(rows.columns) if body.lower() == "json" else csv_body(rows.columns)
+    keyed = F.lit(None).cast("binary")
+    if key is not None:
+        failure = F.raise_error(F.lit(f"Null in the key field {key}")).cast("string")
+        keyed = F.when(~any_null, F.coalesce(F.col(key), failure)).cast("binary")
+    order = [] if arrival is None else [F.col(arrival).cast("bigint").alias("arrival")]
     return rows.select(
         F.when(any_null, F.lit(alert_topic)).otherwise(F.lit(topic)).alias("topic"),
-        F.lit(None).cast("binary").alias("key"),
+        keyed.alias("key"),
         F.when(any_null, F.to_json(alert)).otherwise(text).cast("binary").alias("value"),
         F.current_timestamp().alias("timestamp"),
+        *order,
     )
 
 

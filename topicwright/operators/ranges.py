@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+from collections.abc import Mapping
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -14,9 +13,10 @@ from topicwright.operators.offsets import OffsetError, local_table
 
 # Fixed value: assumed bytes per message in size estimates.
 MESSAGE_BYTES = 1024
-# Up to this many ranges a literal predicate is used, which reaches the Parquet row groups.
+# Up to this many ranges a literal predicate is used, which reaches the Parquet row groups. More are
+# grouped by their segments, and at most this many groups become predicates on folders.
 LITERAL_RANGES = 200
-# Above this many ranges the range table is no longer hinted for broadcast.
+# Above this many ranges (32 bytes and a topic name each) the range table is no longer hinted for broadcast.
 BROADCAST_RANGES = 1_000_000
 
 # 2^20 messages: the offsets of one segment folder of a topic table.
@@ -37,6 +37,54 @@ def segment_of(offset: Column) -> Column:
     return F.shiftright(offset, SEGMENT_BITS)
 
 
+def segment_number(offset: int) -> int:
+    return offset >> SEGMENT_BITS
+
+
+def any_of(conditions: list[Column]) -> Column:
+    """True where any holds, as a balanced tree, which stays shallow for thousands of them."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return any_of(conditions[:half]) | any_of(conditions[half:])
+
+
+def in_segments(spans: Mapping[tuple[str, int], tuple[int, int | None]]) -> Column:
+    """Folders of partitions ``(topic, partition)`` from a first to a last segment, or to the end for None.
+
+    Partitions with the same span share a condition. Beyond LITERAL_RANGES different spans,
+    neighbouring ones are joined to one that holds both, so more may pass, but never less.
+    """
+    groups: dict[tuple, list[int]] = {}
+    for (topic, partition), (first, last) in spans.items():
+        groups.setdefault((topic, first, float("inf") if last is None else last), []).append(partition)
+    ordered = sorted(groups.items())
+    share = -(-len(ordered) // LITERAL_RANGES)
+    merged: list[tuple[str, int, float, list[int]]] = []
+    for at, ((topic, first, last), partitions) in enumerate(ordered):
+        if at % share and merged[-1][0] == topic:
+            _, low, high, others = merged[-1]
+            merged[-1] = (topic, min(low, first), max(high, last), others + partitions)
+        else:
+            merged.append((topic, first, last, partitions))
+    conditions = []
+    for topic, first, last, partitions in merged:
+        later = F.col("segment") >= first
+        inside = later if last == float("inf") else later & (F.col("segment") <= int(last))
+        conditions.append((F.col("topic") == topic) & F.col("partition").isin(sorted(partitions)) & inside)
+    return any_of(conditions)
+
+
+def from_known_segments(known: Mapping[tuple[str, int], int]) -> Column:
+    """Segments from that of each known offset on, and all of partitions without one."""
+    topics: dict[str, list[int]] = {}
+    for topic, partition in known:
+        topics.setdefault(topic, []).append(partition)
+    listed = [(F.col("topic") == t) & F.col("partition").isin(sorted(p)) for t, p in sorted(topics.items())]
+    spans = {place: (segment_number(offset), None) for place, offset in known.items()}
+    return in_segments(spans) | ~any_of(listed)
+
+
 def plan_ranges(starts: DataFrame, bounds: DataFrame, max_records: int | None = None) -> DataFrame:
     """Half-open range ``[start_offset, end_offset)`` to read from each partition.
 
@@ -83,7 +131,7 @@ def read_ranges(log: DataFrame, ranges: list[OffsetRange]) -> DataFrame:
 
     Few ranges become a literal predicate, so partitions, segments and Parquet row groups
     outside them are never read. Many ranges become a join with the range table, behind a
-    literal predicate on the hull of the ranges.
+    predicate on the folders of their segments.
     """
     wanted = [r for r in ranges if r.start_offset < r.end_offset]
     if not wanted:
@@ -96,16 +144,16 @@ def read_ranges(log: DataFrame, ranges: list[OffsetRange]) -> DataFrame:
             & _between(r.start_offset, r.end_offset, segments)
             for r in wanted
         ]
-        return log.filter(reduce(or_, inside))
+        return log.filter(any_of(inside))
     table = range_table(log.sparkSession, wanted)
     if len(wanted) <= BROADCAST_RANGES:
         table = F.broadcast(table)
-    hull = (
-        F.col("topic").isin(sorted({r.topic for r in wanted}))
-        & F.col("partition").between(min(r.partition for r in wanted), max(r.partition for r in wanted))
-        & _between(min(r.start_offset for r in wanted), max(r.end_offset for r in wanted), segments)
-    )
-    joined = log.filter(hull).join(table, _PARTITION)
+    if segments:
+        span = lambda r: (segment_number(r.start_offset), segment_number(r.end_offset - 1))
+        log = log.filter(in_segments({(r.topic, r.partition): span(r) for r in wanted}))
+    else:
+        log = log.filter(F.col("topic").isin(sorted({r.topic for r in wanted})))
+    joined = log.join(table, _PARTITION)
     inside = (F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("end_offset"))
     return joined.filter(inside).select(*log.columns)
 
@@ -117,11 +165,12 @@ def _between(start: int, end: int, segments: bool) -> Column:
     return F.col("segment").between(start >> SEGMENT_BITS, (end - 1) >> SEGMENT_BITS) & offset
 
 
-def check_whole(ranges: list[OffsetRange], bounds: DataFrame) -> None:
+def check_whole(ranges: list[OffsetRange], bounds: DataFrame, dense: bool = True) -> None:
     """Fail if a planned range cannot be read whole.
 
-    Offsets of a topic table run without gaps, so a partition with fewer messages than
-    offsets has lost some, or an append to it is still in flight.
+    Offsets of a topic table run without gaps (``dense``), so a partition with fewer messages than
+    offsets has lost some, or an append to it is still in flight. A live topic that is compacted or
+    written in transactions has gaps that are no loss.
     """
     found = {(row.topic, row.partition): row for row in bounds.collect()}
     problems = []
@@ -134,7 +183,7 @@ def check_whole(ranges: list[OffsetRange], bounds: DataFrame) -> None:
                 f"Offsets {r.start_offset} to {bound.earliest} of topic {r.topic}, "
                 f"partition {r.partition} are no longer there."
             )
-        if bound.messages != bound.latest - bound.earliest:
+        if dense and bound.messages != bound.latest - bound.earliest:
             problems.append(
                 f"Topic {r.topic}, partition {r.partition} holds {bound.messages} messages "
                 f"for offsets {bound.earliest} to {bound.latest}."
@@ -154,18 +203,3 @@ def backlog(ranges: DataFrame) -> DataFrame:
         (records * MESSAGE_BYTES).alias("estimated_bytes"),
     )
 
-
-def read_progress(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Bytes read so far of each range, and their share of its estimated bytes (0 to 1)."""
-    size = F.coalesce(F.length("key"), F.lit(0)) + F.coalesce(F.length("value"), F.lit(0))
-    read = rows.groupBy(*_PARTITION).agg(F.sum(size.cast("bigint")).alias("read_bytes"))
-    joined = backlog(ranges).join(read, _PARTITION, "left")
-    read_bytes = F.coalesce("read_bytes", F.lit(0).cast("bigint"))
-    progress = (
-        F.when(read_bytes == 0, F.lit(0.0))
-        .when(read_bytes >= F.col("estimated_bytes"), F.lit(1.0))
-        .otherwise(read_bytes / F.col("estimated_bytes"))
-    )
-    return joined.select(
-        *_PARTITION, "estimated_bytes", read_bytes.alias("read_bytes"), progress.alias("progress")
-    )

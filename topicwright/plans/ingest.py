@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from topicwright.functions.shape import RecordShape
 from topicwright.operators.decode import decode_topic
-from topicwright.operators.offsets import batch_start, offset_table, select_partitions
+from topicwright.operators.offsets import OffsetError, batch_start, offset_table, select_partitions
 from topicwright.operators.ranges import OffsetRange, check_whole, collect_ranges, plan_ranges
 from topicwright.operators.state import offsets_file, read_offsets, save_offsets
 
@@ -50,8 +50,12 @@ class BatchIngest:
         configured = offset_table(spark, self.topic, self.initial_offsets)
         starts = batch_start(bounds, configured, offset_table(spark, self.topic, saved))
         ranges = collect_ranges(plan_ranges(starts, bounds, self.max_records))
+        beyond = [r for r in ranges if saved.get(r.partition, 0) > r.end_offset]
+        if beyond:
+            places = ", ".join(f"{r.partition} (saved {saved[r.partition]}, latest {r.end_offset})" for r in beyond)
+            raise OffsetError(f"Saved offsets of topic {self.topic} are beyond the latest in partitions {places}.")
         if not self.allow_gaps:
-            check_whole(ranges, bounds)
+            check_whole(ranges, bounds, self.source.dense)
         return ranges
 
     def _bounds(self, saved: Mapping[int, int]) -> DataFrame:

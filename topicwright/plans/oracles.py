@@ -50,6 +50,11 @@ _GROWN = _topic(
 )
 _BY_TYPE = _topic("events", "event_type", "event_id", 3, "'by_type'", _EVENT_BODY)
 
+_WIDE = _topic(
+    "events", "CAST(event_id AS VARCHAR)", "event_id", 400, "'wide'", _EVENT_BODY, "(event_type <> 'click'), "
+)
+_TEXTS = _topic("documents", "lang", "doc_id", 64, "'texts'", "text")
+
 _FIELDS = "event_id, user_id, event_type, value"
 _PLACED = f'p AS "partition", o AS "offset", {_FIELDS}'
 _TEXT_ROWS = 'SELECT topic, p AS "partition", o AS "offset", k AS key, body AS value FROM log'
@@ -84,6 +89,8 @@ ORACLES: dict[str, str] = {
     "f8_range_read": f"""{_EVENTS}
         SELECT {_PLACED} FROM log JOIN (SELECT p AS bp, latest FROM bounds) b ON p = bp
         WHERE o >= floor(latest * 1 / 3) AND o < floor(latest * 2 / 3)""",
+    "f8_many_ranges": f"""{_WIDE} SELECT log.topic, log.p AS "partition", o AS "offset", k AS key, body AS value
+        FROM log JOIN bounds b ON log.p = b.p WHERE log.p = 0 OR o = latest - 1""",
     "f9_resume": f"""{_EVENTS}
         SELECT {_MAP}, CASE p WHEN 0 THEN 10 WHEN 2 THEN 20 ELSE earliest END AS "offset" FROM bounds""",
     "f10_saved_offset_check": f"""{_EVENTS},
@@ -100,13 +107,6 @@ ORACLES: dict[str, str] = {
         ranges AS (SELECT *, CAST(floor(latest / 3) AS BIGINT) AS s FROM bounds)
         SELECT {_MAP}, s AS start_offset, latest AS end_offset, latest - s AS records,
                (latest - s) * 1024 AS estimated_bytes FROM ranges""",
-    "f14_read_progress": f"""{_EVENTS},
-        sizes AS (SELECT b.topic, b.p, (latest - earliest) * 1024 AS estimated_bytes,
-                         CAST(coalesce(sum(length(k) + length(body)) FILTER (o < floor(latest / 2)), 0)
-                              AS BIGINT) AS read_bytes
-                  FROM bounds b JOIN log l ON b.p = l.p GROUP BY b.topic, b.p, earliest, latest)
-        SELECT {_MAP}, estimated_bytes, read_bytes,
-               least(read_bytes / estimated_bytes, 1.0) AS progress FROM sizes""",
     "p1_raw_payload": f"SELECT {_EVENT_BODY} AS body FROM events",
     "p2_csv_decode": f"SELECT {_FIELDS} FROM events",
     "p3_tsv_decode": f"SELECT {_FIELDS} FROM events",
@@ -129,6 +129,8 @@ ORACLES: dict[str, str] = {
     "p13_null_normalisation": f"""SELECT CASE WHEN quality IS NULL THEN '' ELSE CAST(doc_id AS VARCHAR) END AS k,
         coalesce(CAST(quality AS VARCHAR), '') AS body FROM {_LABELLED} t""",
     "k1_publish_rows": f"{_ORDERS} {_TEXT_ROWS}",
+    "k1_wide_topic": f"{_WIDE} {_TEXT_ROWS}",
+    "k1_large_bodies": f'{_TEXTS} SELECT p AS "partition", o AS "offset", lang AS key, md5(text) AS digest FROM log',
     "k2_csv_body": f"SELECT {_ORDER_BODY} AS body FROM orders",
     "k3_json_body": """SELECT CAST(json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey,
         'o_orderstatus', o_orderstatus, 'o_totalprice', o_totalprice,
@@ -144,10 +146,10 @@ ORACLES: dict[str, str] = {
     "k7_alert_publish": f"""SELECT 'alerts' AS topic, true AS keyless,
         '{{"stageName":"nullAlert","payload":{{"doc_id":"' || doc_id || '","lang":"' || lang || '"}}}}' AS body
         FROM {_LABELLED} t WHERE quality IS NULL""",
-    "k8_alert_routing": f"""SELECT 'labelled' AS topic, {_csv('doc_id', 'lang', 'quality', 'toxic')} AS body
+    "k8_alert_routing": f"""SELECT 'labelled' AS topic, lang AS key, {_csv('doc_id', 'lang', 'quality', 'toxic')} AS body
         FROM {_LABELLED} t WHERE quality IS NOT NULL AND toxic IS NOT NULL
         UNION ALL
-        SELECT 'alerts', '{{"stageName":"nullAlert","payload":{{}}}}'
+        SELECT 'alerts', NULL, '{{"stageName":"nullAlert","payload":{{}}}}'
         FROM {_LABELLED} t WHERE quality IS NULL OR toxic IS NULL""",
     "k9_stream_publish": f"{_BY_TYPE} {_TEXT_ROWS}",
     "t1_stream_decode": f"{_EVENTS} SELECT {_PLACED} FROM log",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from topicwright.operators.publish import (
     to_messages,
     with_partition,
 )
-from topicwright.operators.ranges import backlog, collect_ranges, plan_ranges, read_progress
+from topicwright.operators.ranges import backlog, collect_ranges, plan_ranges
 from topicwright.operators.state import load_offsets, offsets_file, save_offsets
 from topicwright.plans import topics as tp
 from topicwright.plans.ingest import BatchIngest
@@ -141,6 +142,15 @@ def range_read(spark, sf_dir):
     return decode_topic(log.read(ranges), tp.PLACED_EVENT_SHAPE)
 
 
+def many_ranges(spark, sf_dir):
+    """The last offset of each of several hundred partitions, and all of the first partition."""
+    log = tp.wide_topic(spark, sf_dir)
+    bounds = log.bounds("wide")
+    start = F.when(F.col("partition") == 0, F.col("earliest")).otherwise(F.col("latest") - 1)
+    ranges = collect_ranges(bounds.select("topic", "partition", start.alias("start_offset"), F.col("latest").alias("end_offset")))
+    return _text_rows(log.read(ranges))
+
+
 def resume(spark, sf_dir):
     bounds = tp.event_topic(spark, sf_dir).bounds()
     starts = FROM_START.offsets(tp.event_topic(spark, sf_dir), "events", bounds)
@@ -175,15 +185,6 @@ def backlog_estimate(spark, sf_dir):
     return backlog(plan_ranges(starts, bounds))
 
 
-def progress(spark, sf_dir):
-    log = tp.event_topic(spark, sf_dir)
-    bounds = log.bounds()
-    plan = plan_ranges(off.earliest_offsets(bounds), bounds)
-    half = _fraction(bounds, 1, 2).withColumnRenamed("offset", "end_offset")
-    done = collect_ranges(half.withColumn("start_offset", F.lit(0).cast("bigint")))
-    return read_progress(log.read(done), plan)
-
-
 # Decoding
 
 
@@ -305,6 +306,20 @@ def publish_rows(spark, sf_dir):
     return _text_rows(log.rows())
 
 
+def wide_topic(spark, sf_dir):
+    """Two appends to a topic of several hundred partitions, some of which only the second one reaches."""
+    return _text_rows(tp.wide_topic(spark, sf_dir).rows())
+
+
+def large_bodies(spark, sf_dir):
+    """Whole texts keyed by their language, so that one partition is hot, with blocks of 4,096 arrivals."""
+    rows = tp.table(spark, sf_dir, "documents")
+    log = TopicTable(spark, tp.scratch(spark, "large"), block_bits=12)
+    publish(to_messages(rows, "texts", key="lang", columns=["text"], arrival="doc_id"), log, 64)
+    digest = F.md5(payload_text(F.col("value"))).alias("digest")
+    return log.rows("texts").select("partition", "offset", payload_text(F.col("key")).alias("key"), digest)
+
+
 def csv_bodies(spark, sf_dir):
     messages = to_messages(tp.table(spark, sf_dir, "orders"), "orders", body="csv")
     return messages.select(payload_text(F.col("value")).alias("body"))
@@ -341,16 +356,18 @@ def _labelled(spark, sf_dir):
 
 def alert_publish(spark, sf_dir):
     _, unlabelled = split_on_null(_labelled(spark, sf_dir), ["quality"])
-    messages = alert_messages(alerts(unlabelled, "nullAlert", ["doc_id", "lang"]), "alerts")
-    return messages.select(
+    log = TopicTable(spark, tp.scratch(spark, "alerts"))
+    publish(alert_messages(alerts(unlabelled, "nullAlert", ["doc_id", "lang"]), "alerts"), log, 2)
+    return log.rows("alerts").select(
         "topic", F.col("key").isNull().alias("keyless"), payload_text(F.col("value")).alias("body")
     )
 
 
 def alert_routing(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
-    messages = route_on_null(rows, ["quality", "toxic"], "labelled", "alerts", "nullAlert")
-    return messages.select("topic", payload_text(F.col("value")).alias("body"))
+    log = TopicTable(spark, tp.scratch(spark, "routed"))
+    publish(route_on_null(rows, ["quality", "toxic"], "labelled", "alerts", "nullAlert", key="lang"), log, 2)
+    return log.rows().select("topic", payload_text(F.col("key")).alias("key"), payload_text(F.col("value")).alias("body"))
 
 
 def streaming_publish(spark, sf_dir):
@@ -390,27 +407,23 @@ def stream_restart(spark, sf_dir):
     return spark.read.parquet(f"{folder}/rows")
 
 
-def _tracked(spark, sf_dir, folder, ticks=1, write=None):
-    """Tracked ingest of the event topic that needs about ``ticks`` ticks."""
-    log = tp.event_topic(spark, sf_dir)
-    longest = log.bounds().agg(F.max(F.col("latest") - F.col("earliest"))).first()[0]
+def _tracked(spark, sf_dir, folder, write=None, max_files=None):
+    """Tracked ingest of the event topic, each batch in a folder of its own."""
     return TrackedIngest(
-        log,
+        tp.event_topic(spark, sf_dir),
         "events",
         tp.PLACED_EVENT_SHAPE,
-        write or (lambda rows, tick: rows.write.mode("overwrite").parquet(f"{folder}/rows/tick={tick}")),
+        write or (lambda rows, batch: rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")),
         f"{folder}/source.events",
         FROM_START,
-        rate=-(-longest // ticks),
+        max_files=max_files,
     )
 
 
 def state_commit(spark, sf_dir):
     folder = tp.scratch(spark, "state-commit")
-    ingest = _tracked(
-        spark, sf_dir, folder, 3, lambda rows, _: rows.write.format("noop").mode("overwrite").save()
-    )
-    ingest.drain()
+    ingest = _tracked(spark, sf_dir, folder, lambda rows, _: rows.write.format("noop").mode("overwrite").save())
+    ingest.start_stream(f"{folder}/checkpoint", ONCE).awaitTermination()
     return load_offsets(spark, ingest.state_path, "events")
 
 
@@ -419,27 +432,27 @@ def state_resume(spark, sf_dir):
     ingest = _tracked(spark, sf_dir, folder)
     halfway = _fraction(ingest.source.bounds(), 1, 2)
     save_offsets(spark, ingest.state_path, off.collect_offsets(halfway))
-    ingest.drain()
-    return spark.read.parquet(f"{folder}/rows").drop("tick")
+    ingest.start_stream(f"{folder}/checkpoint", ONCE).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").drop("batch")
 
 
 def failure_replay(spark, sf_dir):
-    """The second tick fails after writing its rows; a new run reads them again."""
+    """The second batch fails after writing its rows; a new run with the same checkpoint reads them again."""
     folder = tp.scratch(spark, "failure-replay")
-    ingest = _tracked(spark, sf_dir, folder, 3)
+    ingest = _tracked(spark, sf_dir, folder, max_files=2)
     write = ingest.write
 
-    def fail_second(rows, tick):
-        write(rows, tick)
-        if tick > 0:
+    def fail_second(rows, batch):
+        write(rows, batch)
+        if batch > 0:
             raise RuntimeError("failed after writing")
 
     ingest.write = fail_second
     try:
-        ingest.drain()
-    except RuntimeError:
-        _tracked(spark, sf_dir, folder, 3).drain()
-    return spark.read.parquet(f"{folder}/rows").drop("tick")
+        ingest.start_stream(f"{folder}/checkpoint", ONCE).awaitTermination()
+    except StreamingQueryException:
+        _tracked(spark, sf_dir, folder, max_files=2).start_stream(f"{folder}/checkpoint", ONCE).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").drop("batch")
 
 
 def rate_plan(spark, sf_dir):
@@ -471,12 +484,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f6_batch_start": batch_start,
     "f7_range_plan": range_plan,
     "f8_range_read": range_read,
+    "f8_many_ranges": many_ranges,
     "f9_resume": resume,
     "f10_saved_offset_check": saved_offset_check,
     "f11_state_load": state_load,
     "f12_state_save": state_save,
     "f13_backlog_estimate": backlog_estimate,
-    "f14_read_progress": progress,
     "p1_raw_payload": raw_payload,
     "p2_csv_decode": csv_decode,
     "p3_tsv_decode": tsv_decode,
@@ -491,6 +504,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p12_schema_shaping": schema_shaping,
     "p13_null_normalisation": null_normalisation,
     "k1_publish_rows": publish_rows,
+    "k1_wide_topic": wide_topic,
+    "k1_large_bodies": large_bodies,
     "k2_csv_body": csv_bodies,
     "k3_json_body": json_bodies,
     "k4_keyed_messages": keyed_messages,

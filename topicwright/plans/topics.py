@@ -72,6 +72,22 @@ def event_topic(spark: SparkSession, sf_dir: str) -> TopicTable:
     return published(spark, sf_dir, "events", messages, EVENT_PARTITIONS)
 
 
+WIDE_PARTITIONS = 400
+
+
+def wide_topic(spark: SparkSession, sf_dir: str) -> TopicTable:
+    """Events keyed by their id over several hundred partitions, in two appends."""
+    key = (spark.sparkContext.applicationId, sf_dir, "wide")
+    if key not in _published:
+        log = TopicTable(spark, scratch(spark, "wide"))
+        events = table(spark, sf_dir, "events").withColumn("key", F.col("event_id").cast("string"))
+        early = F.col("event_type") == "click"
+        for part in (events.filter(early), events.filter(~early)):
+            log.append(to_messages(part, "wide", key="key", columns=EVENT_COLUMNS, arrival="event_id"), WIDE_PARTITIONS)
+        _published[key] = log
+    return TopicTable(spark, _published[key].path)
+
+
 def event_type_topics(spark: SparkSession, sf_dir: str) -> TopicTable:
     """One topic per event type, in one table."""
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicwright.functions.payload import payload_text
-from topicwright.operators.offsets import earliest_offsets
+from topicwright.operators.offsets import earliest_offsets, local_table
 from topicwright.operators.ranges import collect_ranges, plan_ranges
 
 
@@ -46,7 +47,7 @@ def list_topics(topic, path: str = "/", limit: int | None = None) -> DataFrame:
     below 1, lists all.
     """
     name = topic_of_path(path)
-    topics = topic.bounds(name or None).select("topic").distinct().filter(~F.col("topic").startswith("__"))
-    total = topics.agg(F.count("*")).scalar()
-    listed = topics.select("topic", total.alias("total")).orderBy("topic")
-    return listed.limit(limit) if limit and limit > 0 else listed
+    names = [t for t in topic.topics() if not t.startswith("__") and name in ("", t)]
+    listed = names[:limit] if limit and limit > 0 else names
+    schema = pa.schema([("topic", pa.string()), ("total", pa.int64())])
+    return local_table(topic.spark, [(t, len(names)) for t in listed], schema)

@@ -5,18 +5,19 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping
+from contextlib import closing
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
+from urllib.parse import unquote
+from weakref import WeakKeyDictionary
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicwright.functions.partitioner import string_partition
 from topicwright.operators.offsets import bounds_table, offset_bounds, offsets_of
 from topicwright.operators.publish import segmented, with_offsets
-from topicwright.operators.ranges import LITERAL_RANGES, SEGMENT_BITS, OffsetRange, read_ranges
+from topicwright.operators.ranges import OffsetRange, from_known_segments, read_ranges
 
 # The columns of Spark's own source for live topics, and the segment folder.
 LOG_SCHEMA = (
@@ -24,6 +25,25 @@ LOG_SCHEMA = (
     "timestamp timestamp, timestampType int, segment bigint"
 )
 
+_footer_sessions: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """One session for each caller's in which min, max and count come from Parquet footers.
+
+    That needs the newer reader, a choice that must not leak into the caller's settings; all other
+    settings are the caller's as they are now.
+    """
+    session = _footer_sessions.get(spark)
+    if session is None:
+        session = _footer_sessions[spark] = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
 
 @dataclass(frozen=True)
 class TopicTable:
@@ -31,12 +51,17 @@ class TopicTable:
 
     A segment holds 2^20 consecutive offsets, so reading a range of offsets only opens the
     files around it. One writer at a time may append to a topic. ``compression``: none,
-    gzip, snappy or another Parquet codec.
+    gzip, snappy or another Parquet codec. ``block_bits``: 2^block_bits arrivals are numbered in one
+    task; give fewer where messages are large.
     """
 
     spark: SparkSession
     path: str
     compression: str = "snappy"
+    block_bits: int | None = None
+
+    # Offsets run without gaps.
+    dense = True
 
     def rows(self, topic: str | None = None) -> DataFrame:
         """All messages (of one topic)."""
@@ -60,11 +85,34 @@ class TopicTable:
                 raise
             return None
 
-    def stream(self, max_files: int | None = None) -> DataFrame:
+    def stream(
+        self,
+        topic: str | None = None,
+        starts: Mapping[int, int] | None = None,
+        max_files: int | None = None,
+        rate: Mapping[str, str] | None = None,
+    ) -> DataFrame:
+        """Messages (of one topic) as they come. ``starts`` and ``rate`` are for live topics: a table
+        is filtered by ``stream_from`` and paced by its number of files."""
         reader = self.spark.readStream.schema(LOG_SCHEMA)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.path)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        rows = reader.parquet(self.path)
+        return rows if topic is None else rows.filter(F.col("topic") == topic)
+
+    def rate_options(self, rate: int, seconds: float, partitions: int) -> dict[str, str]:
+        return {}
+
+    def topics(self) -> list[str]:
+        """Names of all topics, which are the names of folders; no file is opened."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in files.listStatus(folder)]
+        return sorted(unquote(n.removeprefix("topic=")) for n in names if n.startswith("topic="))
 
     def bounds(
         self, topic: str | None = None, known: Mapping[tuple[str, int], int] | None = None
@@ -72,18 +120,13 @@ class TopicTable:
         """Offset bounds of every partition (of one topic), from the file footers alone.
 
         ``known`` offsets of partitions (topic, partition) skip the segments before them; the
-        bounds are then those of the rest. Pushing min, max and count into the scan needs the
-        newer Parquet reader; a session of its own keeps that choice away from the caller's
-        settings.
+        bounds are then those of the rest.
         """
-        session = self.spark.newSession()
-        session.conf.set("spark.sql.sources.useV1SourceList", "")
-        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        rows = TopicTable(session, self.path)._stored(topic)
+        rows = TopicTable(_footer_session(self.spark), self.path)._stored(topic)
         if rows is None:
             return bounds_table(self.spark, [])
         if known:
-            rows = rows.filter(_from_known_segments(known))
+            rows = rows.filter(from_known_segments(known))
         return bounds_table(self.spark, offset_bounds(rows).collect())
 
     def read(self, ranges: list[OffsetRange]) -> DataFrame:
@@ -96,28 +139,21 @@ class TopicTable:
         partitions: int | None = None,
         known: Mapping[tuple[str, int], int] | None = None,
     ) -> dict[tuple[str, int], int]:
-        """Append messages behind the latest offsets, which are returned.
+        """Append messages behind the latest offsets; returns the latest offsets after it.
 
         ``known`` are such offsets from an earlier append; files before them are not looked at.
         """
         if not partitions:
             raise ValueError("A topic table needs the number of partitions.")
-        found = {(b.topic, b.partition): b.latest for b in self.bounds(known=known).collect()}
-        latest = dict(known or {}) | found
-        rows = with_offsets(messages, partitions, offsets_of(self.spark, latest))
+        latest = self._latest(known or {})
+        rows = with_offsets(messages, partitions, offsets_of(self.spark, latest), self.block_bits)
         writer = segmented(rows, partitions).write.mode("append").option("compression", self.compression)
         writer.partitionBy("topic", "partition", "segment").parquet(self.path)
-        return latest
-
+        return self._latest(latest)
 
-def _from_known_segments(known: Mapping[tuple[str, int], int]) -> Column:
-    if len(known) > LITERAL_RANGES:
-        # Coarser, but short: from the lowest known segment on, and all of other topics.
-        lowest = min(known.values()) >> SEGMENT_BITS
-        return (F.col("segment") >= lowest) | ~F.col("topic").isin(sorted({t for t, _ in known}))
-    places = {place: (F.col("topic") == place[0]) & (F.col("partition") == place[1]) for place in known}
-    later = [at & (F.col("segment") >= known[place] >> SEGMENT_BITS) for place, at in places.items()]
-    return reduce(or_, later) | ~reduce(or_, places.values())
+    def _latest(self, known: Mapping[tuple[str, int], int]) -> dict[tuple[str, int], int]:
+        found = {(b.topic, b.partition): b.latest for b in self.bounds(known=known).collect()}
+        return dict(known) | found
 
 
 @dataclass(frozen=True)
@@ -131,6 +167,9 @@ class KafkaTopic:
     compression: str = "none"
     acknowledge_all: bool = True
 
+    # Compaction and transactions leave gaps between offsets.
+    dense = False
+
     def source_options(self, starts: dict[int, int] | str, partitions: list[int] | None = None) -> dict[str, str]:
         """Connector options to read from offsets per partition (or ``earliest``/``latest``)."""
         options = {"kafka.bootstrap.servers": self.servers, "failOnDataLoss": "true"}
@@ -160,6 +199,7 @@ class KafkaTopic:
             "kafka.bootstrap.servers": self.servers,
             "topic": self.topic,
             "kafka.compression.type": self.compression,
+            # Fixed value: the time that a producer waits for more messages.
             "kafka.linger.ms": "100",
         }
         if not self.acknowledge_all:
@@ -169,13 +209,40 @@ class KafkaTopic:
     def rows(self) -> DataFrame:
         return self._load(self.source_options("earliest"))
 
-    def stream(self, starts: dict[int, int] | str = "latest", **options: str) -> DataFrame:
-        reader = self.spark.readStream.format("kafka").options(**self.source_options(starts), **options)
-        return reader.load()
+    def stream(
+        self,
+        topic: str | None = None,
+        starts: Mapping[int, int] | str | None = None,
+        max_files: int | None = None,
+        rate: Mapping[str, str] | None = None,
+    ) -> DataFrame:
+        options = self.source_options("latest" if starts is None else starts) | dict(rate or {})
+        return self.spark.readStream.format("kafka").options(**options).load()
 
     def bounds(self, topic: str | None = None, known: Mapping | None = None) -> DataFrame:
-        """Offset bounds by reading the topic: the connector has no cheaper way to ask."""
-        return offset_bounds(self.rows())
+        """Offset bounds as the brokers tell them, without reading a message; partitions that retention
+        has emptied are among them. ``messages`` counts offsets, of which some may have no message."""
+        with closing(self._consumer()) as consumer:
+            place = self.spark._jvm.org.apache.kafka.common.TopicPartition
+            parts = [place(self.topic, info.partition()) for info in consumer.partitionsFor(self.topic)]
+            first, last = consumer.beginningOffsets(parts), consumer.endOffsets(parts)
+            found = [(p.topic(), p.partition(), first[p], last[p]) for p in parts]
+        return bounds_table(self.spark, [(*f, f[3] - f[2]) for f in found])
+
+    def topics(self) -> list[str]:
+        """Names of all topics that the brokers know, without internal ones."""
+        with closing(self._consumer()) as consumer:
+            return sorted(name for name in consumer.listTopics() if not name.startswith("__"))
+
+    def _consumer(self):
+        """The connector's own client, in the driver's JVM."""
+        jvm = self.spark._jvm
+        settings = jvm.java.util.Properties()
+        bytes_ = "org.apache.kafka.common.serialization.ByteArrayDeserializer"
+        own = {"bootstrap.servers": self.servers, "key.deserializer": bytes_, "value.deserializer": bytes_}
+        for name, value in (self.properties | own).items():
+            settings.setProperty(name, value)
+        return jvm.org.apache.kafka.clients.consumer.KafkaConsumer(settings)
 
     def read(self, ranges: list[OffsetRange]) -> DataFrame:
         wanted = [r for r in ranges if r.start_offset < r.end_offset]
@@ -187,7 +254,12 @@ class KafkaTopic:
             # No partition for messages without a key: the producer spreads them.
             placed = F.when(F.col("key").isNotNull(), string_partition(F.col("key").cast("string"), partitions))
             rows, columns = rows.withColumn("partition", placed), [*columns, "partition"]
-        rows.select(*columns).write.format("kafka").options(**self.sink_options()).save()
+        options = self.sink_options()
+        if "topic" in messages.columns:
+            # Messages and alerts go where they say.
+            columns.append("topic")
+            del options["topic"]
+        rows.select(*columns).write.format("kafka").options(**options).save()
         return {}
 
     def _load(self, options: dict[str, str]) -> DataFrame:

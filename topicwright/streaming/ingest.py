@@ -24,11 +24,14 @@ from topicwright.operators.offsets import (
     start_policy,
 )
 from topicwright.operators.ranges import (
+    BROADCAST_RANGES,
     LITERAL_RANGES,
     OffsetRange,
     check_whole,
     collect_ranges,
+    from_known_segments,
     plan_ranges,
+    segment_number,
 )
 from topicwright.operators.state import load_offsets, read_offsets, save_offsets
 
@@ -55,16 +58,34 @@ def stream_from(stream: DataFrame, topic: str, starts: Mapping[int, int], partit
     Partitions that were not there when the stream was first started are read whole.
     """
     rows = select_partitions(stream.filter(F.col("topic") == topic), partitions)
+    segments = "segment" in stream.columns
     if len(starts) > LITERAL_RANGES:
+        if segments:
+            rows = rows.filter(from_known_segments({(topic, p): offset for p, offset in starts.items()}))
         table = offset_table(stream.sparkSession, topic, starts).withColumnRenamed("offset", "first")
-        joined = rows.join(F.broadcast(table), ["topic", "partition"], "left")
+        if len(starts) <= BROADCAST_RANGES:
+            table = F.broadcast(table)
+        joined = rows.join(table, ["topic", "partition"], "left")
         return joined.filter(F.col("offset") >= F.coalesce("first", F.lit(0))).select(*stream.columns)
     keep = ~F.col("partition").isin(sorted(starts)) if starts else F.lit(True)
     for partition, offset in sorted(starts.items()):
-        keep = keep | ((F.col("partition") == partition) & (F.col("offset") >= offset))
+        later = F.col("offset") >= offset
+        if segments:
+            later = later & (F.col("segment") >= segment_number(offset))
+        keep = keep | ((F.col("partition") == partition) & later)
     return rows.filter(keep)
 
 
+def _first_starts(spark, checkpoint: str, resolve: Callable[[], dict[int, int]]) -> dict[int, int]:
+    """Start offsets that stay the same for all starts with one checkpoint."""
+    place = f"{checkpoint.rstrip('/')}/first-offsets.json"
+    starts = read_offsets(spark, place)
+    if starts is None:
+        starts = resolve()
+        save_offsets(spark, place, starts)
+    return starts
+
+
 def start_ingest(
     source,
     topic: str,
@@ -74,20 +95,22 @@ def start_ingest(
     start: StreamStart = StreamStart(),
     trigger: Mapping[str, object] | None = None,
     max_files: int | None = None,
+    rate: int = 1000,
+    interval_seconds: float = 1.0,
 ) -> StreamingQuery:
-    """Decode a topic table into Parquet, each message exactly once.
+    """Decode a topic into Parquet, each message exactly once.
 
-    Spark's checkpoint remembers which files were read. The start offsets are fixed beside
-    it at the first start, so that a restart from ``latest`` skips nothing.
+    Spark's checkpoint remembers what was read. The start offsets are fixed beside
+    it at the first start, so that a restart from ``latest`` skips nothing. A live topic is read at
+    ``rate`` messages a second and partition at most on average (0: no cap), a table by ``max_files`` a batch.
     """
-    spark = source.spark
-    first_starts = f"{checkpoint.rstrip('/')}/first-offsets.json"
-    starts = read_offsets(spark, first_starts)
-    if starts is None:
-        bounds = source.bounds(topic)
-        starts = collect_offsets(start.offsets(source, topic, bounds))
-        save_offsets(spark, first_starts, starts)
-    messages = stream_from(source.stream(max_files), topic, starts, start.partitions)
+
+    def resolve() -> dict[int, int]:
+        return collect_offsets(start.offsets(source, topic, source.bounds(topic)))
+
+    starts = _first_starts(source.spark, checkpoint, resolve)
+    cap = source.rate_options(rate, interval_seconds, len(starts))
+    messages = stream_from(source.stream(topic, starts, max_files, cap), topic, starts, start.partitions)
     return (
         decode_topic(messages, shape)
         .writeStream.format("parquet")
@@ -121,12 +144,13 @@ def stream_publish(
 
 @dataclass
 class TrackedIngest:
-    """A stream whose offsets are kept in a state file instead of Spark's checkpoint.
+    """Reads a topic on from offsets in a state file, which is saved after each batch that was written.
 
-    Every tick reads the next offset range of each partition, at most ``rate`` records a
-    second and partition, hands the rows to ``write`` and then saves where it ended. A
-    tick that fails saves nothing and is read again: ``write`` gets the same tick id then,
-    so writing to a place named after it keeps the output free of duplicates.
+    ``start_stream`` runs it as a stream. ``tick`` reads one planned range of each partition, with exactly
+    ``rate`` records a second and partition at most. Either hands the rows to ``write`` and then saves
+    where they ended. A batch that fails saves nothing and is read again: ``write`` gets the same id
+    then, so writing to a place named after it keeps the output free of duplicates. Null keys and
+    values stay null, as in any stream.
     """
 
     source: object
@@ -138,6 +162,7 @@ class TrackedIngest:
     rate: int = 1000
     interval_seconds: float = 1.0
     allow_gaps: bool = False
+    max_files: int | None = None
     _position: dict[int, int] | None = field(default=None, init=False, repr=False)
 
     def __post_init__(self):
@@ -150,11 +175,7 @@ class TrackedIngest:
         known = {(self.topic, p): offset for p, offset in (self._position or {}).items()}
         bounds = self.source.bounds(self.topic, known)
         if self._position is None:
-            saved = load_offsets(spark, self.state_path, self.topic)
-            check_saved(saved, bounds)
-            chosen = select_partitions(bounds, self.start.partitions)
-            starts = resume_offsets(self.start.offsets(self.source, self.topic, chosen), saved, chosen)
-            self._position = collect_offsets(starts)
+            self._position = self._resolved()
         bounds = select_partitions(bounds, self.start.partitions)
         # Partitions that are new since the last tick are read from their earliest offset.
         position = offset_table(spark, self.topic, self._position)
@@ -162,7 +183,7 @@ class TrackedIngest:
         cap = max(1, int(self.rate * self.interval_seconds)) if self.rate else None
         ranges = collect_ranges(plan_ranges(starts, bounds, cap))
         if not self.allow_gaps:
-            check_whole(ranges, bounds)
+            check_whole(ranges, bounds, self.source.dense)
         return ranges
 
     def tick(self) -> bool:
@@ -173,7 +194,7 @@ class TrackedIngest:
         # All partitions count, also those without anything to read: the id only ever grows.
         tick_id = sum(({r.partition: r.start_offset for r in ranges} | self._position).values())
         batch_time = F.lit(int(time.time() * 1000))
-        self.write(decode_topic(self.source.read(ranges), self.shape, batch_time), tick_id)
+        self.write(decode_topic(self.source.read(ranges), self.shape, batch_time, keep_nulls=True), tick_id)
         ends = {r.partition: r.end_offset for r in ranges}
         save_offsets(self.source.spark, self.state_path, ends)
         self._position.update(ends)
@@ -186,12 +207,57 @@ class TrackedIngest:
             ticks += 1
         return ticks
 
-    def start_ticking(self, checkpoint: str) -> StreamingQuery:
-        """Tick on a fixed interval, as a streaming query that can be stopped or awaited."""
-        clock = self.source.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    def start_stream(self, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+        """Read on as a stream: each micro-batch is written, then its end is saved.
+
+        The state file decides where a new checkpoint starts; a checkpoint that is there goes on
+        with what it has not read. Offsets are saved as far as they were read without a gap, as files
+        of one partition may come in any order.
+        """
+        first = _first_starts(self.source.spark, checkpoint, self._resolved)
+        saved = read_offsets(self.source.spark, self.state_path) or {}
+        position = dict(first) | {p: max(o, first.get(p, 0)) for p, o in saved.items()}
+        waiting: dict[int, dict[int, int]] = {}
+        cap = self.source.rate_options(self.rate, self.interval_seconds, len(first))
+        stream = self.source.stream(self.topic, first, self.max_files, cap)
+        parts = ["partition", *(["segment"] if "segment" in stream.columns else [])]
+
+        def batch(rows: DataFrame, batch_id: int) -> None:
+            rows.persist()
+            try:
+                spans = rows.groupBy(*parts).agg(F.min("offset").alias("low"), F.max("offset").alias("high"), F.count("*").alias("n"))
+                # Of a table, only what came without a gap; what is left out is read again from the state.
+                found = [r for r in spans.collect() if not self.source.dense or r.n == r.high - r.low + 1]
+                found = sorted((r.partition, r.low, r.high + 1) for r in found)
+                batch_time = F.lit(int(time.time() * 1000))
+                self.write(decode_topic(rows, self.shape, batch_time, keep_nulls=True), batch_id)
+            finally:
+                rows.unpersist()
+            for partition, low, end in found:
+                if not self.source.dense:
+                    position[partition] = end
+                    continue
+                spans_ = waiting.setdefault(partition, {})
+                spans_[low] = max(end, spans_.get(low, 0))
+                at = position.get(partition, 0)
+                while reached := [x for x in spans_ if x <= at]:
+                    at = max(at, *(spans_.pop(x) for x in reached))
+                position[partition] = at
+            if found:
+                save_offsets(self.source.spark, self.state_path, {p: position[p] for p, _, _ in found})
+
+        messages = stream_from(stream, self.topic, first, self.start.partitions)
         return (
-            clock.writeStream.foreachBatch(lambda _batch, _id: self.tick())
+            messages.writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint)
-            .trigger(processingTime=f"{self.interval_seconds} seconds")
+            .trigger(**(trigger or {"processingTime": f"{self.interval_seconds} seconds"}))
             .start()
         )
+
+    def _resolved(self) -> dict[int, int]:
+        """Where to start: the saved state, or else what was configured."""
+        bounds = self.source.bounds(self.topic)
+        saved = load_offsets(self.source.spark, self.state_path, self.topic)
+        check_saved(saved, bounds)
+        chosen = select_partitions(bounds, self.start.partitions)
+        return collect_offsets(resume_offsets(self.start.offsets(self.source, self.topic, chosen), saved, chosen))
