@@ -9,8 +9,9 @@ import tempfile
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from topicwright.operators.publish import publish
+from topicwright.operators.publish import publish, to_messages
 from topicwright.plans import topics as tp
 from topicwright.plans.queries import QUERIES
 from topicwright.sources.topic_log import TopicTable
@@ -59,6 +60,18 @@ def main() -> None:
         log = TopicTable(spark, tp.scratch(spark, "bench"))
         publish(tp.event_messages(tp.table(spark, SF_DIR, "events")), log, tp.EVENT_PARTITIONS)
 
+    # Several input files and many partitions, so that the payload is shuffled twice.
+    files = f"{tp.scratch(spark, 'bench')}-lines"
+    tp.table(spark, SF_DIR, "lineitem").repartition(16).write.parquet(files)
+
+    def publish_lines():
+        rows = spark.read.parquet(files).withColumn("arrival", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+        key = F.col("l_suppkey").cast("string").alias("key")
+        rows = rows.select("*", key)
+        log = TopicTable(spark, tp.scratch(spark, "bench"))
+        publish(to_messages(rows, "lines", key="key", arrival="arrival"), log, 64)
+
+    times["publish_lines"] = seconds(publish_lines)
     publish_events()
     times["publish_events"] = min(seconds(publish_events) for _ in range(RUNS))
     for name in READS:
