@@ -2,7 +2,7 @@
 
 Texts are compared as runs of letters, digits and other bytes, with A-Z lower-cased and one space for all else in between.
 Each benchmark item is cut into overlapping windows of WINDOW bytes (a shorter item is one window). A window is found in a
-text when a stretch of the text turns into it by at most `budget` edits, EDITS_PER_100 for each 100 bytes of the window.
+text when a stretch of the text turns into it by at most `budget` edits: EDITS_PER_100 for each 100 bytes of the window, and less than one for each Q bytes.
 By the q-gram lemma such a stretch shares at least `m + 1 - Q * (budget + 1)` q-grams with a window of m bytes, on diagonals that differ by no
 more than the budget. Bands of diagonals, twice as wide as that and overlapping by half, thus each hold all
 of them for some band. Bands with fewer shared q-grams are left out; the others are aligned, only near their diagonals.
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from topicwright.llm.text_arrays import Texts, mix, normalised, slices
 
-Q = 12
+Q = 10
 WINDOW = 100
-EDITS_PER_100 = 5
+EDITS_PER_100 = 8
 LEAST = 30
 BLOCK_BYTES = 8 << 20
 
@@ -75,7 +75,8 @@ class Windows:
         keys, begins = np.unique(every[order], return_index=True)
         sieve = np.zeros(1 << 22, bool)
         sieve[(keys >> np.uint64(42)).astype(np.int64)] = True
-        budgets = np.array([len(x) * EDITS_PER_100 // 100 for x in parts], np.int64)
+        # Never so many that no q-gram needs to be shared.
+        budgets = np.array([min(len(x) * EDITS_PER_100 // 100, len(x) // Q - 1) for x in parts], np.int64)
         return cls(np.array(items, np.int64), parts, budgets, keys, np.append(begins, len(order)), window[order], place[order], sieve)
 
     def bands(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +98,7 @@ class Windows:
         keys, shared = np.unique(keys, return_counts=True)
         window, band = keys // size, keys % size
         lengths = np.array([len(x) for x in self.texts], np.int64)[window]
-        enough = shared >= np.maximum(lengths + 1 - Q * (self.budgets[window] + 1), 1)
+        enough = shared >= lengths + 1 - Q * (self.budgets[window] + 1)
         window, band = window[enough], band[enough]
         return window, band * (self.budgets[window] + 1) - WINDOW
 
