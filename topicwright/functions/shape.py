@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from topicwright.functions.payload import CLF_FIELDS, SYSLOG_FIELDS
 
+# Names of payload formats.
 FORMATS = ["binary", "clf", "csv", "grok", "syslog", "text", "tsv"]
 
 # Names of the plain and logical types in a record schema.

@@ -5,15 +5,20 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
+from contextlib import closing
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from topicwright.operators.offsets import OffsetError, offset_table
 
 
+# The name of the field and the ending of the file that offsets are saved in.
+FIELD = "partitionOffsets"
+ENDING = ".offsets.json"
+
+
 def offsets_file(folder: str, namespace: str, pipeline: str) -> str:
-    return f"{folder.rstrip('/')}/{namespace}.{pipeline}.offsets.json"
+    return f"{folder.rstrip('/')}/{namespace}.{pipeline}{ENDING}"
 
 
 def read_offsets(spark: SparkSession, path: str) -> dict[int, int] | None:
@@ -21,14 +26,14 @@ def read_offsets(spark: SparkSession, path: str) -> dict[int, int] | None:
 
     A malformed file fails: taken as empty, it would mean reading the topic anew.
     """
-    try:
-        text = spark.read.text(path, wholetext=True).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(target):
         return None
+    with closing(files.open(target)) as stream:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     try:
-        saved = json.loads(text.value)["partitionOffsets"]
+        saved = json.loads(text)[FIELD]
         return {int(partition): int(offset) for partition, offset in saved.items()}
     except (AttributeError, KeyError, TypeError, ValueError) as error:
         raise OffsetError(f"Malformed offsets in {path}") from error
@@ -42,7 +47,7 @@ def load_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
 def save_offsets(spark: SparkSession, path: str, offsets: Mapping[int, int]) -> None:
     """Merge the offsets over the saved ones and replace the file in one step."""
     merged = (read_offsets(spark, path) or {}) | dict(offsets)
-    state = {"partitionOffsets": {str(p): merged[p] for p in sorted(merged)}}
+    state = {FIELD: {str(p): merged[p] for p in sorted(merged)}}
     _replace_file(spark, path, json.dumps(state, separators=(",", ":")))
 
 
