@@ -231,11 +231,18 @@ def first_half(documents: DataFrame) -> Column:
 
 
 def without_copies(documents: DataFrame, in_history: Column) -> DataFrame:
-    """The rows of documents without those whose text another row has: of each group, the one that `exact_groups` keeps."""
-    decided = exact_groups(documents, in_history).where("group_size > 1 and kept")
-    winners = decided.select("digest", F.col("keep_id").alias("_keep"))
+    """The rows of documents without those whose text another row has: of each group, the one that `exact_groups` keeps.
+
+    Rows are matched by digest and id together, so a text that many rows hold is not in one task.
+    """
+    decided = written(exact_groups(documents, in_history).where("group_size > 1"), "decided")
+    copies_ = decided.where("not (doc_id <=> keep_id)").select(F.col("digest").alias("_of"), F.col("doc_id").alias("_id")).distinct()
     marked = documents.withColumn("_digest", text_digest(F.col("text")))
-    rows = marked.join(winners.withColumnRenamed("digest", "_of"), F.col("_digest") == F.col("_of"), "left")
-    single = rows.where("_of is null")
-    several = rows.where("_of is not null and doc_id <=> _keep").dropDuplicates(["_digest"])
-    return single.union(several).select(*documents.columns)
+    rows = marked.join(copies_, F.expr("_digest = _of and doc_id <=> _id"), "left_anti")
+    # Groups of which several rows have the id that stays.
+    repeated = decided.where("doc_id <=> keep_id").groupBy(F.col("digest").alias("_of")).agg(F.count("*").alias("_times")).where("_times > 1")
+    if not repeated.isEmpty():
+        same = F.col("_digest") == F.col("_of")
+        one = rows.join(repeated, same, "left_semi").dropDuplicates(["_digest"])
+        rows = rows.join(repeated, same, "left_anti").union(one)
+    return rows.select(*documents.columns)
