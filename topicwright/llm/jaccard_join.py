@@ -36,7 +36,7 @@ FREQUENT = 8
 #: So many frequent n-grams at most have a place of their own in the order: 12 bytes each on every executor.
 MOST_FREQUENT = 1 << 19
 #: N-gram hashes that a task counts at once.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 20
 #: Classes of n-grams whose parities are kept of each set.
 BITS = 512
 #: Sets of one side in a cell of the grid in which pairs are checked.
