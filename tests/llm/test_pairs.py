@@ -245,3 +245,26 @@ def test_leaks_do_not_depend_on_blocks(spark, monkeypatch):
     wanted = sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect())
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 500)
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect()) == wanted == [(i, i) for i in range(20)]
+
+
+def test_runs_of_an_item_are_found_wherever_they_begin(spark):
+    item = prose(41, 40)
+    cyrillic = " ".join("".join(chr(0x430 + random.Random(100 * i + k).randrange(32)) for k in range(7)) for i in range(30))
+    texts, wanted = [], set()
+    for number, text in enumerate((item, cyrillic)):
+        for begin in range(len(text) - 59 + 1):
+            run = text[begin : begin + 59].strip()
+            if len(run) == 59:
+                wanted.add((len(texts), number))
+                texts.append(f"Qq zz {run} zz qq")
+    bench = spark.createDataFrame(list(enumerate((item, cyrillic))), "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents(spark, texts), bench).collect()}
+    assert found == wanted and len(wanted) > 200
+
+
+def test_short_items_are_whole_lines(spark):
+    texts = ["What is it?\nAN  answer, here\nmore", "say an answer here", "an\nanswer here", "an answer here", None, "\n\n"]
+    bench = spark.createDataFrame([(1, "An answer here!"), (2, "an answer here"), (3, "?!")], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.windows, r.edits, r.first_byte, r.last_byte) for r in decontaminate.leaks(documents(spark, texts), bench).collect()}
+    assert found == {(d, i): (1, 0, *x) for i in (1, 2) for d, x in ((0, (12, 28)), (2, (0, 14)), (3, (0, 14)))}
+    assert sorted(r.doc_id for r in decontaminate.without_leaks(documents(spark, texts), bench).collect()) == [1, 4, 5]
