@@ -268,3 +268,12 @@ def test_short_items_are_whole_lines(spark):
     found = {(r.doc_id, r.item_id): (r.windows, r.edits, r.first_byte, r.last_byte) for r in decontaminate.leaks(documents(spark, texts), bench).collect()}
     assert found == {(d, i): (1, 0, *x) for i in (1, 2) for d, x in ((0, (12, 28)), (2, (0, 14)), (3, (0, 14)))}
     assert sorted(r.doc_id for r in decontaminate.without_leaks(documents(spark, texts), bench).collect()) == [1, 4, 5]
+
+
+def test_leaks_of_items_without_an_id(spark):
+    items = [(None, prose(51, 30)), (None, prose(52, 30)), (7, prose(53, 30)), (None, "short one")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = documents(spark, [*(f"{prose(60, 9)} {t}" for _, t in items), "Short one!"])
+    found = sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect())
+    assert found == [(0, None), (1, None), (2, 7), (4, None)]
+    assert [r.doc_id for r in decontaminate.without_leaks(frame, bench).collect()] == [3]

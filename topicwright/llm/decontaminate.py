@@ -14,8 +14,8 @@ A text leaks an item when it holds a window of it. The benchmark is cut into blo
 executor in a pass of its own, so that nothing of unknown size is broadcast.
 
 Null and empty texts hold nothing. Items of fewer than LEAST bytes can't be told from everyday phrases within a sentence: they are found
-where a whole line or a whole text equals them; those without a letter or digit are never found. Items that are
-equal are all reported. Repeated rows of documents are each reported.
+where a whole line or a whole text equals them; those without a letter or digit are never found. Each row of the benchmark is an
+item of its own, reported with its id, also where that is null or repeated. Repeated rows of documents are each reported.
 """
 
 from __future__ import annotations
@@ -239,10 +239,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     result = spark.createDataFrame([], kind)
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        windows = spark.sparkContext.broadcast(Windows.of([r.item_id for r in mine], [r.text for r in mine]))
+        windows = spark.sparkContext.broadcast((Windows.of(list(range(len(mine))), [r.text for r in mine]), [r.item_id for r in mine]))
 
         def run(batches, windows=windows):
-            held = windows.value
+            held, names = windows.value
             for batch in batches:
                 for rows, texts in slices(batch, "text"):
                     owner, item, edits, begin, end = found_in(texts, held)
@@ -250,7 +250,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                     for o, i, e, b, n in zip(*(x.tolist() for x in (owner, item, edits, begin, end))):
                         w, e0, b0, n0 = parts.get((o, i), (0, e, b, n))
                         parts[o, i] = (w + 1, min(e, e0), min(b, b0), max(n, n0))
-                    found = [(ids[o], i, *x) for (o, i), x in parts.items()]
+                    found = [(ids[o], names[i], *x) for (o, i), x in parts.items()]
                     yield pa.record_batch(
                         [pa.array([x[k] for x in found], pa.int64()) for k in range(6)],
                         ["doc_id", "item_id", "windows", "edits", "first_byte", "last_byte"],
@@ -268,7 +268,7 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = size // BLOCK_BYTES + 1
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        windows = spark.sparkContext.broadcast(Windows.of([r.item_id for r in mine], [r.text for r in mine]))
+        windows = spark.sparkContext.broadcast(Windows.of(list(range(len(mine))), [r.text for r in mine]))
 
         def run(batches, windows=windows):
             for batch in batches:
