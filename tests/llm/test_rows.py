@@ -191,6 +191,17 @@ def test_trust_and_distrust_follow_links(spark):
     assert ("fan.com" in hosts) and (2, "block") in verdicts and (5, "allow") in verdicts
 
 
+def test_many_hosts_that_link_to_one_blocked_host(spark):
+    link = lambda *hosts: "".join(f'<a href="https://{h}/p">x</a>' for h in hosts)
+    pages = [(0, "http://spam.net/", None), (1, "http://good.org/fr/", link("door0.com"))]
+    pages += [(10 + i, f"http://door{i}.com/", link("spam.net")) for i in range(40)]
+    pages += [(60 + i, f"http://half{i}.com/", link("spam.net", "a.com", "b.com")) for i in range(10)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    blocked = {r.page_id for r in url_filter.judge(frame, URL_RULES).collect() if r.verdict == "block"}
+    # The good host vouches for the first door.
+    assert blocked == {0, *range(11, 50)}
+
+
 def test_licences(spark):
     mit = f"The MIT License\n\nCopyright (c) 2020 Someone\n\n{licenses.SENTENCES['mit-grant'].replace('copy of', 'copy\nof')}\n\n{licenses.SENTENCES['mit-notice']}\n\n{licenses.SENTENCES['mit-asis']} {licenses.SENTENCES['mit-liable']}\n"
     cases = [

@@ -3,7 +3,9 @@
 Trust starts at hosts in proportion to the share of their pages that a rule allows and follows links: a personalised PageRank. Distrust
 starts in proportion to the share that a rule blocks and follows links backwards, to those who link there. A host
 whose distrust exceeds its trust by THRESHOLD is blocked; the unit is what a host has whose own pages are all ruled on alike
-and which no link reaches. All values are sums over a host's own links, so a host's verdict depends on no count of hosts.
+and which no link reaches. What a blocked host hands back is shared by all who link there, so with many of them each gets next to
+nothing; a host is therefore also blocked when its distrust would exceed its trust by as much if none but its own links
+led to the hosts it links to, each weighed by its share of the host's links. That verdict depends on no other linking host.
 
 Links are absolute `href`s and those that begin with `//`; others stay on their host and say nothing. All is DataFrame
 functions: hosts and links are summed up before they are joined, ranks go to the shared folder after each step, and only the
@@ -111,11 +113,23 @@ def spread(seeds: DataFrame, links: DataFrame) -> DataFrame:
     return ranks.select("host", "trust", "distrust")
 
 
+def complicity(seeds: DataFrame, links: DataFrame) -> DataFrame:
+    """(host, alone): the distrust of hosts that link to blocked ones, each link by its share of the host's own links."""
+    out = links.groupBy(F.col("source").alias("host")).agg(F.sum("pages").alias("of"))
+    bad = seeds.where("bad > 0").select(F.col("host").alias("target"), "bad")
+    into = links.join(bad, "target").groupBy(F.col("source").alias("_host")).agg(F.sum(F.col("pages") * F.col("bad")).alias("bad"))
+    return out.join(into, F.expr("host = _host")).selectExpr("host", f"{DAMPING * (1 - DAMPING)} * bad / of as alone")
+
+
 def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of pages (page_id bigint, url string, html string)."""
     judged = written(ruled(pages.select("page_id", "url", "html"), rules), "pages")
-    ranks = spread(seeds(judged), host_links(judged))
-    blocked = ranks.where(f"distrust - trust >= {THRESHOLD * (1 - DAMPING)}").select(F.col("host").alias("_host"))
+    base, links = written(seeds(judged), "seeds"), written(host_links(judged), "links")
+    alone = base.join(complicity(base, links), "host", "full").select(
+        F.col("host").alias("_host"), (F.coalesce("bad", F.lit(0.0)) * (1 - DAMPING) + F.coalesce("alone", F.lit(0.0))).alias("alone")
+    )
+    ranks = spread(base, links).join(alone, F.expr("host = _host"), "left").drop("_host")
+    blocked = ranks.where(f"greatest(distrust, alone) - trust >= {THRESHOLD * (1 - DAMPING)}").select(F.col("host").alias("_host"))
     verdict = F.coalesce("said", F.when(F.col("_host").isNotNull(), "block").otherwise("allow"))
     joined = judged.drop("links").join(blocked, F.expr("host = _host and said is null"), "left")
     return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
