@@ -202,6 +202,17 @@ def test_many_hosts_that_link_to_one_blocked_host(spark):
     assert blocked == {0, *range(11, 50)}
 
 
+def test_all_of_many_languages_are_learnt(spark):
+    # Each has letters of its own; the last ones are the rarest.
+    said = lambda i, k: " ".join(chr(0x4E00 + 40 * i + (7 * k + j * j) % 37) * 2 for j in range(30))
+    rows = [(1000 * i + k, said(i, k), f"l{i:03}", None) for i in range(150) for k in range(4 if i < 100 else 2)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    pages = spark.createDataFrame([(149, "http://x.l149/", f"<html lang=xx>{said(149, 9)}")], "page_id bigint, url string, html string")
+    found = language.identify(frame, pages).collect()
+    assert {r.doc_id: r.language for r in found if r.kind == "document"} == {i: lang for i, _, lang, _ in rows}
+    assert [(r.language, r.by_text) for r in found if r.kind == "page"] == [("l149", "l149")]
+
+
 def test_licences(spark):
     mit = f"The MIT License\n\nCopyright (c) 2020 Someone\n\n{licenses.SENTENCES['mit-grant'].replace('copy of', 'copy\nof')}\n\n{licenses.SENTENCES['mit-notice']}\n\n{licenses.SENTENCES['mit-asis']} {licenses.SENTENCES['mit-liable']}\n"
     cases = [

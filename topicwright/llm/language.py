@@ -31,8 +31,9 @@ from topicwright.llm.text_arrays import LOWER, Texts, slices
 
 #: Trigrams are hashed to so many classes.
 CLASSES = 1 << 15
-#: Languages that are told apart at most; further ones, the rarest, are not learnt.
-MOST_LANGUAGES = 64
+#: Languages that are counted in one table. All are learnt; a task holds TABLES such tables at most before it hands them on.
+BLOCK = 64
+TABLES = 4
 #: Trigrams that count as independent.
 SAY = 40
 #: Rows that a level of the hosts' prior weighs as much as what is above it.
@@ -73,20 +74,31 @@ class Model:
 def learn(documents: DataFrame) -> Model:
     """From all documents (text string, lang string) with a language."""
     documents = documents.select("text", "lang").where("lang is not null and text is not null")
-    common = documents.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    rows = common.collect()
+    rows = documents.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = sorted(r.lang for r in rows)
     index = {x: i for i, x in enumerate(languages)}
 
     def run(batches):
-        total = np.zeros((len(languages), CLASSES), np.int64)
+        tables = {}
+
+        def handed_on():
+            for block, total in tables.items():
+                held = np.flatnonzero(total)
+                yield pa.record_batch([pa.array(held + block * BLOCK * CLASSES), pa.array(total[held])], ["cell", "n"])
+            tables.clear()
+
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 grams, owner = trigrams(texts)
-                of = np.array([index.get(x, -1) for x in part.column("lang").to_pylist()], np.int64)[owner]
-                total += np.bincount(of[of >= 0] * CLASSES + grams[of >= 0], minlength=total.size).reshape(total.shape)
-        held = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(held), pa.array(total.ravel()[held])], ["cell", "n"])
+                of = np.array([index[x] for x in part.column("lang").to_pylist()], np.int64)
+                for block in np.unique(of // BLOCK).tolist():
+                    if block not in tables and len(tables) == TABLES:
+                        yield from handed_on()
+                    mine = (of // BLOCK == block)[owner]
+                    size = min(BLOCK, len(languages) - block * BLOCK) * CLASSES
+                    cells = (of[owner[mine]] - block * BLOCK) * CLASSES + grams[mine]
+                    tables[block] = tables.get(block, 0) + np.bincount(cells, minlength=size)
+        yield from handed_on()
 
     counted = documents.mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(len(languages) * CLASSES)
@@ -133,8 +145,10 @@ def with_text_evidence(rows: DataFrame, model: Model) -> DataFrame:
 
 def shares(rows: DataFrame, by: str, width: int) -> DataFrame:
     """(key, counts): for each value of a column, how many rows suggest each language."""
-    each = [F.sum((F.col("by_text") == i).cast("bigint")) for i in range(width)]
-    return rows.where(f"{by} is not null and by_text >= 0").groupBy(F.col(by).alias("key")).agg(F.array(*each).alias("counts"))
+    each = rows.where(f"{by} is not null and by_text >= 0").groupBy(F.col(by).alias("key"), "by_text").agg(F.count("*").alias("n"))
+    counts = F.map_from_entries(F.collect_list(F.struct("by_text", "n")))
+    every = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.element_at(F.col("counts"), i), F.lit(0)))
+    return each.groupBy("key").agg(counts.alias("counts")).select("key", every.alias("counts"))
 
 
 def identify(documents: DataFrame, pages: DataFrame) -> DataFrame:
@@ -153,26 +167,24 @@ def identify(documents: DataFrame, pages: DataFrame) -> DataFrame:
     for name in ("declared", "suffix", "host", "domain"):
         found = shares(rows, name, width).select(F.col("key").alias(f"_{name}"), F.col("counts").alias(f"{name}_counts"))
         rows = rows.join(found, F.col(name) == F.col(f"_{name}"), "left").drop(f"_{name}")
-    total = F.array(*map(F.lit, np.exp(model.prior).tolist()))
-    own = lambda i: F.when(F.col("by_text") == i, 1).otherwise(0)
-
-    def smoothed(name: str, above: list[Column]) -> list[Column]:
-        counts = F.coalesce(f"{name}_counts", F.array_repeat(F.lit(0).cast("bigint"), width))
-        mine = [F.when(F.col(f"{name}_counts").isNull(), 0).otherwise(counts[i] - own(i)) for i in range(width)]
-        number = sum(mine[1:], mine[0])
-        return [(m + SMOOTH * a) / (number + SMOOTH) for m, a in zip(mine, above)]
-
-    top = [total[i] for i in range(width)]
-    rows = rows.withColumn("domain_share", F.array(*smoothed("domain", top)))
-    rows = rows.withColumn("host_share", F.array(*smoothed("host", [F.col("domain_share")[i] for i in range(width)])))
+    # Arrays of all languages, not a column for each, so that the plan doesn't grow with their number.
+    top = F.array(*map(F.lit, np.exp(model.prior).tolist()))
+
+    def smoothed(name: str, above: Column) -> Column:
+        counts = F.col(f"{name}_counts")
+        mine = F.transform(counts, lambda n, i: n - F.when(F.col("by_text") == i, 1).otherwise(0))
+        number = F.aggregate(counts, F.lit(0).cast("bigint"), lambda n, x: n + x) - F.when(F.col("by_text") >= 0, 1).otherwise(0)
+        return F.when(counts.isNull(), above).otherwise(F.zip_with(mine, above, lambda m, a: (m + SMOOTH * a) / (number + SMOOTH)))
+
+    rows = rows.withColumn("domain_share", smoothed("domain", top))
+    rows = rows.withColumn("host_share", smoothed("host", F.col("domain_share")))
     for name in ("declared", "suffix"):
-        rows = rows.withColumn(f"{name}_share", F.array(*smoothed(name, top)))
+        rows = rows.withColumn(f"{name}_share", smoothed(name, top))
     # A declaration or suffix says of a language how much likelier it is there than among all rows.
-    score = [
-        F.col("says")[i] + F.log(F.col("host_share")[i]) + F.log(F.col("declared_share")[i] / top[i]) + F.log(F.col("suffix_share")[i] / top[i])
-        for i in range(width)
-    ]
-    rows = rows.withColumn("score", F.array(*score)).withColumn("most", F.array_max("score"))
+    score = F.zip_with("says", "host_share", lambda x, y: x + F.log(y))
+    for name in ("declared", "suffix"):
+        score = F.zip_with(score, F.zip_with(f"{name}_share", top, lambda x, y: F.log(x / y)), lambda x, y: x + y)
+    rows = rows.withColumn("score", score).withColumn("most", F.array_max("score"))
     names = F.array(*map(F.lit, model.languages))
     odds = F.aggregate("score", F.lit(0.0), lambda n, x: n + F.exp(x - F.col("most")))
     best = F.array_position("score", F.col("most")).cast("int")
