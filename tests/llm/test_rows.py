@@ -2,6 +2,7 @@
 
 import math
 import random
+import textwrap
 from fractions import Fraction
 
 import numpy as np
@@ -231,6 +232,15 @@ def test_licences(spark):
     assert found == {i: (names, left) for i, (_, names, left) in enumerate(cases)}
 
 
+def test_licences_in_comment_headers(spark):
+    mit = [licenses.SENTENCES[x] for x in ("mit-grant", "mit-notice", "mit-asis", "mit-liable")]
+    bsd = [licenses.SENTENCES[x] for x in ("bsd-grant", "bsd-source", "bsd-binary")]
+    wrapped = lambda start, parts: "\n".join(start + x for p in parts for x in [*textwrap.wrap(p, 60), ""])
+    texts = ["/*\n" + wrapped(" * ", ["Copyright (c) 2020 Foo", *mit]) + "\n */\nint x;", wrapped("# ", ["Copyright (c) 2020 Foo", *bsd]), wrapped("// ", ["Größe", mit[0]])]
+    found = {r.doc_id: (r.licenses, r.unexplained) for r in licenses.scan(documents(spark, texts)).collect()}
+    assert found == {0: (["MIT"], 0), 1: (["BSD-2-Clause"], 0), 2: ([], 1)}
+
+
 def test_rollup_matches_counting_again(spark, tmp_path):
     rollup = token_counts.Rollup(spark, f"{tmp_path}/rollup")
     assert rollup.totals().collect() == []

@@ -2,7 +2,7 @@
 
 A text is cut into paragraphs (blank lines) and sentences (after `.`, `!`, `?`, `;` or `:` and white space). A sentence is normalised: A-Z
 lower-cased, each run of other bytes than letters and digits one space. A normalised sentence that is known has an identifier; one that is not known is
-tried line by line. The identifiers in the order of the text are matched against rules, each a sequence of identifiers:
+tried by its parts between lines without letters and digits (as in comments), and each of these line by line. The identifiers in the order of the text are matched against rules, each a sequence of identifiers:
 from left to right, the longest rule that begins at a place takes its identifiers. Identifiers that no rule takes stay
 unexplained, which is how a text with only a part of a licence shows.
 
@@ -100,6 +100,8 @@ RULES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[ \t\n\x0B\f\r]"
 ENDS = rf"(?<=[.!?;:]){SPACE}+|\n{SPACE}*\n"
+#: Lines without letters and digits, as between the paragraphs of a comment.
+BARE = r"\n(?:[^\p{L}\p{N}\n]*+\n)++"
 OTHER = "[^a-z0-9]+"
 
 
@@ -120,10 +122,14 @@ def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
     known = F.create_map(*(F.lit(x) for name, s in sentences.items() for x in (plain(s), name)))
     of = lambda s: F.element_at(known, normalised(s))
 
+    def by_lines(paragraph: Column) -> Column:
+        whole = of(paragraph)
+        lines = F.filter(F.transform(F.split(paragraph, "\n"), of), lambda x: x.isNotNull())
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(lines)
+
     def tried(sentence: Column) -> Column:
         whole = of(sentence)
-        lines = F.filter(F.transform(F.split(sentence, "\n"), of), lambda x: x.isNotNull())
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(lines)
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.flatten(F.transform(F.split(sentence, BARE), by_lines)))
 
     return F.flatten(F.transform(F.split(F.coalesce(text, F.lit("")), ENDS), tried))
 
