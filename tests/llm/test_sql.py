@@ -24,6 +24,6 @@ def test_query_matches_sql(spark, oracle, name):
 
 
 def test_contract():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) <= set(contract.queries()) and contract.queries()["pipeline"] is corpus_pipeline.run
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontaminate", "mix"]

@@ -16,6 +16,11 @@ _NAMES = ", ".join(f"{_quoted(rule)}: {_quoted(name)}" for rule, name in _SPELLE
 _LONGEST_FIRST = "|".join(sorted(_SPELLED, key=lambda s: (-s.count("<"), s)))
 _NORMALISED = "trim(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))"
 
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
 ORACLES = {
     # The ranks are the sums over all paths of links, step by step.
     "op2_url_filter": rf"""
@@ -110,4 +115,27 @@ ORACLES = {
         FROM documents d LEFT JOIN sizes s USING (doc_id)
         JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) c USING (doc_id)
     """,
+    "op11_lexical_search": f"""
+        WITH docs AS (
+            SELECT *, len(terms) AS n
+            FROM (SELECT row_number() OVER () AS place, doc_id, {_TERMS} AS terms FROM documents) WHERE len(terms) > 0
+        ), total AS (SELECT count(*) AS number, CAST(sum(n) AS BIGINT) AS length FROM docs),
+        tf AS (SELECT place, term, count(*) AS times FROM (SELECT place, unnest(terms) AS term FROM docs) GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(number) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, total GROUP BY term
+        ), asked AS (
+            SELECT item_id, text, term, count(*) AS times
+            FROM (SELECT item_id, text, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+            GROUP BY ALL
+        ), scored AS (
+            SELECT item_id, text, place, doc_id, CAST(sum(asked.times * w * ((1000000000 * tf.times)
+                // (1000 * tf.times + 8 * (25 + (75 * n * number) // length)))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN docs USING (place), total GROUP BY ALL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS place_of
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, CAST(place_of AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place_of <= 10
+    """,
 }
