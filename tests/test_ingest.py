@@ -176,7 +176,7 @@ def test_saved_state_replaces_the_start(log, shape, tmp_path):
     save_offsets(log.spark, f"{tmp_path}/source.users", {0: 1})
     assert tracked(log, shape, tmp_path).drain() == 1
     assert output(log, tmp_path) == [2, 3]
-    assert open(f"{tmp_path}/source.users").read() == '{"partitionOffsets":{"0":3}}'
+    assert open(f"{tmp_path}/source.users.versions/000000000002").read() == '{"partitionOffsets":{"0":3}}'
     assert not tracked(log, shape, tmp_path).tick()
 
 

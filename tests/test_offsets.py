@@ -175,8 +175,9 @@ def test_state_round_trip_and_merge(spark, tmp_path):
     save_offsets(spark, path, {0: 3, 11: 7})
     save_offsets(spark, path, {0: 5, 2: 1})
     assert read_offsets(spark, path) == {0: 5, 2: 1, 11: 7}
-    assert open(path).read() == '{"partitionOffsets":{"0":5,"2":1,"11":7}}'
-    assert [p.name for p in (tmp_path / "folder").iterdir() if not p.name.endswith(".crc")] == ["a.offsets.json"]
+    assert open(f"{path}.versions/000000000002").read() == '{"partitionOffsets":{"0":5,"2":1,"11":7}}'
+    held = [p.name for p in (tmp_path / "folder" / "a.offsets.json.versions").iterdir() if not p.name.endswith(".crc")]
+    assert sorted(held) == ["000000000001", "000000000002"]
 
 
 @pytest.mark.parametrize("text", ["", "{", "[]", "{}", '{"partitionOffsets":{"x":1}}', '{"partitionOffsets":null}'])

@@ -50,8 +50,8 @@ def test_string_partition(spark, keys):
 def test_numbering_is_exact_for_any_order_values(spark, values, bits):
     rows = [(v % 3, v) for v in values]
     frame = spark.createDataFrame(rows, "g bigint, v bigint")
-    first = spark.createDataFrame([(0, 100)], "g bigint, first bigint")
-    numbered = number_rows(frame, ["g"], "v", "n", first, bits).collect()
+    size = 1 + F.pmod(F.col("v"), F.lit(7))
+    numbered = number_rows(frame, ["g"], "v", "n", {(0,): 100}, size, block_bytes=bits, block_rows=5).collect()
     assert len(numbered) == len(rows)
     for group in range(3):
         ordered = sorted((r.v, r.n) for r in numbered if r.g == group)

@@ -42,7 +42,15 @@ from topicwright.operators.ranges import (
     plan_ranges,
     read_ranges,
 )
-from topicwright.operators.state import load_offsets, offsets_file, read_offsets, save_offsets
+from topicwright.operators.state import (
+    StateConflict,
+    load_offsets,
+    offsets_file,
+    read_offsets,
+    read_state,
+    save_offsets,
+    save_state,
+)
 from topicwright.plans.ingest import BatchIngest
 from topicwright.sources.catalog import list_topics, sample_topic
 from topicwright.sources.topic_log import KafkaTopic, TopicTable, open_topic
@@ -57,6 +65,7 @@ __all__ = [
     "OffsetRange",
     "RecordShape",
     "ShapeError",
+    "StateConflict",
     "StreamStart",
     "TopicTable",
     "TrackedIngest",
@@ -84,12 +93,14 @@ __all__ = [
     "publish",
     "publish_alerts",
     "read_ranges",
+    "read_state",
     "resolve_sentinels",
     "resume_offsets",
     "round_robin_partition",
     "route_on_null",
     "sample_topic",
     "save_offsets",
+    "save_state",
     "saved_offset_problems",
     "select_partitions",
     "split_on_null",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
@@ -12,14 +13,13 @@ from pyspark.sql import types as T
 
 from topicwright.functions.partitioner import key_digest, partition_of_digest, round_robin_partition
 from topicwright.functions.payload import csv_body, json_body
-from topicwright.operators import numbering
-from topicwright.operators.numbering import number_rows
+from topicwright.operators.numbering import BLOCK_BYTES, number_rows
 from topicwright.operators.ranges import segment_of
 
 logger = logging.getLogger(__name__)
 
-# From this many partitions on, their shares of a block of arrivals are far smaller than a segment.
-MANY_PARTITIONS = 32
+# Assumed bytes of a message beside its key and body.
+MESSAGE_OVERHEAD = 32
 
 
 def to_messages(
@@ -83,31 +83,26 @@ def with_arrival(messages: DataFrame) -> DataFrame:
 
 
 def with_offsets(
-    messages: DataFrame, partitions: int, latest: DataFrame | None = None, block_bits: int | None = None
+    messages: DataFrame,
+    partitions: int,
+    latest: Mapping[tuple[str, int], int] | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Topic rows: each message with its partition and the next free offset there.
 
-    2^block_bits arrivals are numbered in one task; give fewer where messages are large.
+    ``latest`` is the next offset of each (topic, partition). Messages of ``block_bytes`` at most are numbered in one task.
     """
     placed = with_partition(with_arrival(messages), partitions)
-    first = None if latest is None else latest.withColumnRenamed("offset", "first")
-    # Blocks cover the arrivals of all partitions: for more than four, wider blocks keep each
-    # partition's share near a quarter of a segment, so that few files are written for it.
-    spread = max(0, partitions.bit_length() - 3) if partitions < MANY_PARTITIONS else 0
-    numbered = number_rows(
-        placed, ["topic", "partition"], "arrival", "offset", first, numbering.BLOCK_BITS + spread if block_bits is None else block_bits
-    )
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("key", "value")), F.lit(MESSAGE_OVERHEAD))
+    numbered = number_rows(placed, ["topic", "partition"], "arrival", "offset", latest, size, block_bytes)
     return numbered.select(
         "key", "value", "topic", "partition", "offset", "timestamp", F.lit(0).alias("timestampType")
     )
 
 
-def segmented(rows: DataFrame, partitions: int) -> DataFrame:
-    """Topic rows laid out for writing: sorted, and few files for each segment."""
+def segmented(rows: DataFrame) -> DataFrame:
+    """Topic rows laid out for writing. They come in blocks of one partition, so a segment has as many files as its bytes need."""
     rows = rows.withColumn("segment", segment_of(F.col("offset")))
-    if partitions >= MANY_PARTITIONS:
-        # Unlike a repartitioning, adaptive execution may split a segment that is large in bytes.
-        rows = rows.hint("rebalance", "topic", "partition", "segment")
     return rows.sortWithinPartitions("topic", "partition", "segment", "offset")
 
 

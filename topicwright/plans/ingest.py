@@ -12,7 +12,7 @@ from topicwright.functions.shape import RecordShape
 from topicwright.operators.decode import decode_topic
 from topicwright.operators.offsets import OffsetError, batch_start, offset_table, select_partitions
 from topicwright.operators.ranges import OffsetRange, check_whole, collect_ranges, plan_ranges
-from topicwright.operators.state import offsets_file, read_offsets, save_offsets
+from topicwright.operators.state import State, offsets_file, read_state, save_state
 
 
 @dataclass
@@ -41,11 +41,16 @@ class BatchIngest:
             return None
         return offsets_file(self.offset_folder, self.namespace, self.pipeline)
 
+    @cached_property
+    def saved(self) -> State:
+        """The state that this run goes on from, read once: saving fails if another run has saved since."""
+        return (read_state(self.source.spark, self.state_path) if self.state_path else None) or State()
+
     @cached_property
     def ranges(self) -> list[OffsetRange]:
         """The plan of this run, made once."""
         spark = self.source.spark
-        saved = (read_offsets(spark, self.state_path) if self.state_path else None) or {}
+        saved = self.saved.offsets
         bounds = select_partitions(self._bounds(saved), self.partitions)
         configured = offset_table(spark, self.topic, self.initial_offsets)
         starts = batch_start(bounds, configured, offset_table(spark, self.topic, saved))
@@ -79,4 +84,4 @@ class BatchIngest:
     def commit(self) -> None:
         if self.state_path and self.ranges:
             ends = {r.partition: r.end_offset for r in self.ranges}
-            save_offsets(self.source.spark, self.state_path, ends)
+            save_state(self.source.spark, self.state_path, self.saved, ends)

@@ -312,9 +312,9 @@ def wide_topic(spark, sf_dir):
 
 
 def large_bodies(spark, sf_dir):
-    """Whole texts keyed by their language, so that one partition is hot, with blocks of 4,096 arrivals."""
+    """Whole texts keyed by their language, so that one partition is hot, with blocks of 1 MB."""
     rows = tp.table(spark, sf_dir, "documents")
-    log = TopicTable(spark, tp.scratch(spark, "large"), block_bits=12)
+    log = TopicTable(spark, tp.scratch(spark, "large"), block_bytes=1 << 20)
     publish(to_messages(rows, "texts", key="lang", columns=["text"], arrival="doc_id"), log, 64)
     digest = F.md5(payload_text(F.col("value"))).alias("digest")
     return log.rows("texts").select("partition", "offset", payload_text(F.col("key")).alias("key"), digest)

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import json
-import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from contextlib import closing
 from dataclasses import dataclass, field
 from urllib.parse import unquote
@@ -15,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicwright.functions.partitioner import string_partition
-from topicwright.operators.offsets import bounds_table, offset_bounds, offsets_of
+from topicwright.operators.numbering import BLOCK_BYTES
+from topicwright.operators.offsets import bounds_table
 from topicwright.operators.publish import segmented, with_offsets
-from topicwright.operators.ranges import OffsetRange, from_known_segments, read_ranges
+from topicwright.operators.ranges import LITERAL_RANGES, MESSAGE_BYTES, OffsetRange, read_ranges, segment_number
+from topicwright.sources import segment_index as index
+from topicwright.sources.segment_index import Segment
 
 # The columns of Spark's own source for live topics, and the segment folder.
 LOG_SCHEMA = (
@@ -25,6 +27,9 @@ LOG_SCHEMA = (
     "timestamp timestamp, timestampType int, segment bigint"
 )
 
+# Fixed value: messages a second and partition that a live topic is read at unless told otherwise.
+DEFAULT_RATE = 1000
+
 _footer_sessions: WeakKeyDictionary = WeakKeyDictionary()
 
 
@@ -51,14 +56,13 @@ class TopicTable:
 
     A segment holds 2^20 consecutive offsets, so reading a range of offsets only opens the
     files around it. One writer at a time may append to a topic. ``compression``: none,
-    gzip, snappy or another Parquet codec. ``block_bits``: 2^block_bits arrivals are numbered in one
-    task; give fewer where messages are large.
+    gzip, snappy or another Parquet codec. ``block_bytes``: messages of so many bytes at most are numbered in one task.
     """
 
     spark: SparkSession
     path: str
     compression: str = "snappy"
-    block_bits: int | None = None
+    block_bytes: int = BLOCK_BYTES
 
     # Offsets run without gaps.
     dense = True
@@ -68,23 +72,23 @@ class TopicTable:
         stored = self._stored(topic)
         return self.spark.createDataFrame([], LOG_SCHEMA) if stored is None else stored
 
-    def _stored(self, topic: str | None = None) -> DataFrame | None:
-        """The stored messages, or None if there is no table (or topic) yet."""
+    def _stored(self, topic: str | None = None, places: Iterable[index.Place] = ()) -> DataFrame | None:
+        """The stored messages (of one topic, or of some segments), or None if there is no table (or topic) yet."""
         reader = self.spark.read.schema(LOG_SCHEMA)
+        folders = [f"{self.path}/{index.place_folder(self.spark, place)}" for place in places]
+        if topic is not None:
+            folders = folders or [self._folder(topic)]
         try:
-            if topic is None:
-                return reader.parquet(self.path)
-            # Listing only the topic's folder, where its name needs no escaping.
-            plain = re.fullmatch(r"[\w.-]+", topic, re.ASCII)
-            if plain:
-                reader = reader.option("basePath", self.path)
-            rows = reader.parquet(f"{self.path}/topic={topic}" if plain else self.path)
-            return rows.filter(F.col("topic") == topic)
+            # Only the folders that are named are listed.
+            return reader.option("basePath", self.path).parquet(*folders) if folders else reader.parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
 
+    def _folder(self, topic: str) -> str:
+        return f"{self.path}/topic={index.escaped(self.spark, topic)}"
+
     def stream(
         self,
         topic: str | None = None,
@@ -92,18 +96,34 @@ class TopicTable:
         max_files: int | None = None,
         rate: Mapping[str, str] | None = None,
     ) -> DataFrame:
-        """Messages (of one topic) as they come. ``starts`` and ``rate`` are for live topics: a table
-        is filtered by ``stream_from`` and paced by its number of files."""
-        reader = self.spark.readStream.schema(LOG_SCHEMA)
+        """Messages (of one topic) as they come. ``starts`` are for live topics: a table is filtered by ``stream_from``.
+
+        A micro-batch takes ``max_files`` files, or else as many as ``rate`` allows. Only the topic's own folder is looked at.
+        """
+        reader = self.spark.readStream.schema(LOG_SCHEMA).option("basePath", self.path)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        else:
+            reader = reader.options(**(rate or {}))
+        path = self.path if topic is None else self._folder(topic)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
-        rows = reader.parquet(self.path)
-        return rows if topic is None else rows.filter(F.col("topic") == topic)
+        # The stream takes a path that is no pattern for the base path, and would not see the topic's name.
+        return reader.parquet(path if topic is None else f"{path}/partition=*")
 
-    def rate_options(self, rate: int, seconds: float, partitions: int) -> dict[str, str]:
-        return {}
+    def rate_options(self, rate: int | None, seconds: float, partitions: int, topic: str | None = None) -> dict[str, str]:
+        """Cap of a stream's micro-batch in bytes, from what a message takes on average in the segments known so far.
+
+        Files are taken whole, so a batch has one file at least. No rate, or 0, is no cap.
+        """
+        if rate is not None and rate < 0:
+            raise ValueError(f"The rate per partition must not be negative, but is {rate}.")
+        if not rate:
+            return {}
+        known = [s for s in self.segments(topic) if s.bytes is not None]
+        messages = sum(s.messages for s in known)
+        size = sum(s.bytes for s in known) / messages if messages else MESSAGE_BYTES
+        return {"maxBytesPerTrigger": str(max(1, int(rate * seconds * max(1, partitions) * size)))}
 
     def topics(self) -> list[str]:
         """Names of all topics, which are the names of folders; no file is opened."""
@@ -114,24 +134,48 @@ class TopicTable:
         names = [f.getPath().getName() for f in files.listStatus(folder)]
         return sorted(unquote(n.removeprefix("topic=")) for n in names if n.startswith("topic="))
 
-    def bounds(
+    def segments(
         self, topic: str | None = None, known: Mapping[tuple[str, int], int] | None = None
-    ) -> DataFrame:
-        """Offset bounds of every partition (of one topic), from the file footers alone.
+    ) -> list[Segment]:
+        """What each segment (of one topic) holds: from the index where it is up to date, else from file footers.
 
-        ``known`` offsets of partitions (topic, partition) skip the segments before them; the
-        bounds are then those of the rest.
+        ``known`` offsets of partitions (topic, partition) skip the segments before them.
         """
-        rows = TopicTable(_footer_session(self.spark), self.path)._stored(topic)
+        rows = self._stored(topic)
         if rows is None:
-            return bounds_table(self.spark, [])
-        if known:
-            rows = rows.filter(from_known_segments(known))
-        return bounds_table(self.spark, offset_bounds(rows).collect())
+            return []
+        listed = index.listed_segments(rows)
+        wanted = index.wanted_places(listed, known or {})
+        found = {s[:3]: s for s in index.stored_segments(self.spark, self.path, topic) if s[:3] in wanted and s[3:5] == listed[s[:3]]}
+        missing = wanted - set(found)
+        if not missing:
+            return sorted(found.values())
+        footers = TopicTable(_footer_session(self.spark), self.path)
+        rows = footers._stored(topic, () if len(missing) == len(listed) else sorted(missing))
+        return sorted([*found.values(), *index.footer_segments(rows, listed)])
+
+    def bounds(
+        self, topic: str | None = None, known: Mapping[tuple[str, int], int] | None = None
+    ) -> DataFrame:
+        """Offset bounds of every partition (of one topic). With ``known`` offsets they are those of the segments from there on."""
+        return bounds_table(self.spark, [(*place, *row) for place, row in _rolled_up(self.segments(topic, known)).items()])
 
     def read(self, ranges: list[OffsetRange]) -> DataFrame:
-        topics = {r.topic for r in ranges}
-        return read_ranges(self.rows(topics.pop() if len(topics) == 1 else None), ranges)
+        wanted = [r for r in ranges if r.start_offset < r.end_offset]
+        topics = {r.topic for r in wanted}
+        topic = topics.pop() if len(topics) == 1 else None
+        rows = self.rows(topic)
+        if len(wanted) > LITERAL_RANGES:
+            # Beyond a literal predicate, the folders that hold the ranges are named instead.
+            listed = index.listed_segments(rows)
+            needed = {
+                (r.topic, r.partition, segment)
+                for r in wanted
+                for segment in range(segment_number(r.start_offset), segment_number(r.end_offset - 1) + 1)
+            }.intersection(listed)
+            if len(needed) < len(listed):
+                rows = self._stored(topic, sorted(needed)) if needed else rows.filter(F.lit(False))
+        return read_ranges(rows, wanted)
 
     def append(
         self,
@@ -141,19 +185,30 @@ class TopicTable:
     ) -> dict[tuple[str, int], int]:
         """Append messages behind the latest offsets; returns the latest offsets after it.
 
-        ``known`` are such offsets from an earlier append; files before them are not looked at.
+        ``known`` are such offsets from an earlier append; segments before them are not looked at.
         """
         if not partitions:
             raise ValueError("A topic table needs the number of partitions.")
-        latest = self._latest(known or {})
-        rows = with_offsets(messages, partitions, offsets_of(self.spark, latest), self.block_bits)
-        writer = segmented(rows, partitions).write.mode("append").option("compression", self.compression)
+        latest = self._latest(self.segments(known=known), known or {})
+        rows = with_offsets(messages, partitions, latest, self.block_bytes)
+        writer = segmented(rows).write.mode("append").option("compression", self.compression)
         writer.partitionBy("topic", "partition", "segment").parquet(self.path)
-        return self._latest(latest)
+        after = self.segments(known=latest)
+        new = index.with_bytes(self.spark, self.path, [s for s in after if s.bytes is None])
+        index.store_segments(self.spark, self.path, new)
+        return self._latest(after, latest)
+
+    def _latest(self, segments: list[Segment], known: Mapping[tuple[str, int], int]) -> dict[tuple[str, int], int]:
+        return dict(known) | {place: latest for place, (_, latest, _) in _rolled_up(segments).items()}
+
 
-    def _latest(self, known: Mapping[tuple[str, int], int]) -> dict[tuple[str, int], int]:
-        found = {(b.topic, b.partition): b.latest for b in self.bounds(known=known).collect()}
-        return dict(known) | found
+def _rolled_up(segments: list[Segment]) -> dict[tuple[str, int], tuple[int, int, int]]:
+    """Earliest offset, next offset and number of messages of each partition."""
+    found: dict[tuple[str, int], tuple[int, int, int]] = {}
+    for s in segments:
+        earliest, latest, messages = found.get(s[:2], (s.first, s.last + 1, 0))
+        found[s[:2]] = (min(earliest, s.first), max(latest, s.last + 1), messages + s.messages)
+    return found
 
 
 @dataclass(frozen=True)
@@ -187,8 +242,9 @@ class KafkaTopic:
         )
         return options | {"endingOffsets": self._offsets_json({r.partition: r.end_offset for r in ranges})}
 
-    def rate_options(self, rate: int, seconds: float, partitions: int) -> dict[str, str]:
-        """Cap of a stream's micro-batch. The connector takes a total, not one per partition."""
+    def rate_options(self, rate: int | None, seconds: float, partitions: int, topic: str | None = None) -> dict[str, str]:
+        """Cap of a stream's micro-batch. The connector takes a total, not one per partition. No rate is DEFAULT_RATE, 0 no cap."""
+        rate = DEFAULT_RATE if rate is None else rate
         if rate < 0:
             raise ValueError(f"The rate per partition must not be negative, but is {rate}.")
         return {"maxOffsetsPerTrigger": str(int(rate * seconds * partitions))} if rate else {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topicwright.functions.shape import RecordShape
 from topicwright.operators.decode import decode_topic
+from topicwright.operators.islands import advanced, collect_islands, outside, united
 from topicwright.operators.offsets import (
     apply_overrides,
     batch_start,
@@ -33,7 +34,10 @@ from topicwright.operators.ranges import (
     plan_ranges,
     segment_number,
 )
-from topicwright.operators.state import load_offsets, read_offsets, save_offsets
+from topicwright.operators.state import State, read_state, save_state
+
+# Fixed value: messages a second and partition that a tick reads unless told otherwise.
+TICK_RATE = 1000
 
 
 @dataclass
@@ -76,14 +80,14 @@ def stream_from(stream: DataFrame, topic: str, starts: Mapping[int, int], partit
     return rows.filter(keep)
 
 
-def _first_starts(spark, checkpoint: str, resolve: Callable[[], dict[int, int]]) -> dict[int, int]:
+def _first_start(spark, checkpoint: str, resolve: Callable[[], State]) -> State:
     """Start offsets that stay the same for all starts with one checkpoint."""
     place = f"{checkpoint.rstrip('/')}/first-offsets.json"
-    starts = read_offsets(spark, place)
-    if starts is None:
-        starts = resolve()
-        save_offsets(spark, place, starts)
-    return starts
+    first = read_state(spark, place)
+    if first is None:
+        start = resolve()
+        first = save_state(spark, place, None, start.offsets, start.ahead, start.first_batch)
+    return first
 
 
 def start_ingest(
@@ -95,21 +99,22 @@ def start_ingest(
     start: StreamStart = StreamStart(),
     trigger: Mapping[str, object] | None = None,
     max_files: int | None = None,
-    rate: int = 1000,
+    rate: int | None = None,
     interval_seconds: float = 1.0,
 ) -> StreamingQuery:
     """Decode a topic into Parquet, each message exactly once.
 
     Spark's checkpoint remembers what was read. The start offsets are fixed beside
-    it at the first start, so that a restart from ``latest`` skips nothing. A live topic is read at
-    ``rate`` messages a second and partition at most on average (0: no cap), a table by ``max_files`` a batch.
+    it at the first start, so that a restart from ``latest`` skips nothing. ``rate`` is the number of messages a second and partition
+    at most on average (0: no cap). Unless told otherwise a live topic is read at 1000, a table without a cap. A table is
+    read by whole files, ``max_files`` a batch or as many as the rate's share of bytes allows.
     """
 
-    def resolve() -> dict[int, int]:
-        return collect_offsets(start.offsets(source, topic, source.bounds(topic)))
+    def resolve() -> State:
+        return State(collect_offsets(start.offsets(source, topic, source.bounds(topic))))
 
-    starts = _first_starts(source.spark, checkpoint, resolve)
-    cap = source.rate_options(rate, interval_seconds, len(starts))
+    starts = _first_start(source.spark, checkpoint, resolve).offsets
+    cap = source.rate_options(rate, interval_seconds, len(starts), topic)
     messages = stream_from(source.stream(topic, starts, max_files, cap), topic, starts, start.partitions)
     return (
         decode_topic(messages, shape)
@@ -147,10 +152,13 @@ class TrackedIngest:
     """Reads a topic on from offsets in a state file, which is saved after each batch that was written.
 
     ``start_stream`` runs it as a stream. ``tick`` reads one planned range of each partition, with exactly
-    ``rate`` records a second and partition at most. Either hands the rows to ``write`` and then saves
-    where they ended. A batch that fails saves nothing and is read again: ``write`` gets the same id
+    ``rate`` records a second and partition at most (1000 unless told otherwise; 0: no cap). Either hands the rows to ``write`` and then
+    saves where they ended. A batch that fails saves nothing and is read again: ``write`` gets the same id
     then, so writing to a place named after it keeps the output free of duplicates. Null keys and
-    values stay null, as in any stream.
+    values stay null, as in any stream. Two runs that save to one state file at a time don't overwrite each other: the second to save fails.
+
+    ``written`` gives the rows written so far, with the shape's partition and offset fields (or None if there is nothing). A stream
+    with a new checkpoint then leaves out what was written but not yet saved, and its batches get new ids.
     """
 
     source: object
@@ -159,15 +167,19 @@ class TrackedIngest:
     write: Callable[[DataFrame, int], None]
     state_path: str
     start: StreamStart = field(default_factory=StreamStart)
-    rate: int = 1000
+    rate: int | None = None
     interval_seconds: float = 1.0
     allow_gaps: bool = False
     max_files: int | None = None
+    written: Callable[[], DataFrame | None] | None = None
     _position: dict[int, int] | None = field(default=None, init=False, repr=False)
+    _saved: State | None = field(default=None, init=False, repr=False)
 
     def __post_init__(self):
-        if self.rate < 0:
+        if self.rate is not None and self.rate < 0:
             raise ValueError(f"The rate per partition must not be negative, but is {self.rate}.")
+        if self.written and not (self.shape.partition_field and self.shape.offset_field):
+            raise ValueError("Leaving out written rows needs a partition and an offset field.")
 
     def plan(self) -> list[OffsetRange]:
         """Ranges of the next tick: from where the last one ended, or else from the saved state."""
@@ -180,7 +192,8 @@ class TrackedIngest:
         # Partitions that are new since the last tick are read from their earliest offset.
         position = offset_table(spark, self.topic, self._position)
         starts = batch_start(bounds, offset_table(spark, self.topic, {}), position)
-        cap = max(1, int(self.rate * self.interval_seconds)) if self.rate else None
+        rate = TICK_RATE if self.rate is None else self.rate
+        cap = max(1, int(rate * self.interval_seconds)) if rate else None
         ranges = collect_ranges(plan_ranges(starts, bounds, cap))
         if not self.allow_gaps:
             check_whole(ranges, bounds, self.source.dense)
@@ -196,7 +209,8 @@ class TrackedIngest:
         batch_time = F.lit(int(time.time() * 1000))
         self.write(decode_topic(self.source.read(ranges), self.shape, batch_time, keep_nulls=True), tick_id)
         ends = {r.partition: r.end_offset for r in ranges}
-        save_offsets(self.source.spark, self.state_path, ends)
+        ahead = advanced(ends, self._saved.ahead)[1] if self._saved else {}
+        self._saved = save_state(self.source.spark, self.state_path, self._saved, ends, ahead)
         self._position.update(ends)
         return True
 
@@ -211,42 +225,44 @@ class TrackedIngest:
         """Read on as a stream: each micro-batch is written, then its end is saved.
 
         The state file decides where a new checkpoint starts; a checkpoint that is there goes on
-        with what it has not read. Offsets are saved as far as they were read without a gap, as files
-        of one partition may come in any order.
+        with what it has not read. Files of one partition may come in any order and hold any of its offsets: the offset
+        saved is the one up to which all were read, and runs of offsets read beyond it are saved beside it until the gap is closed.
         """
-        first = _first_starts(self.source.spark, checkpoint, self._resolved)
-        saved = read_offsets(self.source.spark, self.state_path) or {}
-        position = dict(first) | {p: max(o, first.get(p, 0)) for p, o in saved.items()}
-        waiting: dict[int, dict[int, int]] = {}
-        cap = self.source.rate_options(self.rate, self.interval_seconds, len(first))
-        stream = self.source.stream(self.topic, first, self.max_files, cap)
-        parts = ["partition", *(["segment"] if "segment" in stream.columns else [])]
+        spark = self.source.spark
+        first = _first_start(spark, checkpoint, self._first_state)
+        self._saved = read_state(spark, self.state_path)
+        saved = self._saved or State()
+        position = dict(first.offsets) | {p: max(o, first.offsets.get(p, 0)) for p, o in saved.offsets.items()}
+        progress = replace(first, offsets=position, ahead=united(saved.ahead, first.ahead))
+        cap = self.source.rate_options(self.rate, self.interval_seconds, len(first.offsets), self.topic)
+        stream = self.source.stream(self.topic, first.offsets, self.max_files, cap)
 
         def batch(rows: DataFrame, batch_id: int) -> None:
-            rows.persist()
+            nonlocal progress
+            rows = outside(rows, first.ahead).persist()
             try:
-                spans = rows.groupBy(*parts).agg(F.min("offset").alias("low"), F.max("offset").alias("high"), F.count("*").alias("n"))
-                # Of a table, only what came without a gap; what is left out is read again from the state.
-                found = [r for r in spans.collect() if not self.source.dense or r.n == r.high - r.low + 1]
-                found = sorted((r.partition, r.low, r.high + 1) for r in found)
+                if self.source.dense:
+                    found = collect_islands(rows)
+                else:
+                    ends = rows.groupBy("partition").agg(F.min("offset"), F.max("offset") + 1).collect()
+                    found = {partition: [(low, end)] for partition, low, end in ends}
                 batch_time = F.lit(int(time.time() * 1000))
-                self.write(decode_topic(rows, self.shape, batch_time, keep_nulls=True), batch_id)
+                self.write(decode_topic(rows, self.shape, batch_time, keep_nulls=True), first.first_batch + batch_id)
             finally:
                 rows.unpersist()
-            for partition, low, end in found:
-                if not self.source.dense:
-                    position[partition] = end
-                    continue
-                spans_ = waiting.setdefault(partition, {})
-                spans_[low] = max(end, spans_.get(low, 0))
-                at = position.get(partition, 0)
-                while reached := [x for x in spans_ if x <= at]:
-                    at = max(at, *(spans_.pop(x) for x in reached))
-                position[partition] = at
-            if found:
-                save_offsets(self.source.spark, self.state_path, {p: position[p] for p, _, _ in found})
-
-        messages = stream_from(stream, self.topic, first, self.start.partitions)
+            if not found:
+                return
+            offsets, ahead = progress.offsets, progress.ahead
+            if self.source.dense:
+                offsets, ahead = advanced(offsets, united(ahead, found))
+            else:
+                # Compaction and transactions leave gaps that are never filled.
+                offsets = offsets | {partition: spans[-1][1] for partition, spans in found.items()}
+            reached = {p: offsets.get(p, 0) for p in found}
+            self._saved = save_state(spark, self.state_path, self._saved, reached, ahead)
+            progress = replace(progress, offsets=offsets, ahead=ahead)
+
+        messages = stream_from(stream, self.topic, first.offsets, self.start.partitions)
         return (
             messages.writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint)
@@ -254,10 +270,28 @@ class TrackedIngest:
             .start()
         )
 
+    def _first_state(self) -> State:
+        """Where a new checkpoint starts, which offsets beyond are written already, and the ids of its batches."""
+        offsets = self._resolved()
+        if self.written is None:
+            return State(offsets)
+        ahead = self._saved.ahead if self._saved else {}
+        rows = self.written()
+        if rows is not None:
+            names = {self.shape.partition_field: "partition", self.shape.offset_field: "offset"}
+            placed = rows.select(*[F.col(f"`{name}`").alias(kind) for name, kind in names.items()])
+            beyond = stream_from(placed.withColumn("topic", F.lit(self.topic)), self.topic, offsets)
+            ahead = united(ahead, collect_islands(beyond))
+        # Batches of an earlier checkpoint keep their places: ids start from the time of this one.
+        known = self._saved is not None or bool(ahead)
+        return State(offsets, ahead, int(time.time()) << 24 if known else 0)
+
     def _resolved(self) -> dict[int, int]:
         """Where to start: the saved state, or else what was configured."""
+        spark = self.source.spark
         bounds = self.source.bounds(self.topic)
-        saved = load_offsets(self.source.spark, self.state_path, self.topic)
+        self._saved = read_state(spark, self.state_path)
+        saved = offset_table(spark, self.topic, self._saved.offsets if self._saved else {})
         check_saved(saved, bounds)
         chosen = select_partitions(bounds, self.start.partitions)
         return collect_offsets(resume_offsets(self.start.offsets(self.source, self.topic, chosen), saved, chosen))
