@@ -5,10 +5,13 @@ This package plans which offsets to read, reads them as DataFrames, decodes the
 payloads, remembers where it stopped, and publishes rows and alerts back.
 """
 
+from topicwright.functions.grok import compile_grok
 from topicwright.functions.partitioner import round_robin_partition, string_partition
 from topicwright.functions.payload import csv_body, json_body, payload_text
 from topicwright.functions.shape import RecordShape, ShapeError
+from topicwright.operators.audit import audit_offsets
 from topicwright.operators.decode import decode_topic
+from topicwright.operators.islands import offset_islands
 from topicwright.operators.offsets import (
     LATEST,
     EARLIEST,
@@ -72,10 +75,12 @@ __all__ = [
     "alert_messages",
     "alerts",
     "apply_overrides",
+    "audit_offsets",
     "backlog",
     "batch_start",
     "check_saved",
     "collect_ranges",
+    "compile_grok",
     "csv_body",
     "decode_topic",
     "earliest_offsets",
@@ -85,6 +90,7 @@ __all__ = [
     "load_offsets",
     "read_offsets",
     "offset_bounds",
+    "offset_islands",
     "offset_table",
     "offsets_file",
     "open_topic",

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import re
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+from topicwright.functions.grok import Grok, GrokError, compile_grok, is_grok
 from topicwright.functions.payload import CLF_FIELDS, SYSLOG_FIELDS
 
 # Names of payload formats.
@@ -43,9 +45,9 @@ def record_schema(text: str) -> T.StructType:
     """A record schema in JSON (fields with name and type, unions with null) as a StructType."""
     record = json.loads(text)
     fields = []
-    for field in record["fields"]:
-        data_type, nullable = _field_type(field["type"])
-        fields.append(T.StructField(field["name"], data_type, nullable))
+    for declared in record["fields"]:
+        data_type, nullable = _field_type(declared["type"])
+        fields.append(T.StructField(declared["name"], data_type, nullable))
     return T.StructType(fields)
 
 
@@ -79,7 +81,10 @@ class RecordShape:
     partition_field: str | None = None
     offset_field: str | None = None
     time_field: str | None = None
+    # A Grok pattern, whose fields are taken by name, or a regular expression with one group per message field.
     pattern: str | None = None
+    # Pattern names beside the usual ones.
+    definitions: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         schema = self.schema
@@ -107,6 +112,11 @@ class RecordShape:
     def message_fields(self) -> list[T.StructField]:
         return [f for f in self.schema.fields if f.name not in self.metadata_fields]
 
+    @property
+    def grok(self) -> Grok | None:
+        """The compiled pattern, if it refers to pattern names."""
+        return compile_grok(self.pattern, self.definitions) if self.pattern and is_grok(self.pattern) else None
+
     @property
     def groups(self) -> int:
         """Number of groups in the user's pattern."""
@@ -160,7 +170,20 @@ class RecordShape:
         if self.format == "grok":
             if not self.pattern:
                 return ["The grok format needs a pattern with one group per message field."]
+            if is_grok(self.pattern):
+                return self._grok_problems()
             if self.groups != len(fields):
                 return [f"The pattern has {self.groups} groups for {len(fields)} message fields."]
         return []
 
+    def _grok_problems(self) -> list[str]:
+        try:
+            found = dict(self.grok.fields)
+        except GrokError as error:
+            return [str(error)]
+        problems = [f"The pattern has no field '{f.name}'." for f in self.message_fields if f.name not in found]
+        for f in self.message_fields:
+            kind = found.get(f.name)
+            if kind and kind != f.dataType.simpleString():
+                problems.append(f"Field '{f.name}' is {f.dataType.simpleString()}, but {kind} in the pattern.")
+        return problems

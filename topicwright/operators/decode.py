@@ -56,5 +56,7 @@ def _message_columns(value: Column, shape: RecordShape) -> list[Column]:
             known, pattern = payload.SYSLOG_FIELDS, payload.SYSLOG_PATTERN
         case _:
             known, pattern = names, shape.pattern
+            if grok := shape.grok:
+                known, pattern = [name for name, _ in grok.fields], grok.pattern
     groups = [known.index(name) + 1 for name in names]
     return payload.pattern_fields(value, fields, pattern, groups, len(known))

@@ -75,6 +75,8 @@ ORACLES: dict[str, str] = {
         FROM events WHERE event_type = 'click'""",
     "f1_earliest_offsets": f'{_EVENTS} SELECT {_MAP}, earliest AS "offset" FROM bounds',
     "f2_latest_offsets": f'{_EVENTS} SELECT {_MAP}, latest AS "offset" FROM bounds',
+    "f2_segment_index": f"""{_WIDE} SELECT {_MAP}, o // 1048576 AS segment, min(o) AS first_offset,
+        max(o) AS last_offset, count(*) AS messages FROM log GROUP BY ALL""",
     "f3_start_policy": f"""{_EVENTS} SELECT {_MAP}, CAST(starts AS BIGINT) AS "offset", policy FROM bounds,
         (VALUES ('beginning', -2), ('latest', -1), ('default', -1), ('specific', 7)) v(policy, starts)""",
     "f4_start_override": f"""{_EVENTS}
@@ -91,6 +93,13 @@ ORACLES: dict[str, str] = {
         WHERE o >= floor(latest * 1 / 3) AND o < floor(latest * 2 / 3)""",
     "f8_many_ranges": f"""{_WIDE} SELECT log.topic, log.p AS "partition", o AS "offset", k AS key, body AS value
         FROM log JOIN bounds b ON log.p = b.p WHERE log.p = 0 OR o = latest - 1""",
+    "f8_offset_audit": f"""{_EVENTS},
+        kept AS (SELECT p, o FROM log WHERE o % 97 NOT BETWEEN 5 AND 8),
+        missing AS (SELECT p, lag(o) OVER (PARTITION BY p ORDER BY o) + 1 AS a, o AS b FROM kept),
+        again AS (SELECT p, o, o - row_number() OVER (PARTITION BY p ORDER BY o) AS run FROM kept WHERE o % 101 IN (3, 4))
+        SELECT 'events' AS topic, p AS "partition", 'missing' AS kind, a AS start_offset, b AS end_offset
+        FROM missing WHERE a < b
+        UNION ALL SELECT 'events', p, 'repeated', min(o), max(o) + 1 FROM again GROUP BY p, run""",
     "f9_resume": f"""{_EVENTS}
         SELECT {_MAP}, CASE p WHEN 0 THEN 10 WHEN 2 THEN 20 ELSE earliest END AS "offset" FROM bounds""",
     "f10_saved_offset_check": f"""{_EVENTS},
@@ -120,6 +129,8 @@ ORACLES: dict[str, str] = {
     "p7_pattern_decode": f"""{_LINE} SELECT 'GET' AS method,
         nullif(regexp_extract(path, '^[^?]*'), '') AS path,
         nullif(regexp_extract(path, '\\?(.*)$', 1), '') AS query, 200 AS status FROM lines""",
+    "p7_grok_decode": f"""{_LINE} SELECT host AS client, usr AS "user", 'GET' AS verb, path AS target,
+        200 AS status, size AS bytes FROM lines""",
     "p8_key_column": "SELECT event_id, CAST(user_id AS VARCHAR) AS message_key FROM events",
     "p9_partition_column": f"{_EVENTS} SELECT event_id, p AS read_from FROM log",
     "p10_offset_column": f"{_EVENTS} SELECT event_id, o AS read_at FROM log",
@@ -155,9 +166,14 @@ ORACLES: dict[str, str] = {
     "t1_stream_decode": f"{_EVENTS} SELECT {_PLACED} FROM log",
     "t2_stream_restart": f"{_GROWN} SELECT {_PLACED} FROM log",
     "t3_state_commit": f'{_EVENTS} SELECT {_MAP}, latest AS "offset" FROM bounds',
+    "t3_offset_islands": f"""{_EVENTS},
+        runs AS (SELECT p, o, o - row_number() OVER (PARTITION BY p ORDER BY o) AS run FROM log WHERE event_type = 'click')
+        SELECT 'events' AS topic, p AS "partition", min(o) AS start_offset, max(o) + 1 AS end_offset FROM runs GROUP BY p, run""",
+    "t3_interleaved_state": f'{_EVENTS} SELECT {_MAP}, latest AS "offset" FROM bounds',
     "t4_state_resume": f"""{_EVENTS} SELECT {_PLACED} FROM log JOIN (SELECT p AS bp, latest FROM bounds) b
         ON p = bp WHERE o >= floor(latest / 2)""",
     "t5_failure_replay": f"{_EVENTS} SELECT {_PLACED} FROM log",
+    "t5_replay_anew": f"{_EVENTS} SELECT {_PLACED} FROM log",
     "t6_rate_plan": f"""{_EVENTS} SELECT {_MAP}, earliest AS start_offset,
         least(latest, earliest + 250) AS end_offset FROM bounds""",
 }

@@ -12,7 +12,9 @@ from topicwright.functions.partitioner import string_partition
 from topicwright.functions.payload import payload_text
 from topicwright.functions.shape import RecordShape
 from topicwright.operators import offsets as off
+from topicwright.operators.audit import audit_offsets
 from topicwright.operators.decode import decode_topic
+from topicwright.operators.islands import offset_islands
 from topicwright.operators.publish import (
     alert_messages,
     alerts,
@@ -151,6 +153,30 @@ def many_ranges(spark, sf_dir):
     return _text_rows(log.read(ranges))
 
 
+def segment_index(spark, sf_dir):
+    """What each segment of a topic of two appends holds."""
+    columns = "topic string, partition int, segment bigint, first_offset bigint, last_offset bigint, messages bigint"
+    segments = tp.wide_topic(spark, sf_dir).segments("wide")
+    return spark.createDataFrame([(s.topic, s.partition, s.segment, s.first, s.last, s.messages) for s in segments], columns)
+
+
+def _copied(spark, sf_dir, name, *parts):
+    """The event topic written anew, one file a partition for each part that a condition takes."""
+    rows = tp.event_topic(spark, sf_dir).rows("events")
+    log = TopicTable(spark, tp.scratch(spark, name))
+    for part in parts:
+        laid = rows.filter(part).repartition("partition").sortWithinPartitions("topic", "partition", "segment", "offset")
+        laid.write.mode("append").partitionBy("topic", "partition", "segment").parquet(log.path)
+    return log
+
+
+def offset_audit(spark, sf_dir):
+    """Missing and repeated offsets of a damaged copy of the event topic."""
+    kept = ~F.pmod("offset", F.lit(97)).between(5, 8)
+    log = _copied(spark, sf_dir, "damaged", kept, kept & F.pmod("offset", F.lit(101)).isin(3, 4))
+    return audit_offsets(log, "events")
+
+
 def resume(spark, sf_dir):
     bounds = tp.event_topic(spark, sf_dir).bounds()
     starts = FROM_START.offsets(tp.event_topic(spark, sf_dir), "events", bounds)
@@ -235,6 +261,21 @@ def pattern_decode(spark, sf_dir):
     return decode_topic(tp.web_log_lines(tp.table(spark, sf_dir, "pages")), shape)
 
 
+def grok_decode(spark, sf_dir):
+    """A pattern whose definitions refer to others, three levels deep."""
+    shape = RecordShape(
+        "client string, user string, verb string, target string, status int, bytes bigint",
+        format="grok",
+        pattern=r"%{CALLER} \[%{HTTPDATE}\] \"%{CALL}\" %{INT:status:int} %{INT:bytes:long}",
+        definitions={
+            "CALLER": "%{IPORHOST:client} %{NOTSPACE} %{USER:user}",
+            "CALL": "%{WORD:verb} %{TARGET:target}(?: HTTP/%{NUMBER})?",
+            "TARGET": "(/|%{URIPATHPARAM})",
+        },
+    )
+    return decode_topic(tp.web_log_lines(tp.table(spark, sf_dir, "pages")), shape)
+
+
 def _with_metadata(spark, sf_dir, field, **names):
     shape = RecordShape(f"{field}, {tp.EVENT_FIELDS}", format="csv", **names)
     return BatchIngest(tp.event_topic(spark, sf_dir), "events", shape).rows()
@@ -455,6 +496,43 @@ def failure_replay(spark, sf_dir):
     return spark.read.parquet(f"{folder}/rows").drop("batch")
 
 
+def islands_of_clicks(spark, sf_dir):
+    """Runs of consecutive offsets that hold clicks."""
+    events = decode_topic(tp.event_topic(spark, sf_dir).rows("events"), tp.PLACED_EVENT_SHAPE)
+    return offset_islands(events.filter("event_type = 'click'").withColumn("topic", F.lit("events")))
+
+
+def interleaved_state(spark, sf_dir):
+    """Saved offsets of a topic whose files hold every other offset of each partition, read file by file."""
+    folder = tp.scratch(spark, "interleaved")
+    even = F.pmod("offset", F.lit(2)) == 0
+    log = _copied(spark, sf_dir, "halves", ~even, even)
+    write = lambda rows, _: rows.write.format("noop").mode("overwrite").save()
+    ingest = TrackedIngest(log, "events", tp.PLACED_EVENT_SHAPE, write, f"{folder}/state", FROM_START, max_files=1)
+    ingest.start_stream(f"{folder}/checkpoint", ONCE).awaitTermination()
+    return load_offsets(spark, ingest.state_path, "events")
+
+
+def replay_anew(spark, sf_dir):
+    """The second batch fails after writing its rows; a new run with a new checkpoint leaves out what is written."""
+    folder = tp.scratch(spark, "replay-anew")
+    batches = []
+
+    def write(rows, batch):
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+        batches.append(batch)
+        if len(batches) == 2:
+            raise RuntimeError("failed after writing")
+
+    ingest = _tracked(spark, sf_dir, folder, write, max_files=1)
+    ingest.written = lambda: spark.read.parquet(f"{folder}/rows") if batches else None
+    try:
+        ingest.start_stream(f"{folder}/checkpoint", ONCE).awaitTermination()
+    except StreamingQueryException:
+        ingest.start_stream(f"{folder}/another", ONCE).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").drop("batch")
+
+
 def rate_plan(spark, sf_dir):
     log = tp.event_topic(spark, sf_dir)
     state = f"{tp.scratch(spark, 'rate-plan')}/source.events"
@@ -478,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s5_topic_lookup": topic_lookup,
     "f1_earliest_offsets": earliest,
     "f2_latest_offsets": latest,
+    "f2_segment_index": segment_index,
     "f3_start_policy": start_policy,
     "f4_start_override": start_override,
     "f5_sentinel_substitution": sentinel_substitution,
@@ -485,6 +564,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f7_range_plan": range_plan,
     "f8_range_read": range_read,
     "f8_many_ranges": many_ranges,
+    "f8_offset_audit": offset_audit,
     "f9_resume": resume,
     "f10_saved_offset_check": saved_offset_check,
     "f11_state_load": state_load,
@@ -497,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_clf_decode": clf_decode,
     "p6_syslog_decode": syslog_decode,
     "p7_pattern_decode": pattern_decode,
+    "p7_grok_decode": grok_decode,
     "p8_key_column": key_column,
     "p9_partition_column": partition_column,
     "p10_offset_column": offset_column,
@@ -517,7 +598,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t1_stream_decode": stream_decode,
     "t2_stream_restart": stream_restart,
     "t3_state_commit": state_commit,
+    "t3_offset_islands": islands_of_clicks,
+    "t3_interleaved_state": interleaved_state,
     "t4_state_resume": state_resume,
     "t5_failure_replay": failure_replay,
+    "t5_replay_anew": replay_anew,
     "t6_rate_plan": rate_plan,
 }

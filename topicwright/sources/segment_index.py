@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Mapping
+from functools import lru_cache
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -53,6 +54,7 @@ class Segment(NamedTuple):
     bytes: int | None
 
 
+@lru_cache(maxsize=4096)
 def escaped(spark: SparkSession, topic: str) -> str:
     """A topic's name as Spark writes it in the name of its folder."""
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(topic)

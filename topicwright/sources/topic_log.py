@@ -154,6 +154,11 @@ class TopicTable:
         rows = footers._stored(topic, () if len(missing) == len(listed) else sorted(missing))
         return sorted([*found.values(), *index.footer_segments(rows, listed)])
 
+    def segment_rows(self, places: list[index.Place]) -> DataFrame:
+        """The messages of some segments (topic, partition, segment); only their folders are listed."""
+        rows = self._stored(None, places)
+        return self.spark.createDataFrame([], LOG_SCHEMA) if rows is None else rows
+
     def bounds(
         self, topic: str | None = None, known: Mapping[tuple[str, int], int] | None = None
     ) -> DataFrame:
