@@ -277,3 +277,46 @@ def test_leaks_of_items_without_an_id(spark):
     found = sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect())
     assert found == [(0, None), (1, None), (2, 7), (4, None)]
     assert [r.doc_id for r in decontaminate.without_leaks(frame, bench).collect()] == [3]
+
+
+@pytest.mark.parametrize("members", [60, 300])
+def test_links_of_a_family_grow_with_its_size(spark, monkeypatch, members):
+    """Variants of one text: most link, some only through others. Whichever is asked first, few links are kept."""
+    base = prose(77, 150)
+    texts = [edited(base, 1 + (i % 5), 500 + i) for i in range(members)] + [edited(base, 9, 9000 + i) for i in range(4)]
+    kept, asked = [], []
+    plain = jaccard_join.checked
+
+    def spy(pairs, sets, share):
+        found = plain(pairs, sets, share)
+        asked.append(pairs.count())
+        kept.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "checked", spy)
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(documents(spark, texts)).collect()}
+    sets = [shingles(t) for t in texts]
+    expected = list(range(len(texts)))
+
+    def root(x):
+        while expected[x] != x:
+            x = expected[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and root(i) != root(j):
+                a, b = sorted((root(i), root(j)))
+                expected[b] = a
+    assert found == {i: root(i) for i in range(len(texts))}
+    assert sum(kept) <= 12 * members and sum(asked) <= 40 * members
+
+
+def test_near_copies_are_told_by_id_and_text(spark):
+    one, other = prose(1, 60), prose(2, 60)
+    rows = [(1, one, 1), (2, one + " end", 2), (2, other, 3), (None, one, 4), (3, None, 5), (4, edited(other, 1, 3), 6)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, _gone int")
+    frame = frame.selectExpr("doc_id", "text", "_gone", "_gone as key", "_gone as `a.b`", "_gone as c0")
+    left = jaccard_join.without_near_copies(frame)
+    assert left.columns == frame.columns
+    assert sorted(r["_gone"] for r in left.collect()) == [1, 3, 4, 5]

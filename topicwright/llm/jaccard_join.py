@@ -8,10 +8,13 @@ over the global order, walks it once with the overlap counted so far, and leaves
 the longest set in it, or of the set that asks, cannot reach the overlap needed. Before that, the parities of the sets'
 n-grams in BITS classes bound from below how many n-grams only one of the two has.
 
-Equal sets are one class from the start. Sets that meet at an n-gram are first checked against the one with the smallest
-key. Components over the links found so far then leave only pairs of different components to check, so a large group
-of copies costs a multiple of its size, not its square. Every pair of different components that meets anywhere and passes
-the bound is checked, so no link between components is missed.
+Equal sets are one class from the start. Sets that meet at an n-gram are then checked in rounds. In each round every n-gram has one
+representative, which a seeded hash of the round picks, so that the n-grams of a family of texts mostly pick the same one; the sets
+of other components there are checked against it. The components that the links found so far make are contracted, and
+only n-grams where several components meet go on. When rounds no longer help, all pairs of different components that are left
+are checked. So a group of n texts that link with most others costs a multiple of n, not its square, whichever of them is picked
+first. Every pair of different components that meets anywhere and passes the bound is checked, so no link between
+components is missed. A task that checks pairs returns a spanning forest of the links that it finds, not all of them.
 
 Null or empty texts have no n-grams and link with nothing. Equal rows, and rows with an equal or a null id, are rows of
 their own; a null id is never a component's smallest id unless the component has no other.
@@ -41,6 +44,9 @@ AT_ONCE = 1 << 20
 BITS = 512
 #: Sets of one side in a cell of the grid in which pairs are checked.
 CELL_SETS = 2048
+#: Rounds go on as long as each leaves at most this share of what was open, and so many at most; then all pairs are checked.
+STILL_OPEN = 0.7
+ROUNDS = 12
 
 
 def set_keys(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -199,8 +205,8 @@ def _few_apart(a: str, b: str, share: int) -> str:
 
 
 def ordered_sets(documents: DataFrame, words: int, frequent, keys: DataFrame) -> DataFrame:
-    """(set_key, grams): the sets with these keys in the global order, packed."""
-    held = documents.sparkSession.sparkContext.broadcast(sieve(keys.select("set_key")))
+    """(set_key, grams): the sets with these keys, and some others, in the global order, packed."""
+    held = documents.sparkSession.sparkContext.broadcast(sieve(keys))
 
     def run(batches):
         seen: set[int] = set()
@@ -215,6 +221,35 @@ def ordered_sets(documents: DataFrame, words: int, frequent, keys: DataFrame) ->
     return documents.select("text").mapInArrow(run, "set_key bigint, grams binary")
 
 
+def _with_keys(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """The sets (set_key, grams) whose keys may be among the given ones."""
+    held = sets.sparkSession.sparkContext.broadcast(sieve(keys))
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(passes(held.value, batch.column("set_key").to_numpy())))
+
+    return sets.mapInArrow(run, sets.schema)
+
+
+def spanning_forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of the pairs that connect what the ones before them don't."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (above := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[above]
+        return x
+
+    kept = []
+    for a, b in pairs:
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept
+
+
 class PrefixTree:
     """Sets in a global order, stored once for each shared beginning.
 
@@ -282,8 +317,8 @@ class PrefixTree:
         return found
 
 
-def checked(pairs: DataFrame, documents: DataFrame, words: int, share: int, frequent) -> DataFrame:
-    """The pairs (a, b) that link.
+def checked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Of the pairs (a, b) that link, enough to connect all that do. ``sets`` (set_key, grams) may hold a set more than once.
 
     Pairs are dealt to the cells of a grid over their two sets, so that a set with many partners goes to as many cells as
     the grid is wide, not to as many as it has partners. In a cell the partners of each `a` form one prefix tree.
@@ -304,6 +339,7 @@ def checked(pairs: DataFrame, documents: DataFrame, words: int, share: int, freq
                 keys = [b for _, b in group]
                 tree = PrefixTree([stored[b] for b in keys])
                 found += [(a, keys[i]) for i in tree.partners(stored[a], share)]
+            found = spanning_forest(found)
             return pa.record_batch([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -320,21 +356,48 @@ def checked(pairs: DataFrame, documents: DataFrame, words: int, share: int, freq
             yield links()
 
     needed = cells.select("cell", "a").union(cells.select("cell", "b")).distinct()
-    keys = needed.select(F.col("a").alias("set_key"))
-    sets = ordered_sets(documents, words, frequent, keys).dropDuplicates(["set_key"])
+    sets = _with_keys(sets, needed.select("a").distinct()).dropDuplicates(["set_key"])
     shipped = needed.join(sets.selectExpr("set_key as a", "grams"), "a").selectExpr("cell", "a", "null as b", "grams")
     rows = cells.selectExpr("cell", "a", "b", "cast(null as binary) as grams").union(shipped)
     dealt = rows.repartition("cell").sortWithinPartitions("cell")
     return written(dealt.mapInArrow(run, "a bigint, b bigint"), "links")
 
 
-def jaccard_components(documents: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of documents (doc_id bigint, text string; others are left alone).
+def _placed(met: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """The postings with the component of their set, at n-grams where several components meet."""
+    if parts is None:
+        placed = met.withColumn("component", F.col("set_key"))
+    else:
+        placed = met.join(parts.withColumnRenamed("node", "set_key"), "set_key", "left")
+        placed = placed.withColumn("component", F.coalesce("component", "set_key"))
+    several = placed.groupBy("gram").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    return placed.join(several.select("gram"), "gram", "left_semi")
 
-    Words are runs of other characters than white space, with A-Z lower-cased. Two texts link when 100 times their common
-    distinct n-grams are at least `share` times those of both. `component_id` is the smallest id reachable by links.
-    """
-    documents = documents.select("doc_id", "text")
+
+def _asked(placed: DataFrame, number: int, share: int) -> DataFrame:
+    """Pairs (a, b) of each n-gram's representative with the sets of other components there."""
+    order = F.xxhash64("set_key", F.lit(number))
+    chosen = F.min(F.struct(order.alias("order"), "set_key", "n", "place", "component")).alias("first")
+    asked = placed.join(placed.groupBy("gram").agg(chosen), "gram").where("first.component <> component")
+    asked = asked.where(_may_link("first", "x", share).replace("x.", ""))
+    return asked.selectExpr("least(first.set_key, set_key) as a", "greatest(first.set_key, set_key) as b").distinct()
+
+
+def _rest(placed: DataFrame, rows: DataFrame, share: int) -> DataFrame:
+    """All pairs (a, b) of sets of different components that meet and may link."""
+    # Of the components that meet at an n-gram, all but the largest ask the others.
+    sizes = placed.groupBy("gram", "component").agg(F.count("*").alias("sets"))
+    largest = sizes.groupBy("gram").agg(F.max(F.struct("sets", "component")).getField("component").alias("largest"))
+    odd = rows.groupBy("set_key").agg(F.first("odd").alias("odd"))
+    placed = written(placed.join(largest, "gram").join(odd, "set_key"), "mixed")
+    meet = "x.gram = y.gram and x.component <> y.component and (y.component = y.largest or x.set_key < y.set_key)"
+    pairs = placed.where("component <> largest").alias("x").join(placed.alias("y"), F.expr(meet))
+    pairs = pairs.where(_may_link("x", "y", share)).where(_few_apart("x", "y", share))
+    return pairs.selectExpr("least(x.set_key, y.set_key) as a", "greatest(x.set_key, y.set_key) as b").distinct()
+
+
+def text_components(documents: DataFrame, words: int, share: int) -> DataFrame:
+    """(doc_id, set_key, n, component) of every row of documents (doc_id, text): the key and size of its set, and a key of its component."""
     spark = documents.sparkSession
     rows = written(text_sets(documents, words), "sets")
     total = rows.agg(F.sum("n")).first()[0] or 0
@@ -343,41 +406,80 @@ def jaccard_components(documents: DataFrame, words: int = 5, share: int = 80) ->
     met = postings(documents, words, share, frequent)
     met = met.repartition("gram").distinct().selectExpr(
         "*",
-        "min(struct(set_key, n, place)) over (partition by gram) as first",
         "lag(n) over (partition by gram order by n, set_key) as below",
         "lead(n) over (partition by gram order by n, set_key) as above",
     )
     near = f"100 * cast(below as bigint) >= {share} * cast(n as bigint) or 100 * cast(n as bigint) >= {share} * cast(above as bigint)"
     met = written(met.where(near).drop("below", "above"), "met")
-    star = met.where(f"first.set_key <> set_key and {_may_link('first', 'met', share)}".replace("met.", ""))
-    star = written(star.selectExpr("first.set_key as a", "set_key as b").distinct(), "star")
+    sets = written(ordered_sets(documents, words, frequent, met.select("set_key").distinct()), "ordered")
+
+    links = spark.createDataFrame([], "a bigint, b bigint")
+    asked, parts = links, None
+    placed = written(_placed(met, parts), "open")
+    before = placed.count()
+    for number in range(ROUNDS):
+        if not before:
+            break
+        pairs = written(_asked(placed, number, share).join(asked, ["a", "b"], "left_anti"), "asked")
+        asked = asked.union(pairs)
+        links = links.union(checked(pairs, sets, share))
+        parts = components(links)
+        placed = written(_placed(placed.drop("component"), parts), "open")
+        now = placed.count()
+        helped, before = now <= STILL_OPEN * before, now
+        if not helped:
+            break
+    if before:
+        pairs = _rest(placed, rows, share).join(asked, ["a", "b"], "left_anti")
+        parts = components(links.union(checked(pairs, sets, share)))
+    rows = rows.drop("odd")
+    if parts is None:
+        return rows.withColumn("component", F.col("set_key"))
+    parts = parts.select(F.col("node").alias("set_key"), "component")
+    return rows.join(parts, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
 
-    links = checked(star, documents, words, share, frequent)
-    parts = components(links)
-    placed = met.join(parts.select(F.col("node").alias("set_key"), "component"), "set_key", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "set_key")).drop("first")
-    # Of the components that meet at an n-gram, all but the largest ask the others.
-    sizes = placed.groupBy("gram", "component").agg(F.count("*").alias("sets"))
-    largest = sizes.groupBy("gram").agg(F.max(F.struct("sets", "component")).alias("largest"), F.count("*").alias("parts"))
-    largest = largest.where("parts > 1").select("gram", F.col("largest.component").alias("largest"))
-    odd = rows.groupBy("set_key").agg(F.first("odd").alias("odd"))
-    placed = written(placed.join(largest, "gram").join(odd, "set_key"), "mixed")
-    meet = "x.gram = y.gram and x.component <> y.component and (y.component = y.largest or x.set_key < y.set_key)"
-    pairs = placed.where("component <> largest").alias("x").join(placed.alias("y"), F.expr(meet))
-    pairs = pairs.where(_may_link("x", "y", share)).where(_few_apart("x", "y", share))
-    pairs = pairs.selectExpr("least(x.set_key, y.set_key) as a", "greatest(x.set_key, y.set_key) as b").distinct()
-    more = checked(pairs.join(star, ["a", "b"], "left_anti"), documents, words, share, frequent)
-    parts = components(links.union(more)).select(F.col("node").alias("set_key"), "component")
-    rows = rows.drop("odd").join(parts, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+
+def jaccard_components(documents: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of documents (doc_id bigint, text string; others are left alone).
+
+    Words are runs of other characters than white space, with A-Z lower-cased. Two texts link when 100 times their common
+    distinct n-grams are at least `share` times those of both. `component_id` is the smallest id reachable by links.
+    """
+    rows = text_components(documents.select("doc_id", "text"), words, share)
     smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
 
 
 def without_near_copies(documents: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
-    """The rows of documents without those that are in a component with a row of a smaller id.
+    """The rows of documents of which one of each component stays: that with the smallest id, of several the one with the smallest key.
 
-    Rows that share an id stay or go together, and rows with a null id stay.
+    A row is told by its id and its set of n-grams, so of rows that share an id each is decided on for itself; rows with
+    equal ids and equal sets stay or go together. Rows with a null id stay. Other columns may have any name.
     """
-    found = jaccard_components(documents, words, share).where("doc_id <> component_id")
-    return documents.join(found.select(F.col("doc_id").alias("_gone")), F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = text_components(documents.select("doc_id", "text"), words, share).where("n > 0 and doc_id is not null")
+    rows = written(rows.select("doc_id", "set_key", "component").distinct(), "rows")
+    stays = rows.groupBy("component").agg(F.min(F.struct("doc_id", "set_key")).alias("stays")).select("stays.*")
+    # By id and key, as copies of a component would all meet at its key.
+    gone = written(rows.select("doc_id", "set_key").join(stays, ["doc_id", "set_key"], "left_anti"), "gone")
+    held = documents.sparkSession.sparkContext.broadcast(sieve(gone.select("set_key").distinct()))
+    names = documents.columns
+    # Columns by number on the way, so that no name clashes.
+    numbered = documents.toDF(*(f"c{i}" for i in range(len(names))))
+    text = f"c{names.index('text')}"
+    kind = numbered.select("*", F.lit(0).cast("bigint").alias("key")).schema
+
+    def sieved(passing: bool):
+        def run(batches):
+            for batch in batches:
+                for rows, texts in slices(batch, text):
+                    keys = set_keys(*shingle_sets(texts.lowered(), words))
+                    made = pa.record_batch([*rows.columns, pa.array(keys)], names=kind.names)
+                    yield made.filter(pa.array(passes(held.value, keys) == passing))
+
+        return numbered.mapInArrow(run, kind)
+
+    # Most texts pass without a shuffle; only those that may have to go are compared.
+    gone = gone.toDF(f"c{names.index('doc_id')}", "key")
+    doubtful = sieved(True).join(gone, gone.columns, "left_anti").select(*kind.names)
+    return sieved(False).union(doubtful).drop("key").toDF(*names)
