@@ -8,9 +8,9 @@ over the global order, walks it once with the overlap counted so far, and leaves
 the longest set in it, or of the set that asks, cannot reach the overlap needed. Before that, the parities of the sets'
 n-grams in BITS classes bound from below how many n-grams only one of the two has.
 
-Equal sets are one class from the start. Sets that meet at an n-gram are then checked in rounds. In each round every n-gram has one
-representative, which a seeded hash of the round picks, so that the n-grams of a family of texts mostly pick the same one; the sets
-of other components there are checked against it. The components that the links found so far make are contracted, and
+Equal sets are one class from the start. Sets that meet at an n-gram are then checked in rounds. In each round every n-gram has one or a few
+representatives, which seeded hashes pick, so that the n-grams of a family of texts mostly pick the same ones; the sets
+of other components there are checked against them. The components that the links found so far make are contracted, and
 only n-grams where several components meet go on. When rounds no longer help, all pairs of different components that are left
 are checked. So a group of n texts that link with most others costs a multiple of n, not its square, whichever of them is picked
 first. Every pair of different components that meets anywhere and passes the bound is checked, so no link between
@@ -27,7 +27,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicwright.llm.shared import components, written
@@ -45,8 +45,10 @@ BITS = 512
 #: Sets of one side in a cell of the grid in which pairs are checked.
 CELL_SETS = 2048
 #: Rounds go on as long as each leaves at most this share of what was open, and so many at most; then all pairs are checked.
-STILL_OPEN = 0.7
+STILL_OPEN = 0.9
 ROUNDS = 12
+#: Representatives of an n-gram in a round after the first, which sees many n-grams where all sets link with any of them.
+REPRESENTATIVES = 4
 
 
 def set_keys(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -375,11 +377,18 @@ def _placed(met: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def _asked(placed: DataFrame, number: int, share: int) -> DataFrame:
-    """Pairs (a, b) of each n-gram's representative with the sets of other components there."""
-    order = F.xxhash64("set_key", F.lit(number))
-    chosen = F.min(F.struct(order.alias("order"), "set_key", "n", "place", "component")).alias("first")
-    asked = placed.join(placed.groupBy("gram").agg(chosen), "gram").where("first.component <> component")
-    asked = asked.where(_may_link("first", "x", share).replace("x.", ""))
+    """Pairs (a, b) of each n-gram's representatives with the sets of other components there.
+
+    A set that is met at many n-grams has few of its own, so it is close to most others; the closest of a component is asked for it.
+    """
+    weight = placed.groupBy("set_key").agg(F.count("*").alias("weight"))
+    placed = placed.join(weight, "set_key")
+    closest = F.max(F.struct("weight", F.xxhash64("set_key", F.lit(number)).alias("order"), "set_key", "n", "place"))
+    chosen = placed.groupBy("gram", "component").agg(closest.alias("first"))
+    place = F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("first")))
+    chosen = chosen.select("gram", F.col("component").alias("own"), "first", place.alias("at"))
+    chosen = chosen.where(F.col("at") <= (REPRESENTATIVES if number else 1))
+    asked = placed.join(chosen, "gram").where("own <> component").where(_may_link("first", "x", share).replace("x.", ""))
     return asked.selectExpr("least(first.set_key, set_key) as a", "greatest(first.set_key, set_key) as b").distinct()
 
 
