@@ -279,16 +279,17 @@ def test_leaks_of_items_without_an_id(spark):
     assert [r.doc_id for r in decontaminate.without_leaks(frame, bench).collect()] == [3]
 
 
-@pytest.mark.parametrize("members", [60, 300])
-def test_links_of_a_family_grow_with_its_size(spark, monkeypatch, members):
+@pytest.mark.parametrize("members, many", [(60, 20), (300, 20), (120, 0)])
+def test_links_of_a_family_grow_with_its_size(spark, monkeypatch, members, many):
     """Variants of one text: most link, some only through others. Whichever is asked first, few links are kept."""
+    monkeypatch.setattr(jaccard_join, "MANY_PAIRS", many)
     base = prose(77, 150)
     texts = [edited(base, 1 + (i % 5), 500 + i) for i in range(members)] + [edited(base, 9, 9000 + i) for i in range(4)]
     kept, asked = [], []
     plain = jaccard_join.checked
 
-    def spy(pairs, sets, share):
-        found = plain(pairs, sets, share)
+    def spy(pairs, *others):
+        found = plain(pairs, *others)
         asked.append(pairs.count())
         kept.append(found.count())
         return found

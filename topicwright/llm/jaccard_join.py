@@ -8,12 +8,12 @@ over the global order, walks it once with the overlap counted so far, and leaves
 the longest set in it, or of the set that asks, cannot reach the overlap needed. Before that, the parities of the sets'
 n-grams in BITS classes bound from below how many n-grams only one of the two has.
 
-Equal sets are one class from the start. Sets that meet at an n-gram are then checked in rounds. In each round every n-gram has one or a few
-representatives, which seeded hashes pick, so that the n-grams of a family of texts mostly pick the same ones; the sets
-of other components there are checked against them. The components that the links found so far make are contracted, and
-only n-grams where several components meet go on. When rounds no longer help, all pairs of different components that are left
-are checked. So a group of n texts that link with most others costs a multiple of n, not its square, whichever of them is picked
-first. Every pair of different components that meets anywhere and passes the bound is checked, so no link between
+Equal sets are one class from the start. At each n-gram one set is then checked against all others there: the one with the most n-grams
+that many texts hold among its first ones, since a text that was changed much has n-grams of its own first, and is far from most others. The
+components that the links found so far make are contracted, and all pairs of different components that still meet and
+may link are checked. Should these be many, rounds go before it in which every component at an n-gram asks a few representatives
+of others, and components are contracted again. So a group of n texts that link with most others costs a multiple of n, not its
+square. Every pair of different components that meets anywhere and passes the bound is checked, so no link between
 components is missed. A task that checks pairs returns a spanning forest of the links that it finds, not all of them.
 
 Null or empty texts have no n-grams and link with nothing. Equal rows, and rows with an equal or a null id, are rows of
@@ -44,10 +44,10 @@ AT_ONCE = 1 << 20
 BITS = 512
 #: Sets of one side in a cell of the grid in which pairs are checked.
 CELL_SETS = 2048
-#: Rounds go on as long as each leaves at most this share of what was open, and so many at most; then all pairs are checked.
-STILL_OPEN = 0.9
+#: With more pairs than this for each set that is left, another round is made first, so many at most.
+MANY_PAIRS = 20
 ROUNDS = 12
-#: Representatives of an n-gram in a round after the first, which sees many n-grams where all sets link with any of them.
+#: Representatives of an n-gram in such a round.
 REPRESENTATIVES = 4
 
 
@@ -148,8 +148,10 @@ def frequent_grams(documents: DataFrame, words: int, grams: int) -> tuple[np.nda
     return most["gram"].to_numpy(np.uint64), most["texts"].to_numpy(np.int64)
 
 
-def global_order(values: np.ndarray, begins: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Each set in the global order."""
+def global_order(
+    values: np.ndarray, begins: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Each set in the global order, and how many n-grams of each are not among the frequent ones, which come last."""
     grams, texts = frequent
     rank = np.zeros(len(values), np.int64)
     if len(grams) and len(values):
@@ -157,13 +159,14 @@ def global_order(values: np.ndarray, begins: np.ndarray, frequent: tuple[np.ndar
         at = np.minimum(np.searchsorted(grams, first), len(grams) - 1)
         rank = np.where(grams[at] == first, texts[at], 0)
     owner = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    rare = np.bincount(owner[rank == 0], minlength=len(begins) - 1)
     late = np.flatnonzero(rank)
     if not len(late):
-        return values
+        return values, rare
     moved = owner[late]
     early = np.flatnonzero(rank == 0)
     order = np.concatenate([early, late[np.lexsort((values[late], rank[late], moved))]])
-    return values[order[np.argsort(owner[order], kind="stable")]]
+    return values[order[np.argsort(owner[order], kind="stable")]], rare
 
 
 def _first_places(n: np.ndarray, share: int) -> np.ndarray:
@@ -171,7 +174,10 @@ def _first_places(n: np.ndarray, share: int) -> np.ndarray:
 
 
 def postings(documents: DataFrame, words: int, share: int, frequent) -> DataFrame:
-    """(gram, set_key, n, place): the first places of each set in the global order; of equal sets in a task, one."""
+    """(gram, set_key, n, place, common): the first places of each set in the global order; of equal sets in a task, one.
+
+    `common` is how many of a set's first places hold frequent n-grams.
+    """
 
     def run(batches):
         grams = frequent.value
@@ -183,15 +189,17 @@ def postings(documents: DataFrame, words: int, share: int, frequent) -> DataFram
                 if n[i] and key not in seen:
                     seen.add(key)
                     fresh[i] = True
-            ordered = global_order(values, begins, grams)
+            ordered, rare = global_order(values, begins, grams)
             owner = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(values)) - begins[owner]
-            taken = fresh[owner] & (place < _first_places(n, share)[owner])
+            first = _first_places(n, share)
+            taken = fresh[owner] & (place < first[owner])
             owner, place = owner[taken], place[taken]
-            columns = [ordered[taken].view(np.int64), keys[owner], n[owner].astype(np.int32), place.astype(np.int32)]
-            yield pa.record_batch([pa.array(x) for x in columns], ["gram", "set_key", "n", "place"])
+            common = np.maximum(first - rare, 0)[owner]
+            columns = [ordered[taken].view(np.int64), keys[owner], *(x.astype(np.int32) for x in (n[owner], place, common))]
+            yield pa.record_batch([pa.array(x) for x in columns], ["gram", "set_key", "n", "place", "common"])
 
-    return documents.select("text").mapInArrow(run, "gram bigint, set_key bigint, n int, place int")
+    return documents.select("text").mapInArrow(run, "gram bigint, set_key bigint, n int, place int, common int")
 
 
 def _may_link(a: str, b: str, share: int) -> str:
@@ -207,7 +215,7 @@ def _few_apart(a: str, b: str, share: int) -> str:
 
 
 def ordered_sets(documents: DataFrame, words: int, frequent, keys: DataFrame) -> DataFrame:
-    """(set_key, grams): the sets with these keys, and some others, in the global order, packed."""
+    """(set_key, grams): the sets with these keys, and some others, in the global order, packed; of equal sets in a task, one."""
     held = documents.sparkSession.sparkContext.broadcast(sieve(keys))
 
     def run(batches):
@@ -216,24 +224,13 @@ def ordered_sets(documents: DataFrame, words: int, frequent, keys: DataFrame) ->
             own = set_keys(values, begins)
             taken = [i for i in np.flatnonzero(passes(held.value, own)).tolist() if own[i] not in seen]
             seen.update(own[taken].tolist())
-            ordered = global_order(values, begins, frequent.value)
+            ordered, _ = global_order(values, begins, frequent.value)
             grams = [_pack(ordered[begins[i] : begins[i + 1]], 6) for i in taken]
             yield pa.record_batch([pa.array(own[taken]), pa.array(grams, pa.binary())], ["set_key", "grams"])
 
     return documents.select("text").mapInArrow(run, "set_key bigint, grams binary")
 
 
-def _with_keys(sets: DataFrame, keys: DataFrame) -> DataFrame:
-    """The sets (set_key, grams) whose keys may be among the given ones."""
-    held = sets.sparkSession.sparkContext.broadcast(sieve(keys))
-
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(passes(held.value, batch.column("set_key").to_numpy())))
-
-    return sets.mapInArrow(run, sets.schema)
-
-
 def spanning_forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Those of the pairs that connect what the ones before them don't."""
     parent: dict[int, int] = {}
@@ -319,8 +316,8 @@ class PrefixTree:
         return found
 
 
-def checked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Of the pairs (a, b) that link, enough to connect all that do. ``sets`` (set_key, grams) may hold a set more than once.
+def checked(pairs: DataFrame, documents: DataFrame, words: int, share: int, frequent) -> DataFrame:
+    """Of the pairs (a, b) that link, enough to connect all that do.
 
     Pairs are dealt to the cells of a grid over their two sets, so that a set with many partners goes to as many cells as
     the grid is wide, not to as many as it has partners. In a cell the partners of each `a` form one prefix tree.
@@ -358,36 +355,28 @@ def checked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
             yield links()
 
     needed = cells.select("cell", "a").union(cells.select("cell", "b")).distinct()
-    sets = _with_keys(sets, needed.select("a").distinct()).dropDuplicates(["set_key"])
+    sets = ordered_sets(documents, words, frequent, needed.select("a")).dropDuplicates(["set_key"])
     shipped = needed.join(sets.selectExpr("set_key as a", "grams"), "a").selectExpr("cell", "a", "null as b", "grams")
     rows = cells.selectExpr("cell", "a", "b", "cast(null as binary) as grams").union(shipped)
     dealt = rows.repartition("cell").sortWithinPartitions("cell")
     return written(dealt.mapInArrow(run, "a bigint, b bigint"), "links")
 
 
-def _placed(met: DataFrame, parts: DataFrame | None) -> DataFrame:
+def _placed(met: DataFrame, parts: DataFrame) -> DataFrame:
     """The postings with the component of their set, at n-grams where several components meet."""
-    if parts is None:
-        placed = met.withColumn("component", F.col("set_key"))
-    else:
-        placed = met.join(parts.withColumnRenamed("node", "set_key"), "set_key", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "set_key"))
+    placed = met.join(parts.withColumnRenamed("node", "set_key"), "set_key", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "set_key"))
     several = placed.groupBy("gram").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
     return placed.join(several.select("gram"), "gram", "left_semi")
 
 
 def _asked(placed: DataFrame, number: int, share: int) -> DataFrame:
-    """Pairs (a, b) of each n-gram's representatives with the sets of other components there.
-
-    A set that is met at many n-grams has few of its own, so it is close to most others; the closest of a component is asked for it.
-    """
-    weight = placed.groupBy("set_key").agg(F.count("*").alias("weight"))
-    placed = placed.join(weight, "set_key")
-    closest = F.max(F.struct("weight", F.xxhash64("set_key", F.lit(number)).alias("order"), "set_key", "n", "place"))
+    """Pairs (a, b) of the representatives of some components at each n-gram with the sets of other components there."""
+    closest = F.max(F.struct("common", F.xxhash64("set_key", F.lit(number)).alias("order"), "set_key", "n", "place"))
     chosen = placed.groupBy("gram", "component").agg(closest.alias("first"))
     place = F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("first")))
     chosen = chosen.select("gram", F.col("component").alias("own"), "first", place.alias("at"))
-    chosen = chosen.where(F.col("at") <= (REPRESENTATIVES if number else 1))
+    chosen = chosen.where(F.col("at") <= REPRESENTATIVES)
     asked = placed.join(chosen, "gram").where("own <> component").where(_may_link("first", "x", share).replace("x.", ""))
     return asked.selectExpr("least(first.set_key, set_key) as a", "greatest(first.set_key, set_key) as b").distinct()
 
@@ -415,37 +404,33 @@ def text_components(documents: DataFrame, words: int, share: int) -> DataFrame:
     met = postings(documents, words, share, frequent)
     met = met.repartition("gram").distinct().selectExpr(
         "*",
+        "max(struct(common, set_key, n, place)) over (partition by gram) as first",
         "lag(n) over (partition by gram order by n, set_key) as below",
         "lead(n) over (partition by gram order by n, set_key) as above",
     )
     near = f"100 * cast(below as bigint) >= {share} * cast(n as bigint) or 100 * cast(n as bigint) >= {share} * cast(above as bigint)"
     met = written(met.where(near).drop("below", "above"), "met")
-    sets = written(ordered_sets(documents, words, frequent, met.select("set_key").distinct()), "ordered")
+    asked = met.where(f"first.set_key <> set_key and {_may_link('first', 'met', share)}".replace("met.", ""))
+    asked = written(asked.selectExpr("least(first.set_key, set_key) as a", "greatest(first.set_key, set_key) as b").distinct(), "asked")
+    met = met.drop("first")
 
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    asked, parts = links, None
+    links = checked(asked, documents, words, share, frequent)
+    parts = components(links)
     placed = written(_placed(met, parts), "open")
-    before = placed.count()
+    pairs = written(_rest(placed, rows, share).join(asked, ["a", "b"], "left_anti"), "rest")
     for number in range(ROUNDS):
-        if not before:
+        if pairs.count() <= MANY_PAIRS * placed.select("set_key").distinct().count():
             break
-        pairs = written(_asked(placed, number, share).join(asked, ["a", "b"], "left_anti"), "asked")
-        asked = asked.union(pairs)
-        links = links.union(checked(pairs, sets, share))
+        more = written(_asked(placed, number, share).join(asked, ["a", "b"], "left_anti"), "asked")
+        asked = asked.union(more)
+        links = links.union(checked(more, documents, words, share, frequent))
         parts = components(links)
         placed = written(_placed(placed.drop("component"), parts), "open")
-        now = placed.count()
-        helped, before = now <= STILL_OPEN * before, now
-        if not helped:
-            break
-    if before:
-        pairs = _rest(placed, rows, share).join(asked, ["a", "b"], "left_anti")
-        parts = components(links.union(checked(pairs, sets, share)))
-    rows = rows.drop("odd")
-    if parts is None:
-        return rows.withColumn("component", F.col("set_key"))
-    parts = parts.select(F.col("node").alias("set_key"), "component")
-    return rows.join(parts, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+        pairs = written(_rest(placed, rows, share).join(asked, ["a", "b"], "left_anti"), "rest")
+    links = links.union(checked(pairs, documents, words, share, frequent))
+    parts = components(links).select(F.col("node").alias("set_key"), "component")
+    rows = rows.drop("odd").join(parts, "set_key", "left")
+    return rows.withColumn("component", F.coalesce("component", "set_key"))
 
 
 def jaccard_components(documents: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
