@@ -14,11 +14,13 @@ id stays; null ids are smaller than any other; of several rows with the same tex
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicwright.llm.shared import written
+from topicwright.llm.sieve import passes, sieve
 from topicwright.llm.text_arrays import mix
 
 #: Digests of a shard, on average.
@@ -233,16 +235,30 @@ def first_half(documents: DataFrame) -> Column:
 def without_copies(documents: DataFrame, in_history: Column) -> DataFrame:
     """The rows of documents without those whose text another row has: of each group, the one that `exact_groups` keeps.
 
-    Rows are matched by digest and id together, so a text that many rows hold is not in one task.
+    Rows are matched by digest and id together, so a text that many rows hold is not in one task. A sieve of these lets
+    all other rows pass without a shuffle. Other columns may have any name.
     """
     decided = written(exact_groups(documents, in_history).where("group_size > 1"), "decided")
-    copies_ = decided.where("not (doc_id <=> keep_id)").select(F.col("digest").alias("_of"), F.col("doc_id").alias("_id")).distinct()
-    marked = documents.withColumn("_digest", text_digest(F.col("text")))
-    rows = marked.join(copies_, F.expr("_digest = _of and doc_id <=> _id"), "left_anti")
+    gone = decided.where("not (doc_id <=> keep_id)").select("digest", "doc_id").distinct()
     # Groups of which several rows have the id that stays.
-    repeated = decided.where("doc_id <=> keep_id").groupBy(F.col("digest").alias("_of")).agg(F.count("*").alias("_times")).where("_times > 1")
-    if not repeated.isEmpty():
-        same = F.col("_digest") == F.col("_of")
-        one = rows.join(repeated, same, "left_semi").dropDuplicates(["_digest"])
-        rows = rows.join(repeated, same, "left_anti").union(one)
-    return rows.select(*documents.columns)
+    repeated = decided.where("doc_id <=> keep_id").groupBy("digest", "doc_id").agg(F.count("*").alias("times")).where("times > 1")
+    gone, repeated = written(gone, "gone"), written(repeated.drop("times"), "repeated")
+    mark = F.xxhash64("digest", "doc_id").alias("mark")
+    held = documents.sparkSession.sparkContext.broadcast(sieve(gone.union(repeated).select(mark)))
+
+    @F.pandas_udf("boolean")
+    def may_go(marks: pd.Series) -> pd.Series:
+        return pd.Series(passes(held.value, marks.to_numpy(np.int64)))
+
+    names = documents.columns
+    # Columns by number on the way, so that no name clashes.
+    numbered = documents.toDF(*(f"c{i}" for i in range(len(names))))
+    number, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
+    marked = numbered.withColumn("digest", text_digest(F.col(text)))
+    marked = marked.withColumn("doubtful", may_go(F.xxhash64("digest", number)))
+    same = F.expr(f"digest = of and {number} <=> id")
+    pairs = lambda frame: frame.toDF("of", "id")
+    rows = marked.where("doubtful").join(pairs(gone), same, "left_anti")
+    one = rows.join(pairs(repeated), same, "left_semi").dropDuplicates(["digest"])
+    rows = rows.join(pairs(repeated), same, "left_anti").union(one)
+    return marked.where("not doubtful").union(rows).select(*numbered.columns).toDF(*names)
