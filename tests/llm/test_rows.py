@@ -261,6 +261,23 @@ def test_rollup_matches_counting_again(spark, tmp_path):
         rollup.commit("../x", frame)
 
 
+def test_addresses_are_found_as_by_the_plain_pattern(spark):
+    import re
+
+    pick = random.Random(5)
+    texts = ["".join(pick.choice("ab.@_1 é") for _ in range(pick.randrange(60))) for _ in range(3000)]
+    texts += ["a@b.com_x@y.org", "a@b.c.dd.e1@f.gg", "@@a@b.cc@d.ee", "x" * 1_000_000, "x" * 500_000 + "@a.bc " + "1." * 200_000]
+    found = documents(spark, texts).select("doc_id", F.regexp_replace("text", token_counts.EMAIL_ONCE, "")).collect()
+    # The plain pattern takes hours on the long runs.
+    wanted = {i: re.sub(token_counts.EMAIL, "", t) for i, t in enumerate(texts[:-2])}
+    wanted |= {len(texts) - 2: texts[-2], len(texts) - 1: " " + texts[-1].split(" ")[1]}
+    assert dict(found) == wanted
+    ranks = {"byte_bpe_50k": token_counts.rank_file(TOKENIZER), "words": None}
+    long = token_counts.counted(documents(spark, texts[-2:]), ranks).collect()
+    assert sorted((r.doc_id, r.tokens, r.redacted) for r in long if r.version == "words") == [(0, 1, 1), (1, 2, 1)]
+    assert all(0 < r.redacted <= r.tokens for r in long)
+
+
 def test_token_counts_match_the_tokenizer(spark):
     found = {(r.source, r.lang, r.version): (r.documents, r.tokens) for r in op1_token_counts(spark, SF).collect()}
     encode = token_counts.encoding(token_counts.rank_file(TOKENIZER)).encode_ordinary

@@ -30,6 +30,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: A rank file goes to every executor, so it may have so many bytes at most.
 MOST_BYTES = 32 << 20
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+#: The same matches, begun only where a run of its characters begins or the last match ended, so that a long run is read once.
+EMAIL_ONCE = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 GROUP = ["source", "lang", "version"]
 
 
@@ -76,7 +78,7 @@ def counted(documents: DataFrame, tokenizers: dict[str, bytes | None]) -> DataFr
                     columns = [*(rows.column(c) for c in ("doc_id", "source", "lang")), pa.array([version] * len(before)), pa.array(before), pa.array(after)]
                     yield pa.record_batch(columns, ["doc_id", *GROUP, "tokens", "redacted"])
 
-    short = F.when(F.col("text").rlike(EMAIL), F.regexp_replace("text", EMAIL, ""))
+    short = F.when(F.col("text").rlike(EMAIL_ONCE), F.regexp_replace("text", EMAIL_ONCE, ""))
     kind = "doc_id bigint, source string, lang string, version string, tokens bigint, redacted bigint"
     return documents.select("doc_id", "source", "lang", "text", short.alias("short")).mapInArrow(run, kind)
 
