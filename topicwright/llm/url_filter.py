@@ -28,6 +28,8 @@ DAMPING = 0.85
 THRESHOLD = 0.5
 STEPS = 50
 CLOSE = 1e-6
+#: Parts that the pages of a host are dealt to when they are joined with the verdict on it.
+SALTS = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 ADDRESS = r"(?s)^(?:(?!://).)*+://([^/?#]*)([^?#]*)"
@@ -131,5 +133,8 @@ def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
     ranks = spread(base, links).join(alone, F.expr("host = _host"), "left").drop("_host")
     blocked = ranks.where(f"greatest(distrust, alone) - trust >= {THRESHOLD * (1 - DAMPING)}").select(F.col("host").alias("_host"))
     verdict = F.coalesce("said", F.when(F.col("_host").isNotNull(), "block").otherwise("allow"))
-    joined = judged.drop("links").join(blocked, F.expr("host = _host and said is null"), "left")
+    # A blocked host is looked up under SALTS keys, so that the pages of a large host are dealt to as many tasks.
+    blocked = blocked.select("_host", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salted = judged.drop("links").withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(blocked, F.expr("host = _host and salt = _salt and said is null"), "left")
     return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
