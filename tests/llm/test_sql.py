@@ -1,12 +1,15 @@
 """Queries against their SQL, and the shape of the contract."""
 
 import os
+import textwrap
 
+import duckdb
 import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from compare import assert_same, oracle_connection
+from topicwright.llm.licenses import SENTENCES
 from topicwright.llm.oracles import ORACLES
 from topicwright.llm.queries import QUERIES
 
@@ -23,6 +26,42 @@ def test_query_matches_sql(spark, oracle, name):
     assert assert_same(QUERIES[name](spark, SF_DIR), oracle, ORACLES[name]) > 0
 
 
+def planted(spark, folder, name, rows, kind):
+    """A table of these rows only, for Spark and for SQL."""
+    path = f"{folder}/{name}.parquet"
+    spark.createDataFrame(rows, kind).write.parquet(path)
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{path}/*.parquet'")
+    return connection
+
+
+def test_url_sql_on_links_between_hosts(spark, tmp_path):
+    link = lambda *hosts: "".join(f'<a href="https://{h}/p">x</a>' for h in hosts)
+    rows = [(0, "http://Spam.net/", link("good.org")), (1, "http://good.org/fr/", link("door0.com", "friend.com")), (2, "http://friend.com/", None)]
+    rows += [(10 + i, f"http://door{i}.com/a", link("spam.NET")) for i in range(40)]
+    rows += [(60 + i, f"http://half{i}.com/", link("spam.net", "a.com", "b.com")) for i in range(10)]
+    rows += [(80, "http://behind.com/", link("door1.com")), (81, "http://behind.com/", ""), (82, None, link("spam.net")), (None, "no host", None)]
+    rows += [(83, "http://mixed.org/", link("spam.net", "spam.net")), (84, "http://mixed.org/fr/x", None)]
+    connection = planted(spark, tmp_path, "pages", rows, "page_id bigint, url string, html string")
+    assert assert_same(QUERIES["op2_url_filter"](spark, str(tmp_path)), connection, ORACLES["op2_url_filter"]) == len(rows)
+    blocked = {r.page_id for r in QUERIES["op2_url_filter"](spark, str(tmp_path)).collect() if r.verdict == "block"}
+    assert {0, *range(11, 50)} <= blocked and not {2, 10, 60} & blocked
+
+
+def test_licence_sql_on_headers(spark, tmp_path):
+    grant, notice, asis, liable = (SENTENCES[n] for n in ("mit-grant", "mit-notice", "mit-asis", "mit-liable"))
+    header = "/*\n * Copyright (c) 2020 A. Person\n *\n" + "\n *\n".join(
+        "\n".join(f" * {line}" for line in textwrap.wrap(s, 60)) for s in (grant, notice, f"{asis} {liable}")
+    ) + "\n */\ncode();"
+    whole = "\n\n".join((grant, notice, asis, liable))
+    texts = [header, header.replace(" *", "#"), whole, whole.upper(), f"- {SENTENCES['mit-line']}\n--\n* {SENTENCES['ccby4-line']}", "\n\u0663\n", "\n--\n", "", None]
+    rows = list(enumerate(texts))
+    connection = planted(spark, tmp_path, "documents", rows, "doc_id bigint, text string")
+    assert assert_same(QUERIES["op3_license_scan"](spark, str(tmp_path)), connection, ORACLES["op3_license_scan"]) == len(rows)
+    found = {r.doc_id: r.licenses for r in QUERIES["op3_license_scan"](spark, str(tmp_path)).collect()}
+    assert [found[i] for i in range(5)] == [["MIT"]] * 4 + [["CC-BY-4.0", "MIT"]]
+
+
 def test_contract():
     assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) <= set(contract.queries()) and contract.queries()["pipeline"] is corpus_pipeline.run

@@ -41,8 +41,9 @@ ORACLES = {
             SELECT *, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said
             FROM judged
         ), targets AS (
-            SELECT DISTINCT page_id, host AS source, lower(unnest(regexp_extract_all(
-                html, '(?i)\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s<>]+)', 1))) AS target
+            SELECT DISTINCT page_id, host AS source, translate(unnest(regexp_extract_all(
+                html, '(?i)\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s<>]+)', 1)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target
             FROM said
         ), links AS (
             SELECT source, target, count(*) AS pages FROM targets
@@ -57,8 +58,17 @@ ORACLES = {
             SELECT step + 1, flow.b, paths.kind, sum({DAMPING} * value * share)
             FROM paths JOIN flow ON flow.a = paths.host AND flow.kind = paths.kind
             WHERE step < {STEPS} AND value > {CLOSE} / 100 GROUP BY step + 1, flow.b, paths.kind
+        ), sums AS (
+            SELECT host, coalesce(sum(value) FILTER (kind = 'allow'), 0) AS trust, coalesce(sum(value) FILTER (kind = 'block'), 0) AS distrust
+            FROM paths GROUP BY host
+        ), seeds AS (
+            SELECT host, avg((coalesce(said, '') = 'block')::INT) AS bad FROM said WHERE host <> '' GROUP BY host
+        ), alone AS (
+            SELECT source AS host, {DAMPING} * sum(pages * coalesce(bad, 0)) / sum(pages) AS alone
+            FROM links LEFT JOIN seeds ON seeds.host = target GROUP BY source
         ), ranks AS (
-            SELECT host, sum(CASE kind WHEN 'block' THEN value ELSE -value END) >= {THRESHOLD} AS blocked FROM paths GROUP BY host
+            SELECT host, greatest(distrust, coalesce(bad, 0) + coalesce(alone, 0)) - trust >= {THRESHOLD} AS blocked
+            FROM sums LEFT JOIN seeds USING (host) LEFT JOIN alone USING (host)
         )
         SELECT page_id, host, path, rule,
                coalesce(said, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
@@ -73,8 +83,10 @@ ORACLES = {
         ), ids AS (
             SELECT doc_id, flatten(list_transform(parts, lambda s:
                 CASE WHEN known[{_NORMALISED.format('s')}] IS NOT NULL THEN [known[{_NORMALISED.format('s')}]]
-                ELSE list_filter(list_transform(string_split(s, chr(10)), lambda l: known[{_NORMALISED.format('l')}]),
-                                 lambda x: x IS NOT NULL) END)) AS sentences
+                ELSE flatten(list_transform(string_split_regex(s, '\n(?:[^\p{{L}}\p{{N}}\n]*\n)+'), lambda p:
+                    CASE WHEN known[{_NORMALISED.format('p')}] IS NOT NULL THEN [known[{_NORMALISED.format('p')}]]
+                    ELSE list_filter(list_transform(string_split(p, chr(10)), lambda l: known[{_NORMALISED.format('l')}]),
+                                     lambda x: x IS NOT NULL) END)) END)) AS sentences
             FROM cut
         ), taken AS (
             SELECT *, regexp_extract_all(array_to_string(list_transform(sentences, lambda x: '<' || x || '>'), ''),
