@@ -119,6 +119,10 @@ def test_exact_groups_of_null_ids_repeated_rows_and_no_rows(spark, history):
     assert sorted((r.keep_id or 0, r.group_size, r.kept) for r in found) == [(0, 2, False), (0, 2, True), (7, 3, False), (7, 3, False), (7, 3, True), (8, 1, True)]
     kept = digest_dedup.without_copies(frame, F.expr(history)).collect()
     assert sorted(r.doc_id or 0 for r in kept) == [0, 7, 8]
+    clash = frame.toDF("doc_id", "text", "digest", "_of", "c0").withColumn("doubtful", F.lit(3)).withColumn("of", F.lit("x"))
+    kept = digest_dedup.without_copies(clash, F.expr(history))
+    assert kept.columns == clash.columns
+    assert sorted((r.doc_id or 0, r.digest, r.c0, r.doubtful, r.of) for r in kept.collect())[:2] == [(0, "en", 1, 3, "x"), (7, "en", 1, 3, "x")]
     assert digest_dedup.exact_groups(documents(spark, []), F.expr(history)).collect() == []
     assert digest_dedup.without_copies(documents(spark, []), F.expr(history)).collect() == []
 
