@@ -2,7 +2,7 @@
 
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -10,6 +10,7 @@ from frames import DOCUMENTS, LOWER, ODD, documents, edited, prose, words
 from pyspark.sql import functions as F
 
 from topicwright.llm import decontaminate, digest_dedup, jaccard_join, line_dedup
+from topicwright.llm.edits import within
 from topicwright.llm.text_arrays import Texts
 
 
@@ -154,6 +155,28 @@ def plain_lines(text):
     return lines
 
 
+def plain_links(names):
+    """The links by the definition, and all pairs within the edit distance."""
+    bits, blocks = {}, {}
+    for name in names:
+        hashes = [int(_texts([w]).hashes(np.array([0]), np.array([len(w.encode())]))[0]) for w in name.split()]
+        bits[name] = sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+        w = name.split()
+        runs = {" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))}
+        # A run alone has one block, its hash.
+        blocks[name] = set(sorted(int(line_dedup.blocks_of(_texts([r]), 4, 4)[0][0]) for r in runs)[:4])
+    links, true = [], []
+    for i, a in enumerate(names):
+        for b in names[:i]:
+            size = max(len(a), len(b))
+            apart = max((Counter(a) - Counter(b)).total(), (Counter(b) - Counter(a)).total())
+            if apart <= 0.2 * size + 1e-9 and distance(a, b) <= int(0.2 * size + 1e-9):
+                true.append((a, b))
+                if blocks[a] & blocks[b] and (bits[a] ^ bits[b]).bit_count() <= 14:
+                    links.append((a, b))
+    return links, true
+
+
 def test_line_dedup_matches_brute_force(spark):
     base = [prose(i, 25) for i in range(30)]
     texts = [*ODD, "a 1\n\nB 22\na 7!\n", *("\n".join([base[i % 30], edited(base[(i * 7) % 30], i % 2, i), f"Line {i} of many", "common line here"]) for i in range(90))]
@@ -165,13 +188,9 @@ def test_line_dedup_matches_brute_force(spark):
             if line:
                 first.setdefault(line, (i, k))
     names = list(first)
-    bits = {n: int(b) & (2**64 - 1) for n, b in zip(names, line_dedup.simhashes(_texts(names)))}
-    links = []
-    for i, a in enumerate(names):
-        for b in names[:i]:
-            size = max(len(a), len(b))
-            if (bits[a] ^ bits[b]).bit_count() <= 3 and distance(a, b) <= int(0.2 * size + 1e-9) and min(len(a), len(b)) >= 0.8 * size:
-                links.append((first[a], first[b]))
+    links, true = plain_links(names)
+    assert len(links) >= 0.9 * len(true)
+    links = [(first[a], first[b]) for a, b in links]
     group = groups_of(first.values(), links)
     wanted = {i: [k for k, line in enumerate(each) if line and group[first[line]] != (i, k)] for i, each in enumerate(lines)}
     assert {r.doc_id: (r.n_lines, r.dropped) for r in found} == {i: (len(lines[i]), wanted[i]) for i in wanted}
@@ -182,6 +201,44 @@ def test_line_dedup_matches_brute_force(spark):
     assert line_dedup.dropped_lines(documents(spark, [])).collect() == []
 
 
+def test_line_dedup_links_long_lines_and_counts_characters(spark):
+    spam = " ".join(["spam"] * 60)
+    long = prose(5, 3000)
+    run = "x" * 200_000
+    texts = [spam, f"{spam} {'漢' * 40}", long, edited(long, 3, 1), run, run + "y", "漢字 " * 20, "", None]
+    found = {r.doc_id: r.dropped for r in line_dedup.dropped_lines(documents(spark, texts)).collect()}
+    # A run of letters is one word: two of them share no block.
+    assert found == {0: [], 1: [0], 2: [], 3: [0], 4: [], 5: [], 6: [], 7: [], 8: []}
+
+
+def test_line_dedup_joins_a_large_family_whatever_its_centre_is(spark):
+    base = prose(8, 16)
+    texts = [edited(base, 1 + i % 4, i) for i in range(70)]
+    names = list(dict.fromkeys(plain_lines("\n".join(texts))))
+    _, parts = line_dedup.fuzzy_groups(documents(spark, texts))
+    group = groups_of(names, plain_links(names)[0])
+    sizes = sorted(n for n in Counter(group.values()).values() if n > 1)
+    assert sorted(r["count"] for r in parts.groupBy("component").count().collect()) == sizes
+
+
+def test_edit_distance_within_a_bound():
+    rng = random.Random(3)
+    pairs = []
+    for _ in range(600):
+        letters = rng.choice(["ab", "abcdefgh ", "aé漢😀"])
+        a = [rng.choice(letters) for _ in range(rng.randint(0, 40))]
+        b = list(a)
+        for _ in range(rng.randint(0, 9)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.randint(0, 1)] = [rng.choice(letters)] * rng.randint(0, 1)
+        pairs.append(("".join(a), "".join(b), rng.randint(0, 8)))
+    one, other, allowed = zip(*pairs)
+    found = within(one, other, np.array(allowed))
+    assert found.tolist() == [distance(a, b) <= k for a, b, k in pairs]
+    assert 100 < found.sum() < 590
+    assert within([], [], np.zeros(0, np.int64)).tolist() == []
+
+
 def _texts(strings):
     raw = [s.encode() for s in strings]
     return Texts(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw])))
