@@ -264,3 +264,34 @@ def test_rate_of_a_table_stream(spark, tmp_path):
     # 20 messages a second of each of 2 partitions: 40 of 200 a batch.
     assert len(batches) >= 5 and sum(batches) == 200 and max(batches) <= 40
     assert read_offsets(spark, f"{tmp_path}/state") == {0: 100, 1: 100}
+
+
+def test_packed_runs_are_the_runs(spark, monkeypatch):
+    monkeypatch.setattr(islands, "PIECE_BITS", 15)
+    monkeypatch.setattr(islands, "_PIECE", 1 << 15)
+    pick, size = random.Random(7), 1 << 15
+    spans = {0: [(0, 4), (size - 3, 2 * size + 5), (2 * size + 9, 2 * size + 10)], 1: [(3 * size, 4 * size)], 4: [(7, 9)]}
+    more = {0: [(4, size - 3)], 2: [(o, o + 1) for o in sorted(pick.sample(range(0, 3 * size, 2), 2000))], 4: [(8, 12)]}
+    packed, other = islands.PackedIntervals.of(spans), islands.PackedIntervals.of(more)
+    assert packed == spans and dict(other) == {**more} and packed != more and islands.PackedIntervals.of({}) == {}
+    both = packed.united(other)
+    assert both == islands.united(spans, more)
+    assert islands.PackedIntervals.parsed(both.content()) == both == islands.PackedIntervals.parsed({str(p): [list(x) for x in own] for p, own in both.items()})
+    for at in ({}, {0: size}, {0: 2 * size + 5, 1: 3 * size + 1, 2: 1, 3: 8}, {4: 10}, {1: 5 * size, 9: 0}):
+        moved, left = both.advanced(at)
+        assert (moved, left) == islands.advanced(at, dict(both))
+        some, rest = both.advanced(at, [0, 9])
+        assert some == at | ({0: moved[0]} if 0 in moved else {}) and rest == {p: own for p, own in (dict(both) | {0: left.get(0)}).items() if own}
+    offsets = [(p, o) for p, own in more.items() for a, b in own for o in range(a, b)]
+    rows = spark.createDataFrame(offsets + offsets[:50], "partition int, offset bigint").repartition(3)
+    assert islands.collect_packed(rows) == more == islands.collect_islands(rows)
+
+
+def test_a_state_of_every_other_offset_stays_small(spark, tmp_path):
+    half = spark.range(0, 1 << 19).selectExpr("cast(0 as int) as partition", "2 * id + 1 as offset")
+    state = save_state(spark, f"{tmp_path}/state", None, {0: 0}, islands.collect_packed(half))
+    (written,) = (f for f in (tmp_path / "state.versions").iterdir() if f.name.isdigit())
+    # As numbers the runs took 8 MB, and every batch wrote them anew.
+    assert written.stat().st_size < 10_000
+    assert read_state(spark, f"{tmp_path}/state") == state
+    assert state.ahead[0][:2] == [(1, 2), (3, 4)] and len(state.ahead[0]) == 1 << 19

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+import zlib
 from collections.abc import Mapping
 from contextlib import closing
 from dataclasses import dataclass, field
@@ -16,7 +17,7 @@ from dataclasses import dataclass, field
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-from topicwright.operators.islands import Intervals
+from topicwright.operators.islands import Intervals, PackedIntervals
 from topicwright.operators.offsets import OffsetError, offset_table
 
 
@@ -40,7 +41,7 @@ class State:
 
     offsets: dict[int, int] = field(default_factory=dict)
     # Offsets behind a gap that were read already.
-    ahead: Intervals = field(default_factory=dict)
+    ahead: Intervals | PackedIntervals = field(default_factory=dict)
     # Added to the ids of a stream's batches.
     first_batch: int = 0
     version: int = 0
@@ -86,14 +87,14 @@ def save_state(
     path: str,
     read: State | None,
     offsets: Mapping[int, int],
-    ahead: Intervals | None = None,
+    ahead: Intervals | PackedIntervals | None = None,
     first_batch: int | None = None,
 ) -> State:
     """Merge the offsets over the state that was read and save it; fails if that is no longer the last one."""
     read = read or State()
     state = State(
         read.offsets | dict(offsets),
-        read.ahead if ahead is None else {p: list(spans) for p, spans in ahead.items() if spans},
+        PackedIntervals.of(read.ahead if ahead is None else ahead),
         read.first_batch if first_batch is None else first_batch,
         read.version + 1,
     )
@@ -118,7 +119,7 @@ def save_offsets(spark: SparkSession, path: str, offsets: Mapping[int, int]) ->
 def _text(state: State) -> str:
     content: dict = {FIELD: {str(p): state.offsets[p] for p in sorted(state.offsets)}}
     if state.ahead:
-        content["ahead"] = {str(p): [list(span) for span in state.ahead[p]] for p in sorted(state.ahead)}
+        content["ahead"] = PackedIntervals.of(state.ahead).content()
     if state.first_batch:
         content["firstBatch"] = state.first_batch
     return json.dumps(content, separators=(",", ":"))
@@ -129,10 +130,10 @@ def _parsed(text: str) -> dict | None:
         content = json.loads(text)
         return {
             "offsets": {int(p): int(offset) for p, offset in content[FIELD].items()},
-            "ahead": {int(p): [(int(a), int(b)) for a, b in spans] for p, spans in content.get("ahead", {}).items()},
+            "ahead": PackedIntervals.parsed(content.get("ahead", {})),
             "first_batch": int(content.get("firstBatch", 0)),
         }
-    except (AttributeError, KeyError, TypeError, ValueError):
+    except (AttributeError, KeyError, TypeError, ValueError, zlib.error):
         return None
 
 

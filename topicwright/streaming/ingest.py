@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topicwright.functions.shape import RecordShape
 from topicwright.operators.decode import decode_topic
-from topicwright.operators.islands import advanced, collect_islands, outside, united
+from topicwright.operators.islands import PackedIntervals, collect_packed, outside
 from topicwright.operators.offsets import (
     apply_overrides,
     batch_start,
@@ -209,7 +209,7 @@ class TrackedIngest:
         batch_time = F.lit(int(time.time() * 1000))
         self.write(decode_topic(self.source.read(ranges), self.shape, batch_time, keep_nulls=True), tick_id)
         ends = {r.partition: r.end_offset for r in ranges}
-        ahead = advanced(ends, self._saved.ahead)[1] if self._saved else {}
+        ahead = PackedIntervals.of(self._saved.ahead).advanced(ends)[1] if self._saved else {}
         self._saved = save_state(self.source.spark, self.state_path, self._saved, ends, ahead)
         self._position.update(ends)
         return True
@@ -233,7 +233,7 @@ class TrackedIngest:
         self._saved = read_state(spark, self.state_path)
         saved = self._saved or State()
         position = dict(first.offsets) | {p: max(o, first.offsets.get(p, 0)) for p, o in saved.offsets.items()}
-        progress = replace(first, offsets=position, ahead=united(saved.ahead, first.ahead))
+        progress = replace(first, offsets=position, ahead=PackedIntervals.of(saved.ahead).united(PackedIntervals.of(first.ahead)))
         cap = self.source.rate_options(self.rate, self.interval_seconds, len(first.offsets), self.topic)
         stream = self.source.stream(self.topic, first.offsets, self.max_files, cap)
 
@@ -242,7 +242,7 @@ class TrackedIngest:
             rows = outside(rows, first.ahead).persist()
             try:
                 if self.source.dense:
-                    found = collect_islands(rows)
+                    found = collect_packed(rows)
                 else:
                     ends = rows.groupBy("partition").agg(F.min("offset"), F.max("offset") + 1).collect()
                     found = {partition: [(low, end)] for partition, low, end in ends}
@@ -254,7 +254,7 @@ class TrackedIngest:
                 return
             offsets, ahead = progress.offsets, progress.ahead
             if self.source.dense:
-                offsets, ahead = advanced(offsets, united(ahead, found))
+                offsets, ahead = ahead.united(found).advanced(offsets, found)
             else:
                 # Compaction and transactions leave gaps that are never filled.
                 offsets = offsets | {partition: spans[-1][1] for partition, spans in found.items()}
@@ -275,13 +275,13 @@ class TrackedIngest:
         offsets = self._resolved()
         if self.written is None:
             return State(offsets)
-        ahead = self._saved.ahead if self._saved else {}
+        ahead = PackedIntervals.of(self._saved.ahead if self._saved else {})
         rows = self.written()
         if rows is not None:
             names = {self.shape.partition_field: "partition", self.shape.offset_field: "offset"}
             placed = rows.select(*[F.col(f"`{name}`").alias(kind) for name, kind in names.items()])
             beyond = stream_from(placed.withColumn("topic", F.lit(self.topic)), self.topic, offsets)
-            ahead = united(ahead, collect_islands(beyond))
+            ahead = ahead.united(collect_packed(beyond))
         # Batches of an earlier checkpoint keep their places: ids start from the time of this one.
         known = self._saved is not None or bool(ahead)
         return State(offsets, ahead, int(time.time()) << 24 if known else 0)
