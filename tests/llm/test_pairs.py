@@ -9,7 +9,7 @@ import pytest
 from frames import DOCUMENTS, LOWER, ODD, documents, edited, prose, words
 from pyspark.sql import functions as F
 
-from topicwright.llm import decontaminate, digest_dedup, jaccard_join, line_dedup
+from topicwright.llm import decontaminate, digest_dedup, edit_join, jaccard_join, line_dedup
 from topicwright.llm.edits import within
 from topicwright.llm.text_arrays import Texts
 
@@ -190,7 +190,8 @@ def test_line_dedup_matches_brute_force(spark):
     names = list(first)
     links, true = plain_links(names)
     assert len(links) >= 0.9 * len(true)
-    links = [(first[a], first[b]) for a, b in links]
+    # Also those that the blocks miss.
+    links = [(first[a], first[b]) for a, b in true]
     group = groups_of(first.values(), links)
     wanted = {i: [k for k, line in enumerate(each) if line and group[first[line]] != (i, k)] for i, each in enumerate(lines)}
     assert {r.doc_id: (r.n_lines, r.dropped) for r in found} == {i: (len(lines[i]), wanted[i]) for i in wanted}
@@ -207,8 +208,8 @@ def test_line_dedup_links_long_lines_and_counts_characters(spark):
     run = "x" * 200_000
     texts = [spam, f"{spam} {'漢' * 40}", long, edited(long, 3, 1), run, run + "y", "漢字 " * 20, "", None]
     found = {r.doc_id: r.dropped for r in line_dedup.dropped_lines(documents(spark, texts)).collect()}
-    # A run of letters is one word: two of them share no block.
-    assert found == {0: [], 1: [0], 2: [], 3: [0], 4: [], 5: [], 6: [], 7: [], 8: []}
+    # A run of letters is one word: two of them share no block, and are near all the same.
+    assert found == {0: [], 1: [0], 2: [], 3: [0], 4: [], 5: [0], 6: [], 7: [], 8: []}
 
 
 def test_line_dedup_joins_a_large_family_whatever_its_centre_is(spark):
@@ -221,6 +222,65 @@ def test_line_dedup_joins_a_large_family_whatever_its_centre_is(spark):
     assert sorted(r["count"] for r in parts.groupBy("component").count().collect()) == sizes
 
 
+def lettered(seed, count):
+    """Prose without digits, which are all one in a normalised line."""
+    pick = random.Random(seed)
+    return " ".join("".join(pick.choice("abcdefghiklmnoprstuvw") for _ in range(pick.randint(2, 9))) for _ in range(count))
+
+
+def scattered(text, share, seed):
+    """Edits at single characters, spread over the whole text."""
+    pick, letters = random.Random(seed), list(text)
+    for _ in range(int(share * len(letters))):
+        at, kind = pick.randrange(len(letters)), pick.randrange(3)
+        letters[at : at + (kind != 1)] = [] if kind == 0 else [pick.choice("abcdeéw漢")]
+    return "".join(letters)
+
+
+@pytest.mark.parametrize("lines", [5, 1 << 12])
+def test_line_dedup_leaves_out_no_link(spark, monkeypatch, lines):
+    monkeypatch.setattr(edit_join, "CHUNK_LINES", lines)
+    texts = ["colour", "color", "an apple", "an aple", "abcd", "abce", "漢字漢字漢", "漢字漢字字", "no"]
+    for i in range(16):
+        base = lettered(i, 2 + 3 * i)
+        texts += [base, scattered(base, 0.1 + 0.02 * (i % 8), i), scattered(base, 0.17, 100 + i)]
+    # Of every three words one has another letter, so no run of four is shared.
+    base = lettered(70, 30).split(" ")
+    texts += [" ".join(base), " ".join(w[:-1] + "y" if i % 3 == 0 else w for i, w in enumerate(base))]
+    texts += ["x" * 300, "x" * 260 + "y" * 20]
+    names = list(dict.fromkeys(n for n in plain_lines("\n".join(texts)) if n))
+    blocked, true = plain_links(names)
+    group = groups_of(names, true)
+    assert group != groups_of(names, blocked)
+    found, parts = line_dedup.fuzzy_groups(documents(spark, texts))
+    sizes = sorted(n for n in Counter(group.values()).values() if n > 1)
+    assert sorted(r["count"] for r in parts.groupBy("component").count().collect()) == sizes
+    first = {}
+    kept = [first.setdefault(group[n], i) == i for i, t in enumerate(texts) for n in plain_lines(t)]
+    dropped = {r.doc_id: r.dropped for r in line_dedup.dropped_lines(documents(spark, texts)).collect()}
+    assert dropped == {i: [] if stays else [0] for i, stays in enumerate(kept)}
+
+
+def test_bounds_of_the_edit_join_pass_all_near_pairs():
+    pick = random.Random(4)
+    texts = []
+    for size in [3, 6, 12, 40, 70, 130, 200, 300, 520, 700] * 3:
+        base = "".join(pick.choice("abcdefgh é漢") for _ in range(size))
+        texts += [base, *(scattered(base, pick.choice([0.05, 0.15, 0.2, 0.22, 0.25]), pick.random()) for _ in range(4))]
+    texts = [t for t in dict.fromkeys(texts) if t]
+    number, size = np.arange(len(texts)), np.array([len(t) for t in texts])
+    low, high = np.triu_indices(len(texts), 1)
+    near = within([texts[i] for i in low], [texts[j] for j in high], edit_join.allowed(np.maximum(size[low], size[high]), 0.8))
+    group = groups_of(range(len(texts)), zip(low[near].tolist(), high[near].tolist()))
+    chunk = lambda taken: edit_join._Chunk(taken, [texts[i] for i in taken], taken)
+    whole, even, odd = chunk(number), chunk(number[::2]), chunk(number[1::2])
+    linked = edit_join._links_of(whole, whole, True, 0.8)
+    assert groups_of(range(len(texts)), zip(*(x.tolist() for x in linked))) == group
+    parts = [edit_join._links_of(*x, 0.8) for x in ((even, even, True), (odd, odd, True), (even, odd, False))]
+    links = [link for x in parts for link in zip(x[0].tolist(), x[1].tolist())]
+    assert groups_of(range(len(texts)), links) == group
+
+
 def test_edit_distance_within_a_bound():
     rng = random.Random(3)
     pairs = []
