@@ -261,6 +261,55 @@ def test_line_dedup_leaves_out_no_link(spark, monkeypatch, lines):
     assert dropped == {i: [] if stays else [0] for i, stays in enumerate(kept)}
 
 
+@pytest.mark.parametrize("lines", [3, 1 << 12])
+def test_edit_links_ship_a_text_once_however_many_chunks_it_meets(spark, monkeypatch, capsys, lines):
+    monkeypatch.setattr(edit_join, "CHUNK_LINES", lines)
+    chunks, write = [], edit_join.written
+
+    def written(frame, *more):
+        chunks.append(write(frame, *more))
+        return chunks[-1]
+
+    monkeypatch.setattr(edit_join, "written", written)
+    texts = [lettered(i, 6) for i in range(30)]
+    texts += [scattered(t, 0.1, i) for i, t in enumerate(texts)] + ["x" * 700, "漢" * 9 + "a", "漢" * 10]
+    frame = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "node bigint, text string, component bigint")
+    links = edit_join.edit_links(frame, 0.8)
+    size = np.array([len(t) for t in texts])
+    low, high = np.triu_indices(len(texts), 1)
+    near = within([texts[i] for i in low], [texts[j] for j in high], edit_join.allowed(np.maximum(size[low], size[high]), 0.8))
+    group = groups_of(range(len(texts)), zip(low[near].tolist(), high[near].tolist()))
+    assert groups_of(range(len(texts)), [(r.a, r.b) for r in links.collect()]) == group
+    (rows,) = chunks
+    assert sorted(line.node for r in rows.collect() for line in r.lines) == list(range(len(texts)))
+    assert all(len(r.lines) <= 3 * lines and r.least <= r.most for r in rows.collect())
+    # Cells read the chunks where they lie: nothing is shuffled for them.
+    links.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
+def test_chunks_of_bands():
+    told = [(0, 3, 9), (1, 4, 9), (2, 30, 9), (5, 1, 45), (6, 1, 5)]
+    assert edit_join._chunks(told, 8, 20) == [(0, 0, 1), (1, 0, 1), (2, 1, 4), (5, 5, 3), (6, 8, 1)]
+    assert edit_join._chunks([], 8, 20) == []
+
+
+@pytest.mark.parametrize("setting", [None, "false", "true"])
+def test_line_dedup_leaves_the_setting_for_shuffle_files_as_it_was(spark, setting):
+    before = spark.conf.get(line_dedup.DROP_SHUFFLES)
+    try:
+        spark.conf.unset(line_dedup.DROP_SHUFFLES)
+        if setting is not None:
+            spark.conf.set(line_dedup.DROP_SHUFFLES, setting)
+        with pytest.raises(ValueError), line_dedup._shuffles_dropped(spark):
+            assert spark.conf.get(line_dedup.DROP_SHUFFLES) == "true"
+            raise ValueError
+        assert spark.conf.get(line_dedup.DROP_SHUFFLES) == (setting or before)
+    finally:
+        spark.conf.unset(line_dedup.DROP_SHUFFLES)
+
+
 def test_bounds_of_the_edit_join_pass_all_near_pairs():
     pick = random.Random(4)
     texts = []
