@@ -491,3 +491,72 @@ def test_near_copies_are_told_by_id_and_text(spark):
     left = jaccard_join.without_near_copies(frame)
     assert left.columns == frame.columns
     assert sorted(r["_gone"] for r in left.collect()) == [1, 3, 4, 5]
+
+
+def syllables(seed, size):
+    """Text of few syllables, of which any two have many pairs of letters in common."""
+    pick, parts = random.Random(seed), ("th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "or", "ti", "st", "ing ", "tion", " of ", "the ")
+    text = ""
+    while len(text) < size:
+        text += pick.choice(parts)
+    return text[:size].strip()
+
+
+def drifted(text, edits):
+    """As many edits, at the places from which an alignment leaves the diagonal furthest."""
+    half = edits // 2
+    yield text[edits:]
+    yield text[:-edits] if edits else text
+    yield "q" * edits + text
+    yield text + "q" * edits
+    yield "q" * half + text[: len(text) - half]
+    yield text[half:] + "q" * half
+    yield "".join("q" if i % 5 == 4 else c for i, c in enumerate(text))
+
+
+def test_subsequences_rule_out_no_near_pair():
+    texts = []
+    for i, size in enumerate([2, 5, 9, 30, 62, 63, 64, 65, 126, 127, 190, 330, 700, 1500]):
+        base = syllables(i, size)
+        texts += [base, *drifted(base, int(0.2 * len(base))), *drifted(base, int(0.166 * len(base)))]
+        texts += [scattered(base, share, i) for share in (0.1, 0.2, 0.25)]
+    texts = [t for t in dict.fromkeys(texts) if t]
+    number = np.arange(len(texts))
+    chunk = edit_join._Chunk(number, texts, number)
+    size = chunk.sizes
+    most = edit_join.allowed(np.maximum(size[:, None], size[None, :]), 0.8)
+    fits = np.abs(size[:, None] - size[None, :]) <= most
+    low, high = np.nonzero(fits)
+    near = np.zeros(fits.shape, bool)
+    near[low, high] = within([chunk.texts[i] for i in low], [chunk.texts[j] for j in high], most[low, high])
+    assert near.sum() > 4 * len(texts)
+    for i, j in zip(*np.nonzero(near)):
+        x, y = np.array([i]), np.array([j])
+        # A pair alone goes on to the last word.
+        assert edit_join._by_subsequences(chunk, chunk, x, y, np.ones((1, 1), bool), most[i : i + 1, j : j + 1]).all()
+    # Texts of one length, then of very different ones, at once.
+    for x in [np.flatnonzero((size > 50) & (size < 90)), np.flatnonzero(size > 300), number]:
+        left = edit_join._by_subsequences(chunk, chunk, x, number, fits[x], most[x])
+        assert left[near[x]].all() and not left[~fits[x]].any()
+
+
+@pytest.mark.parametrize("size", [40, 90, 200])
+def test_few_pairs_that_are_not_near_are_compared_whole(monkeypatch, size):
+    texts = [syllables(i, size) for i in range(400)]
+    texts += [scattered(t, 0.1, i) for i, t in enumerate(texts[:20])]
+    number, whole = np.arange(len(texts)), []
+    chunk = edit_join._Chunk(number, texts, number)
+
+    def counted(one, other, most):
+        whole.append(len(one))
+        return within(one, other, most)
+
+    def no_pieces(one, other, x, y, most):
+        whole.append(len(x))
+        return np.ones(len(x), bool)
+
+    monkeypatch.setattr(edit_join, "within", counted)
+    monkeypatch.setattr(edit_join, "_by_pieces", no_pieces)
+    a, b = edit_join._links_of(chunk, chunk, True, 0.8)
+    assert {(i, 400 + i) for i in range(20)} <= set(zip(a.tolist(), b.tolist()))
+    assert sum(whole) < 0.02 * len(texts) ** 2 / 2
